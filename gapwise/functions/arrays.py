@@ -80,3 +80,28 @@ def place_in_slots(zipped: Column, slots: int = SLOT_COUNT) -> Column:
         return F.try_element_at(candidates, F.lit(-1))
 
     return F.transform(F.sequence(F.lit(1), F.lit(slots)), slot_value)
+
+
+def row_flags(resp: Column, reason: Column) -> dict[str, Column]:
+    """The same flags at row grain, where no service is asked for."""
+    return {
+        name: F.when((resp == response) & reason.isin(*reasons), F.lit("Y")).otherwise(F.lit(""))
+        for name, response, reasons in FLAG_RULES
+    }
+
+
+def scan_summary(zipped: Column, match: str = SERVICE_NAME, sep: str = " ") -> Column:
+    """All results of a scan as one struct of six text fields."""
+    texts = [
+        match_concat(zipped, field, match, sep).alias(name)
+        for name, field in (
+            ("service_seq", "cntr"),
+            ("resp_flags", "resp"),
+            ("reason_codes", "reason"),
+        )
+    ]
+    flags = [
+        match_flag(zipped, response, reasons, match).alias(name)
+        for name, response, reasons in FLAG_RULES
+    ]
+    return F.struct(*texts, *flags)

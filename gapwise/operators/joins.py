@@ -35,7 +35,7 @@ def two_hop_absence(
     ``key`` and ``target_key``. Links are first cut to the keys of ``df``, so
     that the second hop sees only those that can matter.
     """
-    keys = df.select(key).distinct()
+    keys = df.select(key)
     links = spread_join(
         link.select(key, target_key),
         F.broadcast(keys) if bounded else keys,
@@ -43,10 +43,10 @@ def two_hop_absence(
         "left_semi",
         hot_left=None if bounded else hot_key,
         spread_left=[target_key],
-    )
+    ).distinct()
     reached = spread_join(
         links,
-        target.select(target_key).distinct(),
+        target.select(target_key),
         [target_key],
         "left_semi",
         hot_left=hot_target,

@@ -62,5 +62,5 @@ def cut_to_keys(table: DataFrame, frame: DataFrame, key: str, bounded: bool) ->
     """
     if not bounded:
         return table
-    keys = frame.select(key).where(F.col(key).isNotNull()).distinct()
+    keys = frame.select(key).where(F.col(key).isNotNull())
     return table.join(F.broadcast(keys), key, "left_semi")

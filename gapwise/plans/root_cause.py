@@ -16,6 +16,8 @@ tables are then cut by a broadcast semi join before any shuffle.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +25,10 @@ from gapwise import config
 from gapwise.config import RuleConfig
 from gapwise.functions.predicates import address_usable, in_time_range, unusable_id, usable_id
 from gapwise.functions.scalars import id_from_text
+from gapwise.operators.facts import any_true, gather_facts
 from gapwise.operators.joins import exists_flag, two_hop_absence, two_key_column_lookup
 from gapwise.operators.skew import HotKeys, hot_keys, lookup_join, spread_join
-from gapwise.operators.staging import cut_to_keys, stage
+from gapwise.operators.staging import Staged, cut_to_keys, stage
 from gapwise.sources.tables import TableSet, scan
 
 #: source column -> report column
@@ -217,46 +220,90 @@ def original_contracts(links: DataFrame, tables: TableSet) -> DataFrame:
 
 
 # --- facts about a contract; frames have one row per contract ----------------
+#
+# The ``*_rows`` functions give one fact each as (key, value) rows. Facts with
+# the same key are then gathered by a single shuffle, whatever their number.
 
 
-def contract_preclass(
-    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
-) -> DataFrame:
-    """Add ``is_dual_serialized`` and ``is_ineligible_item``."""
-    serialized = (
+def dual_serial_rows(tables: TableSet, cfg: RuleConfig) -> DataFrame:
+    """The value of an identifier of this type is the contract it stands for."""
+    return (
         tables["contract_identifier"]
         .where(F.col("identifier_type_id") == cfg.dual_serial_identifier_type)
-        .select(id_from_text(F.col("identifier_value")).alias("contract_id"))
-    )
-    serialized = cut_to_keys(serialized, contracts, "contract_id", bounded)
-    flagged = exists_flag(
-        contracts, serialized, ["contract_id"], "is_dual_serialized", broadcast_right=bounded
+        .select(
+            id_from_text(F.col("identifier_value")).alias("contract_id"),
+            F.lit(True).alias("is_dual_serialized"),
+        )
     )
-    ineligible = F.coalesce(F.col("item_num").isin(*cfg.ineligible_items), F.lit(False))
-    return flagged.withColumn("is_ineligible_item", ineligible)
 
 
-def instruction_check(
-    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
-) -> DataFrame:
-    """Add ``has_instruction``."""
-    instructions = (
+def instruction_rows(tables: TableSet, cfg: RuleConfig) -> DataFrame:
+    return (
         tables["instruction"]
         .where(F.col("entity_type_id") == cfg.instruction_entity_type)
-        .select(id_from_text(F.col("entity_value")).alias("contract_id"))
+        .select(
+            id_from_text(F.col("entity_value")).alias("contract_id"),
+            F.lit(True).alias("has_instruction"),
+        )
     )
-    instructions = cut_to_keys(instructions, contracts, "contract_id", bounded)
-    return exists_flag(
-        contracts, instructions, ["contract_id"], "has_instruction", broadcast_right=bounded
+
+
+def contract_agreement_rows(tables: TableSet) -> DataFrame:
+    return tables["agreement_contract"].select("contract_id", "agreement_id")
+
+
+DUAL_SERIALIZED = {"is_dual_serialized": any_true}
+HAS_INSTRUCTION = {"has_instruction": any_true}
+LOWEST_AGREEMENT = {"agreement_id": F.min}
+
+
+def ineligible_item(contracts: DataFrame, cfg: RuleConfig) -> DataFrame:
+    listed = F.coalesce(F.col("item_num").isin(*cfg.ineligible_items), F.lit(False))
+    return contracts.withColumn("is_ineligible_item", listed)
+
+
+def contract_preclass(contracts: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
+    """Add ``is_dual_serialized`` and ``is_ineligible_item``."""
+    flagged = gather_facts(
+        contracts, "contract_id", [dual_serial_rows(tables, cfg)], DUAL_SERIALIZED
     )
+    return ineligible_item(flagged, cfg)
 
 
-def contract_agreement(contracts: DataFrame, tables: TableSet, bounded: bool = False) -> DataFrame:
+def instruction_check(contracts: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
+    """Add ``has_instruction``."""
+    return gather_facts(
+        contracts, "contract_id", [instruction_rows(tables, cfg)], HAS_INSTRUCTION
+    )
+
+
+def contract_agreement(contracts: DataFrame, tables: TableSet) -> DataFrame:
     """Add ``agreement_id``, the lowest one of the contract."""
-    link = tables["agreement_contract"].select("agreement_id", "contract_id")
-    link = cut_to_keys(link, contracts, "contract_id", bounded)
-    lowest = link.groupBy("contract_id").agg(F.min("agreement_id").alias("agreement_id"))
-    return lookup_join(contracts, lowest, ["contract_id"], broadcast_right=bounded)
+    return gather_facts(
+        contracts, "contract_id", [contract_agreement_rows(tables)], LOWEST_AGREEMENT
+    )
+
+
+def contract_facts(
+    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
+) -> DataFrame:
+    """All of the above at once."""
+    gathered = gather_facts(
+        contracts,
+        "contract_id",
+        [
+            dual_serial_rows(tables, cfg),
+            instruction_rows(tables, cfg),
+            contract_agreement_rows(tables),
+        ],
+        DUAL_SERIALIZED | HAS_INSTRUCTION | LOWEST_AGREEMENT,
+        bounded=bounded,
+    )
+    return ineligible_item(gathered, cfg)
+
+
+def distinct_agreements(contracts: DataFrame) -> DataFrame:
+    return contracts.select("agreement_id").where(F.col("agreement_id").isNotNull()).distinct()
 
 
 def counterpart_of(
@@ -267,13 +314,10 @@ def counterpart_of(
         tables["agreement_identifier"]
         .where(F.col("identifier_type_id").isin(*cfg.counterpart_identifier_types))
         .select("agreement_id", id_from_text(F.col("identifier_value")).alias("cp_agreement_id"))
-        .where(F.col("cp_agreement_id").isNotNull())
     )
-    identifiers = cut_to_keys(identifiers, agreements, "agreement_id", bounded)
-    lowest = identifiers.groupBy("agreement_id").agg(
-        F.min("cp_agreement_id").alias("cp_agreement_id")
+    return gather_facts(
+        agreements, "agreement_id", [identifiers], {"cp_agreement_id": F.min}, bounded=bounded
     )
-    return lookup_join(agreements, lowest, ["agreement_id"], broadcast_right=bounded)
 
 
 def attach_agreements(
@@ -290,10 +334,6 @@ def attach_agreements(
     )
 
 
-def distinct_agreements(contracts: DataFrame) -> DataFrame:
-    return contracts.select("agreement_id").where(F.col("agreement_id").isNotNull()).distinct()
-
-
 def counterpart_agreement(contracts: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """Add ``agreement_id`` and ``cp_agreement_id``."""
     contracts = contract_agreement(contracts, tables)
@@ -305,74 +345,157 @@ def counterpart_agreement(contracts: DataFrame, tables: TableSet, cfg: RuleConfi
 
 
 def distinct_counterparts(df: DataFrame) -> DataFrame:
-    return (
-        df.select("cp_agreement_id").where(F.col("cp_agreement_id").isNotNull()).distinct()
-    )
+    return df.select("cp_agreement_id").where(F.col("cp_agreement_id").isNotNull()).distinct()
 
 
-def counterpart_agreement_attrs(
-    counterparts: DataFrame, tables: TableSet, bounded: bool = False
-) -> DataFrame:
-    """Add ``cp_site``, NULL if there is no such agreement."""
-    agreement = scan(
+def counterpart_site_rows(tables: TableSet) -> DataFrame:
+    return scan(
         tables, "agreement", {"agreement_id": "cp_agreement_id", "source_site_id": "cp_site"}
     )
-    agreement = cut_to_keys(agreement, counterparts, "cp_agreement_id", bounded)
-    return lookup_join(counterparts, agreement, ["cp_agreement_id"], broadcast_right=bounded)
 
 
-def counterpart_agreement_contracts(counterparts: DataFrame, tables: TableSet) -> DataFrame:
-    """Contracts of each counterpart agreement; NULL if it has none."""
-    link = scan(
+def counterpart_contract_rows(tables: TableSet) -> DataFrame:
+    return scan(
         tables,
         "agreement_contract",
         {"agreement_id": "cp_agreement_id", "contract_id": "cp_contract_id"},
     )
-    return counterparts.join(link.distinct(), "cp_agreement_id", "left")
 
 
-def lowest_counterpart_contract(
-    counterparts: DataFrame, tables: TableSet, bounded: bool = False
+def counterpart_asset_rows(tables: TableSet) -> DataFrame:
+    return scan(
+        tables, "agreement_asset", {"agreement_id": "cp_agreement_id", "asset_id": "asset_id"}
+    )
+
+
+def any_asset_rows(tables: TableSet) -> DataFrame:
+    return counterpart_asset_rows(tables).select(
+        "cp_agreement_id", F.lit(True).alias("has_any_asset")
+    )
+
+
+def address_rows(
+    link: DataFrame,
+    tables: TableSet,
+    key: str,
+    hot: HotKeys | None = None,
+    view: str | None = None,
 ) -> DataFrame:
-    """Add ``cp_contract_id``, the lowest contract of the counterpart agreement."""
-    link = scan(
+    """One row per key and address: is its id usable for the special, for other sites?
+
+    ``view`` names a struct column to add that holds the address itself.
+    """
+    address = scan(
         tables,
-        "agreement_contract",
-        {"agreement_id": "cp_agreement_id", "contract_id": "cp_contract_id"},
+        "party_address",
+        {
+            "party_address_id": "party_address_id",
+            "customer_num": "address_customer_num",
+            "ucid": "ucid",
+        },
     )
-    lowest = (
-        cut_to_keys(link, counterparts, "cp_agreement_id", bounded)
-        .groupBy("cp_agreement_id")
-        .agg(F.min("cp_contract_id").alias("cp_contract_id"))
+    found = spread_join(link, address, ["party_address_id"], hot_left=hot, spread_left=[key])
+    shown = [F.struct(*address.columns).alias(view)] if view else []
+    return found.select(
+        key,
+        *shown,
+        usable_id(F.col("ucid")).alias("_special_ok"),
+        usable_id(F.col("address_customer_num")).alias("_regular_ok"),
+        F.lit(True).alias("_address"),
     )
-    return lookup_join(counterparts, lowest, ["cp_agreement_id"], broadcast_right=bounded)
 
 
-def agreement_has_asset(
-    counterparts: DataFrame, tables: TableSet, bounded: bool = False
+def location_rows(
+    counterparts: DataFrame, tables: TableSet, bounded: bool = False, view: str | None = None
 ) -> DataFrame:
-    """Add ``has_any_asset``."""
-    link = scan(tables, "agreement_asset", {"agreement_id": "cp_agreement_id"})
+    link = scan(
+        tables,
+        "party_address_agreement",
+        {"agreement_id": "cp_agreement_id", "party_address_id": "party_address_id"},
+    )
     link = cut_to_keys(link, counterparts, "cp_agreement_id", bounded)
-    return exists_flag(
-        counterparts, link, ["cp_agreement_id"], "has_any_asset", broadcast_right=bounded
+    hot = None if bounded else tables.hot("party_address_agreement", "party_address_id")
+    return address_rows(link, tables, "cp_agreement_id", hot, view)
+
+
+COUNTERPART_SITE = {"cp_site": F.min}
+LOWEST_CONTRACT = {"cp_contract_id": F.min}
+ANY_ASSET = {"has_any_asset": any_true}
+ADDRESS = {"_special_ok": any_true, "_regular_ok": any_true, "_address": any_true}
+
+
+def address_aggregates(view: str | None = None) -> dict:
+    """The address with the lowest id stands for all of them where one is shown."""
+    return ADDRESS | ({view: F.min} if view else {})
+
+
+def _address_ok(site: Column, cfg: RuleConfig) -> Column:
+    return address_usable(
+        site, cfg.special_site, F.col("_special_ok"), F.col("_regular_ok"), F.col("_address")
     )
 
 
-def agreement_has_this_asset(
-    pairs: DataFrame,
+def _with_location(df: DataFrame, cfg: RuleConfig) -> DataFrame:
+    return df.withColumn("location_ok", _address_ok(F.col("cp_site"), cfg)).drop(*ADDRESS)
+
+
+def counterpart_agreement_attrs(counterparts: DataFrame, tables: TableSet) -> DataFrame:
+    """Add ``cp_site``, NULL if there is no such agreement."""
+    return gather_facts(
+        counterparts, "cp_agreement_id", [counterpart_site_rows(tables)], COUNTERPART_SITE
+    )
+
+
+def counterpart_agreement_contracts(counterparts: DataFrame, tables: TableSet) -> DataFrame:
+    """Contracts of each counterpart agreement; NULL if it has none."""
+    return counterparts.join(
+        counterpart_contract_rows(tables).distinct(), "cp_agreement_id", "left"
+    )
+
+
+def party_location_check(
+    counterparts: DataFrame, tables: TableSet, cfg: RuleConfig
+) -> DataFrame:
+    """Add ``location_ok``; the frame has ``cp_site``."""
+    gathered = gather_facts(
+        counterparts, "cp_agreement_id", [location_rows(counterparts, tables)], ADDRESS
+    )
+    return _with_location(gathered, cfg)
+
+
+def counterpart_facts(
+    counterparts: DataFrame,
     tables: TableSet,
+    cfg: RuleConfig,
     bounded: bool = False,
-    hot: HotKeys | None = None,
+    view: str | None = None,
 ) -> DataFrame:
-    """Add ``has_this_asset`` per asset and contract; NULL without a counterpart agreement."""
-    link = scan(
-        tables, "agreement_asset", {"agreement_id": "cp_agreement_id", "asset_id": "asset_id"}
+    """All facts about counterpart agreements at once."""
+    gathered = gather_facts(
+        counterparts,
+        "cp_agreement_id",
+        [
+            counterpart_site_rows(tables),
+            counterpart_contract_rows(tables),
+            any_asset_rows(tables),
+            location_rows(counterparts, tables, bounded, view),
+        ],
+        COUNTERPART_SITE | LOWEST_CONTRACT | ANY_ASSET | address_aggregates(view),
+        bounded=bounded,
     )
-    link = cut_to_keys(link, pairs, "cp_agreement_id", bounded)
+    return _with_location(gathered, cfg)
+
+
+def agreement_has_this_asset(
+    pairs: DataFrame, links: DataFrame, hot: HotKeys | None = None
+) -> DataFrame:
+    """Add ``has_this_asset`` per asset and contract; NULL without a counterpart agreement.
+
+    ``links`` has the assets of counterpart agreements.
+    """
     flagged = exists_flag(
         pairs,
-        link,
+        links,
         ["cp_agreement_id", "asset_id"],
         "has_this_asset",
         hot=hot,
@@ -385,7 +508,9 @@ def agreement_has_this_asset(
 
 def agreement_asset_check(pairs: DataFrame, tables: TableSet) -> DataFrame:
     """Add ``has_any_asset`` and ``has_this_asset`` to rows per asset and contract."""
-    any_asset = agreement_has_asset(distinct_counterparts(pairs), tables)
+    any_asset = gather_facts(
+        distinct_counterparts(pairs), "cp_agreement_id", [any_asset_rows(tables)], ANY_ASSET
+    )
     pairs = lookup_join(
         pairs,
         any_asset,
@@ -393,66 +518,18 @@ def agreement_asset_check(pairs: DataFrame, tables: TableSet) -> DataFrame:
         hot=tables.hot("agreement_identifier", "counterpart_id"),
         spread=["contract_id", "asset_id"],
     )
-    return agreement_has_this_asset(pairs, tables)
-
-
-def address_summary(link: DataFrame, tables: TableSet, key: str, hot: HotKeys) -> DataFrame:
-    """One row per key: has any of its addresses a usable id of either sort?"""
-    address = scan(
-        tables,
-        "party_address",
-        {
-            "party_address_id": "party_address_id",
-            "customer_num": "address_customer_num",
-            "ucid": "ucid",
-        },
-    )
-    found = spread_join(
-        link, address, ["party_address_id"], hot_left=hot, spread_left=[key]
-    )
-    return found.groupBy(key).agg(
-        F.max(usable_id(F.col("ucid"))).alias("_special_ok"),
-        F.max(usable_id(F.col("address_customer_num"))).alias("_regular_ok"),
-    )
-
-
-def party_location_check(
-    counterparts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
-) -> DataFrame:
-    """Add ``location_ok``; the frame has ``cp_site``."""
-    link = scan(
-        tables,
-        "party_address_agreement",
-        {"agreement_id": "cp_agreement_id", "party_address_id": "party_address_id"},
-    )
-    link = cut_to_keys(link, counterparts, "cp_agreement_id", bounded)
-    summary = address_summary(
-        link,
-        tables,
-        "cp_agreement_id",
-        {} if bounded else tables.hot("party_address_agreement", "party_address_id"),
-    )
-    joined = lookup_join(counterparts, summary, ["cp_agreement_id"], broadcast_right=bounded)
-    return joined.withColumn("location_ok", _address_ok(F.col("cp_site"), cfg)).drop(
-        "_special_ok", "_regular_ok"
-    )
-
-
-def _address_ok(site: Column, cfg: RuleConfig) -> Column:
-    return address_usable(
-        site,
-        cfg.special_site,
-        F.coalesce(F.col("_special_ok"), F.lit(False)),
-        F.coalesce(F.col("_regular_ok"), F.lit(False)),
-        F.col("_special_ok").isNotNull(),
-    )
+    return agreement_has_this_asset(pairs, counterpart_asset_rows(tables))
 
 
 # --- facts about an asset or an item -----------------------------------------
 
 
 def customer_check(
-    assets: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
+    assets: DataFrame,
+    tables: TableSet,
+    cfg: RuleConfig,
+    bounded: bool = False,
+    view: str | None = None,
 ) -> DataFrame:
     """Add ``customer_ok`` to rows per asset: usable address for its site, or usable number."""
     link = scan(
@@ -461,15 +538,15 @@ def customer_check(
         {"asset_id": "asset_id", "party_address_id": "party_address_id"},
     )
     link = cut_to_keys(link, assets, "asset_id", bounded)
-    summary = address_summary(
-        link,
-        tables,
+    hot = None if bounded else tables.hot("party_address_asset", "party_address_id")
+    gathered = gather_facts(
+        assets,
         "asset_id",
-        {} if bounded else tables.hot("party_address_asset", "party_address_id"),
+        [address_rows(link, tables, "asset_id", hot, view)],
+        address_aggregates(view),
     )
-    joined = lookup_join(assets, summary, ["asset_id"], broadcast_right=bounded)
     ok = _address_ok(F.col("site"), cfg) | ~unusable_id(F.col("customer_num"))
-    return joined.withColumn("customer_ok", ok).drop("_special_ok", "_regular_ok")
+    return gathered.withColumn("customer_ok", ok).drop(*ADDRESS)
 
 
 def is_special(cfg: RuleConfig) -> Column:
@@ -567,15 +644,17 @@ def root_cause_label() -> Column:
 
 
 def agreement_facts(
-    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
+    contracts: DataFrame,
+    tables: TableSet,
+    cfg: RuleConfig,
+    bounded: bool = False,
+    view: str | None = None,
 ) -> DataFrame:
     """One row per agreement of the contracts, with all facts about its counterpart."""
     agreements = counterpart_of(distinct_agreements(contracts), tables, cfg, bounded)
-    counterparts = distinct_counterparts(agreements)
-    counterparts = counterpart_agreement_attrs(counterparts, tables, bounded)
-    counterparts = lowest_counterpart_contract(counterparts, tables, bounded)
-    counterparts = agreement_has_asset(counterparts, tables, bounded)
-    counterparts = party_location_check(counterparts, tables, cfg, bounded)
+    counterparts = counterpart_facts(
+        distinct_counterparts(agreements), tables, cfg, bounded, view
+    )
     return lookup_join(
         agreements,
         counterparts,
@@ -586,31 +665,61 @@ def agreement_facts(
     )
 
 
-def checked_pairs(tables: TableSet, cfg: RuleConfig) -> DataFrame:
-    """Rows per asset and contract with the results of all checks, before the label.
+@dataclass(frozen=True)
+class Walk:
+    """What the walk from the assets to the contracts found, each computed once."""
+
+    links: Staged
+    covered: Staged
+    contracts: Staged
+
+    def attach(self, facts: DataFrame, tables: TableSet) -> DataFrame:
+        return attach_contracts(
+            self.links.df, self.covered.df, facts, tables, self.covered.bounded
+        )
+
+
+def walk(tables: TableSet, cfg: RuleConfig, asset_view: str | None = None) -> Walk:
+    """From candidate assets to the contracts of their originals, with contract facts.
 
-    Four intermediate results feed several later steps. Each is computed once
-    and counted, which also tells whether its keys may be broadcast.
+    Results that feed several later steps are computed once and counted, which
+    also tells whether their keys may be broadcast.
     """
     policy = tables.skew
     start = stage(candidate_assets(tables, cfg), policy)
     assets = without_contract(start.df, tables, start.bounded)
-    assets = customer_check(assets, tables, cfg, start.bounded)
+    assets = customer_check(assets, tables, cfg, start.bounded, asset_view)
     links = stage(original_asset(assets, tables, cfg, start.bounded), policy)
     covered = stage(covered_contracts(links.df, tables, links.bounded), policy)
-
     found = contract_rows(covered.df, tables, covered.bounded)
-    found = contract_preclass(found, tables, cfg, covered.bounded)
-    found = instruction_check(found, tables, cfg, covered.bounded)
-    contracts = stage(contract_agreement(found, tables, covered.bounded), policy)
+    contracts = stage(contract_facts(found, tables, cfg, covered.bounded), policy)
+    return Walk(links, covered, contracts)
 
-    agreements = agreement_facts(contracts.df, tables, cfg, contracts.bounded)
-    facts = attach_agreements(contracts.df, agreements, tables, contracts.bounded)
-    facts = attach_item_facts(facts, tables, cfg, contracts.bounded)
-    hot = {} if contracts.bounded else hot_keys(facts, ["cp_agreement_id"], policy)["cp_agreement_id"]
 
-    pairs = attach_contracts(links.df, covered.df, facts, tables, covered.bounded)
-    return agreement_has_this_asset(pairs, tables, hot=hot)
+def checked_pairs(
+    tables: TableSet,
+    cfg: RuleConfig,
+    asset_view: str | None = None,
+    counterpart_view: str | None = None,
+) -> DataFrame:
+    """Rows per asset and contract with the results of all checks, before the label."""
+    policy = tables.skew
+    found = walk(tables, cfg, asset_view)
+    contracts, bounded = found.contracts.df, found.contracts.bounded
+    agreements = stage(
+        agreement_facts(contracts, tables, cfg, bounded, counterpart_view), policy
+    ).df
+    facts = attach_agreements(contracts, agreements, tables, bounded)
+    facts = attach_item_facts(facts, tables, cfg, bounded)
+    pairs = found.attach(facts, tables)
+
+    assets_of = counterpart_asset_rows(tables)
+    hot = None
+    if bounded:
+        assets_of = cut_to_keys(assets_of, agreements, "cp_agreement_id", True)
+    else:
+        hot = hot_keys(facts, ["cp_agreement_id"], policy)["cp_agreement_id"]
+    return agreement_has_this_asset(pairs, assets_of, hot)
 
 
 def root_cause_report(tables: TableSet, cfg: RuleConfig) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -62,3 +62,8 @@ def flatten_record(
 def read_records(spark: SparkSession, location: str, schema: StructType, path: str) -> DataFrame:
     """The same from JSON files, one record per line; no schema inference pass."""
     return spark.read.schema(schema).json(location).select(_inner(path))
+
+
+def struct_unpack(df: DataFrame, name: str, struct: Column) -> DataFrame:
+    """Compute a struct column, spread its fields to columns and drop it."""
+    return df.withColumn(name, struct).select("*", f"{name}.*").drop(name)
