@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators.skew import lookup_join
-from gapwise.operators.staging import cut_to_keys
+from gapwise.operators.staging import UNBOUNDED, Bound, cut_to_keys
 
 
 def any_true(column: Column | str) -> Column:
@@ -23,7 +23,7 @@ def gather_facts(
     sources: Sequence[DataFrame],
     aggregates: Mapping[str, Callable[[str], Column]],
     *,
-    bounded: bool = False,
+    bounded: Bound = UNBOUNDED,
 ) -> DataFrame:
     """Add columns aggregated per key from several frames of (key, value) rows.
 
@@ -39,6 +39,6 @@ def gather_facts(
         .groupBy(key)
         .agg(*[how(column).alias(column) for column, how in aggregates.items()])
     )
-    joined = lookup_join(df, per_key, [key], broadcast_right=bounded)
+    joined = lookup_join(df, per_key, [key], broadcast_right=bool(bounded))
     flags = [column for column, how in aggregates.items() if how is any_true]
     return joined.fillna(False, subset=flags) if flags else joined

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators.skew import HotKeys, lookup_join, spread_join
+from gapwise.operators.staging import UNBOUNDED, Bound
 
 
 def left_join_on_filter(
@@ -24,7 +25,7 @@ def two_hop_absence(
     key: str,
     target_key: str,
     *,
-    bounded: bool = False,
+    bounded: Bound = UNBOUNDED,
     hot_key: HotKeys | None = None,
     hot_target: HotKeys | None = None,
 ) -> DataFrame:
@@ -43,7 +44,9 @@ def two_hop_absence(
         "left_semi",
         hot_left=None if bounded else hot_key,
         spread_left=[target_key],
-    ).distinct()
+    )
+    if hot_target:
+        links = links.distinct()  # copies of a link would share their salt
     reached = spread_join(
         links,
         target.select(target_key),

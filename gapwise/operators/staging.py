@@ -5,19 +5,42 @@ from __future__ import annotations
 import tempfile
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.operators.skew import SkewPolicy
+from gapwise.operators.skew import SkewPolicy, estimated_bytes
+
+
+@dataclass(frozen=True)
+class Bound:
+    """What is known of a frame's size. True if its rows were counted and are few.
+
+    Tables above ``cut_above`` bytes are then worth cutting to its keys.
+    """
+
+    few: bool = False
+    cut_above: int = 0
+
+    def __bool__(self) -> bool:
+        return self.few
+
+    def cuts(self, table: DataFrame) -> bool:
+        if not self.few:
+            return False
+        size = estimated_bytes(table)
+        return size is None or size >= self.cut_above
+
+
+UNBOUNDED = Bound()
 
 
 @dataclass(frozen=True)
 class Staged:
-    """A frame, its row count if it was written out, and whether its keys may be broadcast."""
+    """A frame, its row count if it was written out, and what that says of its size."""
 
     df: DataFrame
     rows: int | None
-    bounded: bool
+    bounded: Bound
 
 
 def checkpoint_ready(spark: SparkSession) -> bool:
@@ -41,26 +64,27 @@ def checkpoint_ready(spark: SparkSession) -> bool:
 
 
 def stage(df: DataFrame, policy: SkewPolicy) -> Staged:
-    """Compute a frame that many later steps read, once, and count it.
+    """Compute a frame that many later steps read, once, and count it on the way.
 
     The checkpoint is reliable: lost executors do not lose it. Without a
     checkpoint folder the frame stays lazy and counts as unbounded.
     """
     if not checkpoint_ready(df.sparkSession):
-        return Staged(df, None, False)
-    written = df.checkpoint(eager=True)
-    rows = written.count()
-    return Staged(written, rows, rows <= policy.broadcast_rows)
+        return Staged(df, None, UNBOUNDED)
+    observed = Observation()
+    written = df.observe(observed, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    rows = observed.get["rows"]
+    return Staged(written, rows, Bound(rows <= policy.broadcast_rows, policy.profile_bytes))
 
 
-def cut_to_keys(table: DataFrame, frame: DataFrame, key: str, bounded: bool) -> DataFrame:
+def cut_to_keys(table: DataFrame, frame: DataFrame, key: str, bounded: Bound) -> DataFrame:
     """Rows of a large table whose key occurs in a counted, small frame.
 
     A broadcast semi join, so that the large table is cut before any shuffle.
-    If the frame is not bounded the table is left as it is: the aggregation
-    that follows reduces it on the map side.
+    A table that is small itself is left as it is, and so is any table if the
+    frame is not bounded: the aggregation that follows reduces it on the map side.
     """
-    if not bounded:
+    if not bounded.cuts(table):
         return table
     keys = frame.select(key).where(F.col(key).isNotNull())
     return table.join(F.broadcast(keys), key, "left_semi")

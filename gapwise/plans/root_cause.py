@@ -28,7 +28,7 @@ from gapwise.functions.scalars import id_from_text
 from gapwise.operators.facts import any_true, gather_facts
 from gapwise.operators.joins import exists_flag, two_hop_absence, two_key_column_lookup
 from gapwise.operators.skew import HotKeys, hot_keys, lookup_join, spread_join
-from gapwise.operators.staging import Staged, cut_to_keys, stage
+from gapwise.operators.staging import UNBOUNDED, Bound, Staged, cut_to_keys, stage
 from gapwise.sources.tables import TableSet, scan
 
 #: source column -> report column
@@ -79,7 +79,7 @@ def candidate_assets(tables: TableSet, cfg: RuleConfig) -> DataFrame:
     return scan({"asset": asset}, "asset", ASSET_COLUMNS)
 
 
-def without_contract(assets: DataFrame, tables: TableSet, bounded: bool = False) -> DataFrame:
+def without_contract(assets: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED) -> DataFrame:
     """Assets that reach no existing contract through coverage."""
     return two_hop_absence(
         assets,
@@ -99,7 +99,7 @@ def assets_without_contract(tables: TableSet, cfg: RuleConfig) -> DataFrame:
 
 
 def original_asset(
-    assets: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
+    assets: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
 ) -> DataFrame:
     """Add ``original_asset_id``; one row per asset and original, NULL if there is none."""
     relation = (
@@ -130,11 +130,9 @@ def original_asset(
 # --- contracts ---------------------------------------------------------------
 
 
-def covered_contracts(links: DataFrame, tables: TableSet, bounded: bool = False) -> DataFrame:
+def covered_contracts(links: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED) -> DataFrame:
     """``(original_asset_id, contract_id)`` for the originals in ``links``, each pair once."""
-    originals = (
-        links.select("original_asset_id").where(F.col("original_asset_id").isNotNull()).distinct()
-    )
+    originals = links.select("original_asset_id").where(F.col("original_asset_id").isNotNull())
     coverage = scan(
         tables,
         "contract_coverage",
@@ -142,7 +140,7 @@ def covered_contracts(links: DataFrame, tables: TableSet, bounded: bool = False)
     )
     return spread_join(
         coverage,
-        F.broadcast(originals) if bounded else originals,
+        F.broadcast(originals) if bounded else originals.distinct(),
         ["original_asset_id"],
         "left_semi",
         hot_left=None if bounded else tables.hot("contract_coverage", "asset_id"),
@@ -150,15 +148,17 @@ def covered_contracts(links: DataFrame, tables: TableSet, bounded: bool = False)
     ).distinct()
 
 
-def contract_rows(covered: DataFrame, tables: TableSet, bounded: bool = False) -> DataFrame:
+def contract_rows(covered: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED) -> DataFrame:
     """Existing contracts among the covered ones, one row per contract."""
     contract = scan(
         tables,
         "contract",
         {"contract_id": "contract_id", "item_num": "item_num", "source_site_id": "contract_site"},
     )
-    ids = covered.select("contract_id").distinct()
-    return contract.join(F.broadcast(ids) if bounded else ids, "contract_id", "left_semi")
+    ids = covered.select("contract_id")
+    return contract.join(
+        F.broadcast(ids) if bounded else ids.distinct(), "contract_id", "left_semi"
+    )
 
 
 def attach_contracts(
@@ -166,20 +166,26 @@ def attach_contracts(
     covered: DataFrame,
     contracts: DataFrame,
     tables: TableSet,
-    bounded: bool = False,
+    bounded: Bound = UNBOUNDED,
+    existing: DataFrame | None = None,
 ) -> DataFrame:
     """One row per asset and contract, and one per asset that has no contract.
 
     ``contracts`` has one row per contract, with any further columns. An asset
     that reaches a contract through several originals keeps the lowest one.
+    ``existing`` may give the contract ids alone where they are cheaper to read.
     """
-    rows = spread_join(
-        covered,
-        F.broadcast(contracts) if bounded else contracts,
-        ["contract_id"],
-        hot_left=None if bounded else tables.hot("contract_coverage", "contract_id"),
-        spread_left=["original_asset_id"],
-    )
+
+    def of_originals(found: DataFrame) -> DataFrame:
+        return spread_join(
+            covered,
+            F.broadcast(found) if bounded else found,
+            ["contract_id"],
+            hot_left=None if bounded else tables.hot("contract_coverage", "contract_id"),
+            spread_left=["original_asset_id"],
+        )
+
+    rows = of_originals(contracts)
     hot_originals = {} if bounded else tables.hot("asset_relationship", "to_asset_id")
     pairs = spread_join(
         links,
@@ -192,7 +198,8 @@ def attach_contracts(
     )
     pairs = _lowest_original(pairs)
 
-    reaching = rows.select("original_asset_id").distinct()
+    ids = (contracts if existing is None else existing).select("contract_id")
+    reaching = of_originals(ids).select("original_asset_id").distinct()
     reached = spread_join(
         links.select("asset_id", "original_asset_id"),
         F.broadcast(reaching) if bounded else reaching,
@@ -285,7 +292,7 @@ def contract_agreement(contracts: DataFrame, tables: TableSet) -> DataFrame:
 
 
 def contract_facts(
-    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
+    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
 ) -> DataFrame:
     """All of the above at once."""
     gathered = gather_facts(
@@ -307,7 +314,7 @@ def distinct_agreements(contracts: DataFrame) -> DataFrame:
 
 
 def counterpart_of(
-    agreements: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
+    agreements: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
 ) -> DataFrame:
     """Add ``cp_agreement_id`` to a frame with one row per agreement; lowest value wins."""
     identifiers = (
@@ -321,7 +328,7 @@ def counterpart_of(
 
 
 def attach_agreements(
-    contracts: DataFrame, agreements: DataFrame, tables: TableSet, bounded: bool = False
+    contracts: DataFrame, agreements: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED
 ) -> DataFrame:
     """Bring facts about agreements to the contracts; contracts without one stay."""
     return lookup_join(
@@ -330,7 +337,7 @@ def attach_agreements(
         ["agreement_id"],
         hot=None if bounded else tables.hot("agreement_contract", "agreement_id"),
         spread=["contract_id"],
-        broadcast_right=bounded,
+        broadcast_right=bool(bounded),
     )
 
 
@@ -406,7 +413,7 @@ def address_rows(
 
 
 def location_rows(
-    counterparts: DataFrame, tables: TableSet, bounded: bool = False, view: str | None = None
+    counterparts: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED, view: str | None = None
 ) -> DataFrame:
     link = scan(
         tables,
@@ -467,7 +474,7 @@ def counterpart_facts(
     counterparts: DataFrame,
     tables: TableSet,
     cfg: RuleConfig,
-    bounded: bool = False,
+    bounded: Bound = UNBOUNDED,
     view: str | None = None,
 ) -> DataFrame:
     """All facts about counterpart agreements at once."""
@@ -528,7 +535,7 @@ def customer_check(
     assets: DataFrame,
     tables: TableSet,
     cfg: RuleConfig,
-    bounded: bool = False,
+    bounded: Bound = UNBOUNDED,
     view: str | None = None,
 ) -> DataFrame:
     """Add ``customer_ok`` to rows per asset: usable address for its site, or usable number."""
@@ -594,9 +601,11 @@ def item_main_check(df: DataFrame, tables: TableSet, cfg: RuleConfig, **options)
 
 
 def attach_item_facts(
-    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: bool = False
+    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
 ) -> DataFrame:
-    """Both item checks, made once per item and sort of site."""
+    """Both item checks, made once per item and sort of site if there are many contracts."""
+    if bounded:
+        return item_main_check(item_mapping_check(contracts, tables, cfg), tables, cfg)
     contracts = contracts.withColumn("_special", is_special(cfg))
     items = (
         contracts.select("item_num", "_special")
@@ -609,9 +618,8 @@ def attach_item_facts(
         contracts,
         facts.drop("contract_site"),
         ["item_num", "_special"],
-        hot=None if bounded else tables.hot("contract", "item_num"),
+        hot=tables.hot("contract", "item_num"),
         spread=["contract_id"],
-        broadcast_right=bounded,
     ).drop("_special")
 
 
@@ -647,7 +655,7 @@ def agreement_facts(
     contracts: DataFrame,
     tables: TableSet,
     cfg: RuleConfig,
-    bounded: bool = False,
+    bounded: Bound = UNBOUNDED,
     view: str | None = None,
 ) -> DataFrame:
     """One row per agreement of the contracts, with all facts about its counterpart."""
@@ -661,7 +669,7 @@ def agreement_facts(
         ["cp_agreement_id"],
         hot=None if bounded else tables.hot("agreement_identifier", "counterpart_id"),
         spread=["agreement_id"],
-        broadcast_right=bounded,
+        broadcast_right=bool(bounded),
     )
 
 
@@ -675,7 +683,12 @@ class Walk:
 
     def attach(self, facts: DataFrame, tables: TableSet) -> DataFrame:
         return attach_contracts(
-            self.links.df, self.covered.df, facts, tables, self.covered.bounded
+            self.links.df,
+            self.covered.df,
+            facts,
+            tables,
+            self.covered.bounded,
+            existing=self.contracts.df,
         )
 
 
@@ -706,20 +719,18 @@ def checked_pairs(
     policy = tables.skew
     found = walk(tables, cfg, asset_view)
     contracts, bounded = found.contracts.df, found.contracts.bounded
-    agreements = stage(
-        agreement_facts(contracts, tables, cfg, bounded, counterpart_view), policy
-    ).df
+    agreements = agreement_facts(contracts, tables, cfg, bounded, counterpart_view)
+    assets_of = counterpart_asset_rows(tables)
+    if bounded.cuts(assets_of):
+        agreements = stage(agreements, policy).df
+        assets_of = cut_to_keys(assets_of, agreements, "cp_agreement_id", bounded)
     facts = attach_agreements(contracts, agreements, tables, bounded)
     facts = attach_item_facts(facts, tables, cfg, bounded)
-    pairs = found.attach(facts, tables)
-
-    assets_of = counterpart_asset_rows(tables)
-    hot = None
     if bounded:
-        assets_of = cut_to_keys(assets_of, agreements, "cp_agreement_id", True)
+        hot = None
     else:
         hot = hot_keys(facts, ["cp_agreement_id"], policy)["cp_agreement_id"]
-    return agreement_has_this_asset(pairs, assets_of, hot)
+    return agreement_has_this_asset(found.attach(facts, tables), assets_of, hot)
 
 
 def root_cause_report(tables: TableSet, cfg: RuleConfig) -> DataFrame:

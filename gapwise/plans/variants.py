@@ -70,7 +70,7 @@ def status_coalesce(tables: TableSet, cfg: RuleConfig) -> DataFrame:
         ["cp_agreement_id"],
         config.LOCATION_NOT_FOUND,
         count_name="_links",
-        broadcast_right=bounded,
+        broadcast_right=bool(bounded),
     ).select("cp_agreement_id", (F.col("_links") > 0).alias("_located"))
     agreements = lookup_join(
         agreements,
@@ -78,7 +78,7 @@ def status_coalesce(tables: TableSet, cfg: RuleConfig) -> DataFrame:
         ["cp_agreement_id"],
         hot=None if bounded else tables.hot("agreement_identifier", "counterpart_id"),
         spread=["agreement_id"],
-        broadcast_right=bounded,
+        broadcast_right=bool(bounded),
     )
     facts = attach_agreements(contracts, agreements, tables, bounded)
 
@@ -89,7 +89,7 @@ def status_coalesce(tables: TableSet, cfg: RuleConfig) -> DataFrame:
         ["item_num"],
         hot=None if bounded else tables.hot("contract", "item_num"),
         spread=["contract_id"],
-        broadcast_right=bounded,
+        broadcast_right=bool(bounded),
     )
     label = F.coalesce(
         F.when(~F.coalesce(F.col("_located"), F.lit(False)), config.LOCATION_NOT_FOUND),
