@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -66,13 +67,17 @@ def checkpoint_ready(spark: SparkSession) -> bool:
 def stage(df: DataFrame, policy: SkewPolicy) -> Staged:
     """Compute a frame that many later steps read, once, and count it on the way.
 
-    The checkpoint is reliable: lost executors do not lose it. Without a
-    checkpoint folder the frame stays lazy and counts as unbounded.
+    It is written as Parquet to the checkpoint folder, so that lost executors do
+    not lose it, later steps read the columns they need, and the optimizer knows
+    its size. Without such a folder the frame stays lazy and counts as unbounded.
     """
-    if not checkpoint_ready(df.sparkSession):
+    spark = df.sparkSession
+    if not checkpoint_ready(spark):
         return Staged(df, None, UNBOUNDED)
+    path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
     observed = Observation()
-    written = df.observe(observed, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
+    df.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
     rows = observed.get["rows"]
     return Staged(written, rows, Bound(rows <= policy.broadcast_rows, policy.profile_bytes))
 
