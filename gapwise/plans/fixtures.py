@@ -6,11 +6,14 @@ and grows with the given tables; ``FIXTURES.md`` states it in words.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwise.config import RuleConfig
 from gapwise.operators.skew import SkewPolicy
+from gapwise.operators.staging import stage
 from gapwise.sources.tables import TableSet
 
 #: rule constants that fit the derived tables
@@ -48,17 +51,24 @@ def derive_tables(
         "o_orderpriority as priority",
         "o_orderdate as ordered_at",
     )
-    contract_ids = (
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .where("l_orderkey % 2 = 1 or (l_orderkey div 2) % 17 = 0")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(F.min("l_partkey").alias("partkey"))
-        .selectExpr(
-            "l_orderkey * 10 + l_linenumber as c",
-            "l_orderkey + l_linenumber as s",
-            "partkey",
+    policy = skew or SkewPolicy()
+
+    @cache
+    def contract_ids() -> DataFrame:
+        """Five tables come from this aggregate of the largest table, so it is made once."""
+        ids = (
+            spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+            .where("l_orderkey % 2 = 1 or (l_orderkey div 2) % 17 = 0")
+            .groupBy("l_orderkey", "l_linenumber")
+            .agg(F.min("l_partkey").alias("partkey"))
+            .selectExpr(
+                "l_orderkey * 10 + l_linenumber as c",
+                "l_orderkey + l_linenumber as s",
+                "partkey",
+            )
         )
-    )
+        return stage(ids, policy).df
+
     item_ids = (
         spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey % 60 as n").distinct()
     )
@@ -80,32 +90,53 @@ def derive_tables(
         "k + 1 as to_asset_id",
         _int("if(j % 11 = 0, 4, 9)") + " as relationship_type_id",
     )
-    contract = contract_ids.selectExpr(
-        "c as contract_id",
-        "concat('IT', partkey % 60) as item_num",
-        _int("if(s % 4 = 0, 6, 1)") + " as source_site_id",
-    )
-    coverage = contract_ids.selectExpr("c as contract_id", "c div 10 as asset_id").unionByName(
-        orders.where("even and j % 13 = 0").selectExpr(
+
+    def contract() -> DataFrame:
+        return contract_ids().selectExpr(
+            "c as contract_id",
+            "concat('IT', partkey % 60) as item_num",
+            _int("if(s % 4 = 0, 6, 1)") + " as source_site_id",
+        )
+
+    def coverage() -> DataFrame:
+        dangling = orders.where("even and j % 13 = 0").selectExpr(
             "90000000 + k as contract_id", "k as asset_id"
         )
-    )
-    contract_identifier = contract_ids.where("c % 7 = 0").selectExpr(
-        "c + 5000000 as contract_id",
-        "cast(c as string) as identifier_value",
-        _int("if(c % 2 = 0, 106, 105)") + " as identifier_type_id",
-    )
+        return (
+            contract_ids()
+            .selectExpr("c as contract_id", "c div 10 as asset_id")
+            .unionByName(dangling)
+        )
+
+    def contract_identifier() -> DataFrame:
+        return contract_ids().where("c % 7 = 0").selectExpr(
+            "c + 5000000 as contract_id",
+            "cast(c as string) as identifier_value",
+            _int("if(c % 2 = 0, 106, 105)") + " as identifier_type_id",
+        )
+
+    def agreement_contract() -> DataFrame:
+        counterparts = orders.where("even").selectExpr(
+            "2000000 + k as agreement_id", "90000000 + k as contract_id"
+        )
+        return (
+            contract_ids()
+            .where("c % 10 <= 4")
+            .selectExpr("1000000 + c div 10 as agreement_id", "c as contract_id")
+            .unionByName(counterparts)
+        )
+
+    def instruction() -> DataFrame:
+        return contract_ids().where("c % 5 < 2").selectExpr(
+            "c as instr_id",
+            _int("1 + c % 2") + " as entity_type_id",
+            "cast(c as string) as entity_value",
+        )
+
     agreement = orders.selectExpr(
         "if(even, 2000000 + k, 1000000 + k) as agreement_id",
         _int("if(j % if(even, 3, 2) = 0, 6, 1)") + " as source_site_id",
     )
-    agreement_contract = contract_ids.where("c % 10 <= 4").selectExpr(
-        "1000000 + c div 10 as agreement_id", "c as contract_id"
-    ).unionByName(
-        orders.where("even").selectExpr(
-            "2000000 + k as agreement_id", "90000000 + k as contract_id"
-        )
-    )
     agreement_identifier = _rows(
         orders.where("not even"),
         _row(
@@ -139,11 +170,6 @@ def derive_tables(
     item_main = item_ids.selectExpr(
         "concat('IT', n) as item_num", _int("if(n % 2 = 0, 6, 1)") + " as source_site_id"
     )
-    instruction = contract_ids.where("c % 5 < 2").selectExpr(
-        "c as instr_id",
-        _int("1 + c % 2") + " as entity_type_id",
-        "cast(c as string) as entity_value",
-    )
     return TableSet(
         {
             "asset": asset,
@@ -166,5 +192,5 @@ def derive_tables(
             "item_main": item_main,
             "instruction": instruction,
         },
-        skew,
+        policy,
     )

@@ -179,17 +179,18 @@ def attach_contracts(
     def of_originals(found: DataFrame) -> DataFrame:
         return spread_join(
             covered,
-            F.broadcast(found) if bounded else found,
+            found,
             ["contract_id"],
             hot_left=None if bounded else tables.hot("contract_coverage", "contract_id"),
             spread_left=["original_asset_id"],
         )
 
+    # These rows are wide, so that even a counted side gets no hint to broadcast it.
     rows = of_originals(contracts)
-    hot_originals = {} if bounded else tables.hot("asset_relationship", "to_asset_id")
+    hot_originals = None if bounded else tables.hot("asset_relationship", "to_asset_id")
     pairs = spread_join(
         links,
-        F.broadcast(rows) if bounded else rows,
+        rows,
         ["original_asset_id"],
         hot_left=hot_originals,
         hot_right=None if bounded else tables.hot("contract_coverage", "asset_id"),
@@ -199,17 +200,17 @@ def attach_contracts(
     pairs = _lowest_original(pairs)
 
     ids = (contracts if existing is None else existing).select("contract_id")
-    reaching = of_originals(ids).select("original_asset_id").distinct()
+    reaching = of_originals(F.broadcast(ids) if bounded else ids).select("original_asset_id")
     reached = spread_join(
         links.select("asset_id", "original_asset_id"),
-        F.broadcast(reaching) if bounded else reaching,
+        F.broadcast(reaching) if bounded else reaching.distinct(),
         ["original_asset_id"],
         "left_semi",
         hot_left=hot_originals,
         spread_left=["asset_id"],
-    )
+    ).select("asset_id")
     alone = _lowest_original(links).join(
-        reached.select("asset_id").distinct(), "asset_id", "left_anti"
+        reached if bounded else reached.distinct(), "asset_id", "left_anti"
     )
     return pairs.unionByName(alone, allowMissingColumns=True)
 
@@ -316,7 +317,10 @@ def distinct_agreements(contracts: DataFrame) -> DataFrame:
 def counterpart_of(
     agreements: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
 ) -> DataFrame:
-    """Add ``cp_agreement_id`` to a frame with one row per agreement; lowest value wins."""
+    """Add ``cp_agreement_id``; the lowest value wins.
+
+    Unless it is bounded the frame has one row per agreement.
+    """
     identifiers = (
         tables["agreement_identifier"]
         .where(F.col("identifier_type_id").isin(*cfg.counterpart_identifier_types))
@@ -328,16 +332,15 @@ def counterpart_of(
 
 
 def attach_agreements(
-    contracts: DataFrame, agreements: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED
+    contracts: DataFrame, agreements: DataFrame, tables: TableSet
 ) -> DataFrame:
     """Bring facts about agreements to the contracts; contracts without one stay."""
     return lookup_join(
         contracts,
         agreements,
         ["agreement_id"],
-        hot=None if bounded else tables.hot("agreement_contract", "agreement_id"),
+        hot=tables.hot("agreement_contract", "agreement_id"),
         spread=["contract_id"],
-        broadcast_right=bool(bounded),
     )
 
 
@@ -651,26 +654,32 @@ def root_cause_label() -> Column:
     )
 
 
-def agreement_facts(
+def with_counterparts(
     contracts: DataFrame,
     tables: TableSet,
     cfg: RuleConfig,
     bounded: Bound = UNBOUNDED,
     view: str | None = None,
 ) -> DataFrame:
-    """One row per agreement of the contracts, with all facts about its counterpart."""
-    agreements = counterpart_of(distinct_agreements(contracts), tables, cfg, bounded)
-    counterparts = counterpart_facts(
-        distinct_counterparts(agreements), tables, cfg, bounded, view
-    )
-    return lookup_join(
-        agreements,
-        counterparts,
+    """Add ``cp_agreement_id`` and all facts about it to the contracts.
+
+    Few contracts look both up directly. Many go through one row per agreement,
+    so that either join has a key whose hot values are known from a base table.
+    """
+    if bounded:
+        named = counterpart_of(contracts, tables, cfg, bounded)
+        facts = counterpart_facts(distinct_counterparts(named), tables, cfg, bounded, view)
+        return lookup_join(named, facts, ["cp_agreement_id"], broadcast_right=True)
+    named = counterpart_of(distinct_agreements(contracts), tables, cfg)
+    facts = counterpart_facts(distinct_counterparts(named), tables, cfg, view=view)
+    agreements = lookup_join(
+        named,
+        facts,
         ["cp_agreement_id"],
-        hot=None if bounded else tables.hot("agreement_identifier", "counterpart_id"),
+        hot=tables.hot("agreement_identifier", "counterpart_id"),
         spread=["agreement_id"],
-        broadcast_right=bool(bounded),
     )
+    return attach_agreements(contracts, agreements, tables)
 
 
 @dataclass(frozen=True)
@@ -719,17 +728,16 @@ def checked_pairs(
     policy = tables.skew
     found = walk(tables, cfg, asset_view)
     contracts, bounded = found.contracts.df, found.contracts.bounded
-    agreements = agreement_facts(contracts, tables, cfg, bounded, counterpart_view)
+    facts = with_counterparts(contracts, tables, cfg, bounded, counterpart_view)
     assets_of = counterpart_asset_rows(tables)
-    if bounded.cuts(assets_of):
-        agreements = stage(agreements, policy).df
-        assets_of = cut_to_keys(assets_of, agreements, "cp_agreement_id", bounded)
-    facts = attach_agreements(contracts, agreements, tables, bounded)
-    facts = attach_item_facts(facts, tables, cfg, bounded)
-    if bounded:
-        hot = None
-    else:
+    hot = None
+    if not bounded:
+        facts = stage(facts, policy).df
         hot = hot_keys(facts, ["cp_agreement_id"], policy)["cp_agreement_id"]
+    elif bounded.cuts(assets_of):
+        facts = stage(facts, policy).df
+        assets_of = cut_to_keys(assets_of, facts, "cp_agreement_id", bounded)
+    facts = attach_item_facts(facts, tables, cfg, bounded)
     return agreement_has_this_asset(found.attach(facts, tables), assets_of, hot)
 
 

@@ -11,7 +11,7 @@ from gapwise.functions.scalars import id_from_text
 from gapwise.operators.aggregates import grouped_count_status
 from gapwise.operators.joins import or_key_join, star_inner_join, state_gated_join
 from gapwise.operators.skew import lookup_join
-from gapwise.operators.staging import cut_to_keys
+from gapwise.operators.staging import UNBOUNDED, Bound, cut_to_keys
 from gapwise.plans.root_cause import (
     ASSET_COLUMNS,
     attach_agreements,
@@ -51,6 +51,22 @@ def item_status(items: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFram
     ).drop("_maps", "_mains")
 
 
+def located_counterparts(
+    named: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED
+) -> DataFrame:
+    """One row per counterpart agreement, with ``_located``: has it any address link?"""
+    links = scan(tables, "party_address_agreement", {"agreement_id": "cp_agreement_id"})
+    counterparts = distinct_counterparts(named)
+    return grouped_count_status(
+        counterparts,
+        cut_to_keys(links, counterparts, "cp_agreement_id", bounded),
+        ["cp_agreement_id"],
+        config.LOCATION_NOT_FOUND,
+        count_name="_links",
+        broadcast_right=bool(bounded),
+    ).select("cp_agreement_id", (F.col("_links") > 0).alias("_located"))
+
+
 def status_coalesce(tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """Asset, contract and a label from the first status that is not fine.
 
@@ -60,27 +76,24 @@ def status_coalesce(tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """
     found = walk(tables, cfg)
     contracts, bounded = found.contracts.df, found.contracts.bounded
-    agreements = counterpart_of(distinct_agreements(contracts), tables, cfg, bounded)
-
-    links = scan(tables, "party_address_agreement", {"agreement_id": "cp_agreement_id"})
-    counterparts = distinct_counterparts(agreements)
-    counterparts = grouped_count_status(
-        counterparts,
-        cut_to_keys(links, counterparts, "cp_agreement_id", bounded),
-        ["cp_agreement_id"],
-        config.LOCATION_NOT_FOUND,
-        count_name="_links",
-        broadcast_right=bool(bounded),
-    ).select("cp_agreement_id", (F.col("_links") > 0).alias("_located"))
-    agreements = lookup_join(
-        agreements,
-        counterparts,
-        ["cp_agreement_id"],
-        hot=None if bounded else tables.hot("agreement_identifier", "counterpart_id"),
-        spread=["agreement_id"],
-        broadcast_right=bool(bounded),
-    )
-    facts = attach_agreements(contracts, agreements, tables, bounded)
+    if bounded:
+        named = counterpart_of(contracts, tables, cfg, bounded)
+        facts = lookup_join(
+            named,
+            located_counterparts(named, tables, bounded),
+            ["cp_agreement_id"],
+            broadcast_right=True,
+        )
+    else:
+        named = counterpart_of(distinct_agreements(contracts), tables, cfg)
+        agreements = lookup_join(
+            named,
+            located_counterparts(named, tables),
+            ["cp_agreement_id"],
+            hot=tables.hot("agreement_identifier", "counterpart_id"),
+            spread=["agreement_id"],
+        )
+        facts = attach_agreements(contracts, agreements, tables)
 
     items = contracts.select("item_num").where(F.col("item_num").isNotNull()).distinct()
     facts = lookup_join(

@@ -52,15 +52,25 @@ def scan(tables: Mapping[str, DataFrame], name: str, columns: Mapping[str, str])
 
 
 class TableSet(Mapping):
-    """Frames by logical name. Statistics on hot keys are taken once, on demand."""
+    """Frames by logical name, or functions that make them when first asked for.
 
-    def __init__(self, frames: Mapping[str, DataFrame], skew: SkewPolicy | None = None):
+    Statistics on hot keys are taken once, on demand.
+    """
+
+    def __init__(
+        self,
+        frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
+        skew: SkewPolicy | None = None,
+    ):
         self._frames = dict(frames)
         self._hot: dict[str, dict[str, HotKeys]] = {}
         self.skew = skew or SkewPolicy()
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._frames[name]
+        frame = self._frames[name]
+        if callable(frame):
+            frame = self._frames[name] = frame()
+        return frame
 
     def __iter__(self):
         return iter(self._frames)
