@@ -8,6 +8,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gapwise.functions import arrays, predicates, scalars
 from gapwise.operators import aggregates, joins
+from gapwise.operators.skew import HotKeys, SkewPolicy, hot_keys
 from gapwise.sources.files import stale_files
 from gapwise.sources.records import PRESCRIBER, REJECT_CODE, flatten_record, struct_unpack
 from gapwise.sources.tables import scan
@@ -22,6 +23,10 @@ class Given:
     def __getitem__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def hot(self, name: str, column: str) -> HotKeys:
+        """Hot values of a join key; none for tables too small to have any."""
+        return hot_keys(self[name], [column], SkewPolicy())[column]
+
 
 # --- sources -----------------------------------------------------------------
 
@@ -190,7 +195,12 @@ def two_hop_absence(t: Given) -> DataFrame:
     link = t["orders"].select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
     target = t["lineitem"].where("l_quantity > 49").select(F.col("l_orderkey").alias("o_orderkey"))
     return joins.two_hop_absence(
-        t["customer"].select("c_custkey"), link, target, "c_custkey", "o_orderkey"
+        t["customer"].select("c_custkey"),
+        link,
+        target,
+        "c_custkey",
+        "o_orderkey",
+        hot_key=t.hot("orders", "o_custkey"),
     )
 
 
@@ -212,7 +222,12 @@ def not_exists(t: Given) -> DataFrame:
 def unique_lookup(t: Given) -> DataFrame:
     names = t["customer"].select(F.col("c_custkey").alias("o_custkey"), "c_name")
     return joins.unique_lookup(
-        t["orders"].select("o_orderkey", "o_custkey"), names, ["o_custkey"], "c_name"
+        t["orders"].select("o_orderkey", "o_custkey"),
+        names,
+        ["o_custkey"],
+        "c_name",
+        hot=t.hot("orders", "o_custkey"),
+        spread=["o_orderkey"],
     )
 
 
@@ -281,6 +296,7 @@ def star_inner_join(t: Given) -> DataFrame:
             lines("N", "l_linenumber", "kept_line"),
         ],
         "o_orderkey",
+        hot=[{}] + [t.hot("lineitem", "l_orderkey")] * 3,
     )
 
 
@@ -311,6 +327,7 @@ def grouped_concat(t: Given) -> DataFrame:
         " ",
         name="parts",
         condition=F.col("l_returnflag") == "A",
+        hot=t.hot("lineitem", "l_orderkey"),
     )
 
 
@@ -385,6 +402,22 @@ def array_slot_placement(t: Given) -> DataFrame:
     return placed.select("l_orderkey", (F.col("pos") + 1).alias("slot"), "col.*")
 
 
+def array_scan_words(t: Given) -> DataFrame:
+    """A scan over the words of whole texts: arrays that need no grouping to exist."""
+    words = F.split("text", " ")
+    element = lambda w: F.struct(
+        F.length(w).alias("cntr"),
+        F.substring(w, 1, 1).alias("resp"),
+        F.when(F.length(w) % 2 == 0, arrays.SERVICE_NAME).otherwise("OTHER").alias("service"),
+        F.element_at(
+            F.array(*[F.lit(r) for r in ("HD", "HC", "MX", "ZZ")]),
+            (F.floor(F.length(w) / 2) % 4 + 1).cast("int"),
+        ).alias("reason"),
+    )
+    texts = t["documents"].select("doc_id", F.transform(words, element).alias("z"))
+    return struct_unpack(texts, "s", arrays.scan_summary(F.col("z"))).drop("z")
+
+
 def row_flags(t: Given) -> DataFrame:
     rows = t["lineitem"].select(
         "l_orderkey",
@@ -432,6 +465,7 @@ QUERIES = {
     "array_match_concat": array_match_concat,
     "array_match_flags": array_match_flags,
     "array_scan_scalar_service": array_scan_scalar_service,
+    "array_scan_words": array_scan_words,
     "struct_unpack": struct_unpack_query,
     "array_slot_placement": array_slot_placement,
     "row_flags": row_flags,

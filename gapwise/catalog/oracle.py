@@ -204,6 +204,23 @@ ARRAYS = {
         FROM element""",
 }
 
+_WORDS = """
+    WITH word AS (
+      SELECT doc_id, unnest(string_split(text, ' ')) AS w,
+             generate_subscripts(string_split(text, ' '), 1) AS pos
+      FROM documents
+    ),
+    element AS (
+      SELECT doc_id, pos, length(w) AS cntr, substring(w, 1, 1) AS resp,
+             CASE WHEN length(w) % 2 = 0 THEN 'MEDLIMIT' ELSE 'OTHER' END AS service,
+             CASE (length(w) // 2) % 4 WHEN 0 THEN 'HD' WHEN 1 THEN 'HC' WHEN 2 THEN 'MX'
+                  ELSE 'ZZ' END AS reason
+      FROM word
+    )"""
+ARRAYS["array_scan_words"] = f"""{_WORDS}
+    SELECT doc_id, {_texts(_SERVICE).replace(_IN_ORDER, "ORDER BY pos")}, {_flags(_SERVICE)}
+    FROM element GROUP BY 1"""
+
 # The derived tables.
 _DERIVED = """
     WITH o AS (

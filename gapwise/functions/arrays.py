@@ -7,6 +7,8 @@ one record, so that nothing is shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,30 +39,45 @@ def zip_columns(cntr: str, resp: str, service: str, reason: str, scalar_service:
     return zipped.cast("array<struct<cntr:int,resp:string,service:string,reason:string>>")
 
 
-def match_concat(zipped: Column, field: str, match: str = SERVICE_NAME, sep: str = " ") -> Column:
-    """Values of one field at the matching positions, a separator after each one.
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind a value to a lambda variable, so that the body can use it many times."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    Empty text if nothing matches. A NULL value adds only its separator.
-    """
-    hits = F.filter(zipped, lambda e: e["service"] == match)
+
+def _hits(zipped: Column, match: str) -> Column:
+    return F.filter(zipped, lambda e: e["service"] == match)
+
+
+def _joined(hits: Column, field: str, sep: str) -> Column:
     pieces = F.transform(
         hits, lambda e: F.concat(F.coalesce(e[field].cast("string"), F.lit("")), F.lit(sep))
     )
     return F.array_join(pieces, "")
 
 
-def match_flag(zipped: Column, response: str, reasons: tuple[str, ...], match: str = SERVICE_NAME) -> Column:
-    """``'Y'`` if any matching position has the response and one of the reasons, else ``''``."""
+def _flag(hits: Column, response: str, reasons: tuple[str, ...]) -> Column:
     found = F.exists(
-        zipped,
+        hits,
         lambda e: F.coalesce(
-            (e["service"] == match) & (e["resp"] == response) & e["reason"].isin(*reasons),
-            F.lit(False),
+            (e["resp"] == response) & e["reason"].isin(*reasons), F.lit(False)
         ),
     )
     return F.when(found, F.lit("Y")).otherwise(F.lit(""))
 
 
+def match_concat(zipped: Column, field: str, match: str = SERVICE_NAME, sep: str = " ") -> Column:
+    """Values of one field at the matching positions, a separator after each one.
+
+    Empty text if nothing matches. A NULL value adds only its separator.
+    """
+    return _joined(_hits(zipped, match), field, sep)
+
+
+def match_flag(zipped: Column, response: str, reasons: tuple[str, ...], match: str = SERVICE_NAME) -> Column:
+    """``'Y'`` if any matching position has the response and one of the reasons, else ``''``."""
+    return _flag(_hits(zipped, match), response, reasons)
+
+
 def place_in_slots(zipped: Column, slots: int = SLOT_COUNT) -> Column:
     """Array of ``slots`` structs; the element with counter ``n`` lands in slot ``n``.
 
@@ -68,18 +85,21 @@ def place_in_slots(zipped: Column, slots: int = SLOT_COUNT) -> Column:
     ``1..slots`` are ignored, empty slots are NULL.
     """
 
-    def slot_value(slot: Column) -> Column:
-        candidates = F.transform(
-            F.filter(zipped, lambda e: e["cntr"] == slot),
-            lambda e: F.struct(
-                e["resp"].alias("resp"),
-                e["service"].alias("service"),
-                e["reason"].alias("reason_service"),
-            ),
-        )
-        return F.try_element_at(candidates, F.lit(-1))
+    def placed(elements: Column) -> Column:
+        def slot_value(slot: Column) -> Column:
+            candidates = F.transform(
+                F.filter(elements, lambda e: e["cntr"] == slot),
+                lambda e: F.struct(
+                    e["resp"].alias("resp"),
+                    e["service"].alias("service"),
+                    e["reason"].alias("reason_service"),
+                ),
+            )
+            return F.try_element_at(candidates, F.lit(-1))
+
+        return F.transform(F.sequence(F.lit(1), F.lit(slots)), slot_value)
 
-    return F.transform(F.sequence(F.lit(1), F.lit(slots)), slot_value)
+    return _once(F.filter(zipped, lambda e: e["cntr"].between(1, slots)), placed)
 
 
 def row_flags(resp: Column, reason: Column) -> dict[str, Column]:
@@ -91,17 +111,22 @@ def row_flags(resp: Column, reason: Column) -> dict[str, Column]:
 
 
 def scan_summary(zipped: Column, match: str = SERVICE_NAME, sep: str = " ") -> Column:
-    """All results of a scan as one struct of six text fields."""
-    texts = [
-        match_concat(zipped, field, match, sep).alias(name)
-        for name, field in (
-            ("service_seq", "cntr"),
-            ("resp_flags", "resp"),
-            ("reason_codes", "reason"),
-        )
-    ]
-    flags = [
-        match_flag(zipped, response, reasons, match).alias(name)
-        for name, response, reasons in FLAG_RULES
-    ]
-    return F.struct(*texts, *flags)
+    """All results of a scan as one struct of six text fields.
+
+    The matching elements are bound to a lambda variable, so that the array is
+    made and filtered once and not once per field.
+    """
+
+    def summary(hits: Column) -> Column:
+        texts = [
+            _joined(hits, field, sep).alias(name)
+            for name, field in (
+                ("service_seq", "cntr"),
+                ("resp_flags", "resp"),
+                ("reason_codes", "reason"),
+            )
+        ]
+        flags = [_flag(hits, response, reasons).alias(name) for name, response, reasons in FLAG_RULES]
+        return F.struct(*texts, *flags)
+
+    return _once(_hits(zipped, match), summary)

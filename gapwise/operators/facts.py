@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators.skew import lookup_join
-from gapwise.operators.staging import UNBOUNDED, Bound, cut_to_keys
+from gapwise.operators.staging import UNBOUNDED, Bound, keys_of
 
 
 def any_true(column: Column | str) -> Column:
@@ -29,16 +29,21 @@ def gather_facts(
 
     ``df`` has one row per key and keeps its rows. The sources are stacked and
     aggregated together, on the map side first, so that a key with very many
-    rows reaches its task as a few partial results. With ``bounded`` they are
-    cut to the keys of ``df`` before.
+    rows reaches its task as a few partial results.
+
+    With ``bounded``, for which ``df`` may repeat keys, large sources are cut to
+    the keys of ``df`` before. Only then is their aggregate, with no more rows
+    than ``df``, known to be small enough to broadcast.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
-    stacked = cut_to_keys(stacked, df, key, bounded)
+    cut = bounded.cuts(stacked)
+    if cut:
+        stacked = keys_of(stacked, df, key)
     per_key = (
         stacked.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(*[how(column).alias(column) for column, how in aggregates.items()])
     )
-    joined = lookup_join(df, per_key, [key], broadcast_right=bool(bounded))
+    joined = lookup_join(df, per_key, [key], broadcast_right=cut)
     flags = [column for column, how in aggregates.items() if how is any_true]
     return joined.fillna(False, subset=flags) if flags else joined

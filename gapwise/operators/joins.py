@@ -151,6 +151,7 @@ def or_key_join(
     right_keys: Sequence[str],
     *,
     how: str = "left",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Join where the left key may equal any of several right columns.
 
@@ -161,7 +162,8 @@ def or_key_join(
         F.explode("_keys").alias("_key"), *right.columns
     )
     by_key = by_key.where(F.col("_key").isNotNull())
-    return left.join(by_key, left[left_key] == by_key["_key"], how).drop("_key")
+    keyed = left.withColumn("_key", F.col(left_key))
+    return spread_join(keyed, by_key, ["_key"], how, hot_left=hot).drop("_key")
 
 
 def unpivot_keys(right: DataFrame, kinds: dict[str, str]) -> DataFrame:

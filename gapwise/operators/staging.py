@@ -89,7 +89,10 @@ def cut_to_keys(table: DataFrame, frame: DataFrame, key: str, bounded: Bound) ->
     A table that is small itself is left as it is, and so is any table if the
     frame is not bounded: the aggregation that follows reduces it on the map side.
     """
-    if not bounded.cuts(table):
-        return table
+    return keys_of(table, frame, key) if bounded.cuts(table) else table
+
+
+def keys_of(table: DataFrame, frame: DataFrame, key: str) -> DataFrame:
+    """The cut itself, for a frame that was counted."""
     keys = frame.select(key).where(F.col(key).isNotNull())
     return table.join(F.broadcast(keys), key, "left_semi")

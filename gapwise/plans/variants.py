@@ -11,7 +11,7 @@ from gapwise.functions.scalars import id_from_text
 from gapwise.operators.aggregates import grouped_count_status
 from gapwise.operators.joins import or_key_join, star_inner_join, state_gated_join
 from gapwise.operators.skew import lookup_join
-from gapwise.operators.staging import UNBOUNDED, Bound, cut_to_keys
+from gapwise.operators.staging import UNBOUNDED, Bound, keys_of
 from gapwise.plans.root_cause import (
     ASSET_COLUMNS,
     attach_agreements,
@@ -57,13 +57,14 @@ def located_counterparts(
     """One row per counterpart agreement, with ``_located``: has it any address link?"""
     links = scan(tables, "party_address_agreement", {"agreement_id": "cp_agreement_id"})
     counterparts = distinct_counterparts(named)
+    cut = bounded.cuts(links)
     return grouped_count_status(
         counterparts,
-        cut_to_keys(links, counterparts, "cp_agreement_id", bounded),
+        keys_of(links, counterparts, "cp_agreement_id") if cut else links,
         ["cp_agreement_id"],
         config.LOCATION_NOT_FOUND,
         count_name="_links",
-        broadcast_right=bool(bounded),
+        broadcast_right=cut,
     ).select("cp_agreement_id", (F.col("_links") > 0).alias("_located"))
 
 

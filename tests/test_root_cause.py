@@ -12,7 +12,7 @@ from gapwise.operators.skew import SkewPolicy
 from gapwise.plans import root_cause as rc
 from gapwise.plans import variants
 from gapwise.plans.fixtures import FIXTURE_RULES, derive_tables
-from gapwise.sources.tables import SCHEMAS, TableSet
+from gapwise.sources.tables import SCHEMAS, SKEW_COLUMNS, TableSet
 
 CFG = FIXTURE_RULES
 
@@ -100,6 +100,14 @@ def test_awkward_tables_reach_most_labels():
     assert len(seen) >= 12, seen
 
 
+def test_awkward_tables_have_hot_keys(spark):
+    """The last policy really splits: every profiled key column has a hot value."""
+    tables = load(spark, awkward_tables(0), list(POLICIES.values())[-1])
+    for table, columns in SKEW_COLUMNS.items():
+        for column in columns:
+            assert tables.hot(table, column), (table, column)
+
+
 @pytest.mark.parametrize("policy", list(POLICIES))
 @pytest.mark.parametrize("seed", [0, 1])
 def test_report_equals_the_rules(spark, seed, policy):
