@@ -209,11 +209,11 @@ def test_stored_tables_with_other_names(spark, tmp_path):
             df = df.withColumnRenamed("source_site_id", "SITE")
         if name == "asset":
             df = df.withColumn("created_at", df["created_at"].cast("timestamp"))
-        df.write.parquet(str(tmp_path / f"svc_{name}"))
+        df.write.parquet(str(tmp_path / f"raw_{name}"))
     stored = TableSet.from_parquet(
         spark,
         str(tmp_path),
-        names={name: f"svc_{name}" for name in SCHEMAS},
+        names={name: f"raw_{name}" for name in SCHEMAS},
         columns={"agreement": {"SITE": "source_site_id"}},
     )
     expected = in_order(r[:3] for r in rules.report(as_dicts(data), CFG))
@@ -228,3 +228,10 @@ def test_lazy_without_a_checkpoint_folder(spark, monkeypatch):
     data = awkward_tables(1)
     got = rows(rc.root_cause_ladder(load(spark, data, SkewPolicy()), CFG))
     assert got == in_order(r[:3] for r in rules.report(as_dicts(data), CFG))
+
+
+def test_no_candidates_give_an_empty_report(spark):
+    """The default rules look at another period than the derived tables have."""
+    report = rc.root_cause_report(derive_tables(spark, SMALL), c.RuleConfig())
+    assert report.columns == list(rc.REPORT_COLUMNS)
+    assert report.count() == 0
