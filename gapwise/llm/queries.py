@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapwise.llm.packing import cut_pieces, pack
 from gapwise.llm.staging import new_folder
 from gapwise.llm.token_files import token_report, write_token_files
 
@@ -21,6 +22,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(cut_pieces(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
     write_token_files(read(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
@@ -28,6 +33,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op9_token_files": op9_token_files,
 }
 
