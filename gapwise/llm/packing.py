@@ -28,15 +28,14 @@ def cut_pieces(docs: DataFrame, tokenizer: str, kind: str = "word", end_id: int
     check_tokenizer(tokenizer, kind)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer, kind).encode, np.array([end_id], "<u4").tobytes()
+        ids_of, end = encoder(tokenizer, kind).encode, np.array([end_id], "<u4")
         for got in batches:
             rows: list[tuple] = []
-            texts = (x.as_py() for x in got.column(1))
-            for doc_id, ids in zip(got.column(0).to_pylist(), ids_of(texts)):
-                ids += end
-                for i, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
-                    rows.append((doc_id, i, at // 4, len(own) // 4, zlib.crc32(own)))
+            for doc_id, ids in zip(got.column(0).to_pylist(), ids_of(got.column(1))):
+                ids = np.concatenate([ids, end]).astype("<u4", copy=False)
+                for i, at in enumerate(range(0, len(ids), capacity)):
+                    own = ids[at : at + capacity]
+                    rows.append((doc_id, i, at, len(own), zlib.crc32(own)))
             if rows:
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 names = ["doc_id", "piece", "start", "length", "ids_crc32"]

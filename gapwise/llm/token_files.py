@@ -60,30 +60,29 @@ def write_token_files(
         from pyspark import TaskContext
 
         part, before = TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], np.uint32)
         arrow = pa.schema(
             [("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
         )
 
-        def batch(doc_ids: list, found: list[bytes]) -> pa.RecordBatch:
+        def batch(doc_ids: list, found: list[np.ndarray]) -> pa.RecordBatch:
             nonlocal before
-            lengths = np.array([len(x) // 4 for x in found], np.int64)
+            lengths = np.array([len(x) + 1 for x in found], np.int64)
             ends = np.cumsum(lengths)
             starts = before + ends - lengths
             before += int(ends[-1])
             offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
-            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4")))
+            ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([y for x in found for y in (x, end)]).view(np.int32)))
             columns = [pa.array(doc_ids, pa.int64()), pa.array(np.full(len(found), part, np.int32)), pa.array(starts), pa.array(lengths), ids]
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
         ids_of = encoder(tokenizer, kind).encode
         for got in batches:
             doc_ids, found, size = [], [], 0
-            texts = (x.as_py() for x in got.column(1))
-            for doc_id, ids in zip(got.column(0).to_pylist(), ids_of(texts)):
+            for doc_id, ids in zip(got.column(0).to_pylist(), ids_of(got.column(1))):
                 doc_ids.append(doc_id)
-                found.append(ids + end)
-                size += len(ids) // 4 + 1
+                found.append(ids)
+                size += len(ids) + 1
                 if size >= BATCH_IDS:
                     yield batch(doc_ids, found)
                     doc_ids, found, size = [], [], 0
