@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gapwise.llm.near_duplicates import near_duplicates
 from gapwise.llm.packing import cut_pieces, pack
 from gapwise.llm.staging import new_folder
 from gapwise.llm.token_files import token_report, write_token_files
@@ -32,9 +33,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(spark, path)
 
 
+def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"), width=3, at_least=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op9_token_files": op9_token_files,
+    "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
 }
 
 SQL: dict[str, str] = {}

@@ -43,6 +43,6 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
         return whole
     total = words[: n - width + 1] * _STEPS[0]
     for i in range(1, width):
-        total = total + mix(words[i : n - width + 1 + i] + _STEPS[i % len(_STEPS)] * U64(i))
+        total = total + mix(words[i : n - width + 1 + i] + U64(int(_STEPS[i % len(_STEPS)]) * i % (1 << 64)))
     shingles = np.sort(mix(total))
     return shingles[np.concatenate([[True], shingles[1:] != shingles[:-1]])]
