@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gapwise.llm.near_duplicates import near_duplicates
 from gapwise.llm.packing import cut_pieces, pack
+from gapwise.llm.personal_data import KINDS, with_personal_data
 from gapwise.llm.staging import new_folder
 from gapwise.llm.token_files import token_report, write_token_files
 
@@ -27,6 +28,20 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(cut_pieces(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = with_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "personal_data")
+    spans = F.col("personal_data")
+    listed = lambda some: F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    of_kind = lambda name: lambda s: s["kind"] == name
+    base = [kind.name for kind in KINDS if kind.base]
+    return found.select(
+        "doc_id",
+        *(F.size(F.filter(spans, of_kind(k))).cast("long").alias(f"n_{k}") for k in base),
+        F.sha2(listed(F.filter(spans, lambda s: s["base"])), 256).alias("base_sha256"),
+        listed(spans).alias("spans"),
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "token-files")
     write_token_files(read(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
@@ -39,6 +54,7 @@ def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op6_personal_data": op6_personal_data,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
 }
