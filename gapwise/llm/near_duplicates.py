@@ -16,6 +16,7 @@ from gapwise.llm.staging import staged
 
 U32 = np.uint32
 _FIRST, _SECOND = U32(0x9E3779B1), U32(0x85EBCA77)  # odd, so that multiplying permutes 32-bit integers
+ODD_BITS = 2048
 #: Shingles times coordinates that are worked on at once stay within a core's cache.
 _AT_ONCE = 1024
 
@@ -58,6 +59,16 @@ def set_id(shingles: np.ndarray) -> bytes:
     return np.array([a, b], np.uint64).tobytes()
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Bits that tell of each of `ODD_BITS` parts of the hash space whether its shingles are odd in number.
+
+    Two sets differ in at least as many shingles as their sketches in bits.
+    """
+    places = (mix(shingles ^ U64(0x94D049BB133111EB)) & U64(ODD_BITS - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=ODD_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
     return (shingle_set(words, width) for words in words_of(texts))
 
@@ -96,7 +107,7 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """set_id, shingles of each node (set_id, first_id), from the text of a document that has the set."""
+    """set_id, odd sketch and shingles of each node (set_id, first_id), from the text of a document that has the set."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
@@ -105,7 +116,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             def batch() -> pa.RecordBatch:
                 ends = pa.array(np.cumsum([0, *map(len, found)]).astype(np.int32))
                 shingles = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found).view(np.int64)))
-                return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), shingles], names=["set_id", "shingles"])
+                bits = pa.array([odd_sketch(own) for own in found], pa.list_(pa.int64()))
+                return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), bits, shingles], names=["set_id", "odd", "shingles"])
 
             for wanted, own in zip(got.column(0).to_pylist(), _sets(got.column(1), width)):
                 if len(own) and set_id(own) == wanted:  # an id may stand for several texts
@@ -120,7 +132,7 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col("text").cast("string").alias("text"))
     own = texts.join(nodes.select("set_id", "first_id"), "first_id").select("set_id", "text")
-    return own.mapInArrow(find, "set_id binary, shingles array<long>").dropDuplicates(["set_id"])
+    return own.mapInArrow(find, "set_id binary, odd array<long>, shingles array<long>").dropDuplicates(["set_id"])
 
 
 def near_duplicates(
@@ -142,7 +154,8 @@ def near_duplicates(
     A bucket of candidates isn't expanded into pairs. Each node is compared with the
     most central node of its buckets, then, where that leaves a bucket with nodes of
     more than one component, with the central nodes of its other buckets, and last the
-    nodes outside a bucket's main component with all its nodes of other components.
+    nodes outside a bucket's main component with all its nodes of other components,
+    of which those pairs go on whose odd sketches don't rule out a link.
     Pairs within a component need no comparison, so no link between components is lost.
     """
     sketch = staged(sketches(docs, width, bands, rows), "sketches")
@@ -193,10 +206,12 @@ def near_duplicates(
     per_label = named.groupBy("key", "label").agg(F.count("*").alias("size"))
     main = per_label.groupBy("key").agg(F.max_by("label", F.struct("size", "label")).alias("main"), F.count("*").alias("labels"))
     main = staged(main.where("labels > 1").select("key", "main"), "main")
-    open_ = named.join(main, "key")
-    outside = staged(open_.where("label != main").select("key", F.col("set_id").alias("a"), F.col("n").alias("n"), F.col("label").alias("l")), "outside")
-    inside = named.join(main.select("key"), "key", "left_semi").select("key", F.col("set_id").alias("b"), F.col("n").alias("m"), "label")
-    ends = outside.join(inside, "key").where((F.col("l") != F.col("label")) & fits)
+    open_ = staged(named.join(main, "key").join(sets.select("set_id", "odd"), "set_id"), "open")
+    outside = open_.where("label != main").select("key", F.col("set_id").alias("a"), "n", F.col("odd").alias("x"), F.col("label").alias("l"))
+    inside = open_.select("key", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("odd").alias("y"), "label")
+    bits = sum((F.bit_count(F.get("x", i).bitwiseXOR(F.get("y", i))) for i in range(1, ODD_BITS // 64)), F.bit_count(F.get("x", 0).bitwiseXOR(F.get("y", 0))))
+    near = bits * (of + at_least) <= (F.col("n") + F.col("m")) * (of - at_least)
+    ends = outside.join(inside, "key").where((F.col("l") != F.col("label")) & fits & near)
     last = staged(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "last")
     if not last.isEmpty():
         links = links.union(confirmed(last))
