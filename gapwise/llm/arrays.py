@@ -42,3 +42,26 @@ def running(values: Column, start: Column, op: Callable[[Column, Column], Column
         return let(sums, lambda s: let(bases(s), each))
 
     return let(values, over)
+
+
+#: Code points in a block of a text.
+CUT = 1024
+
+
+def cut_blocks(text: Column) -> Column:
+    """A text in blocks of `CUT` code points, from which `part` takes any range without reading what is before."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+
+
+def part(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points `start` to `end` (exclusive) of the text of `cut_blocks`."""
+    first = F.floor(start / CUT).cast("int")
+    last = F.floor((end - 1) / CUT).cast("int")
+
+    def of_block(block: Column, i: Column) -> Column:
+        base = (first + i).cast("long") * CUT
+        begin = F.greatest(start - base, F.lit(0).cast("long"))
+        return F.substring(block, (begin + 1).cast("int"), (F.least(end - base, F.lit(CUT).cast("long")) - begin).cast("int"))
+
+    own = F.slice(blocks, first + 1, last - first + 1)
+    return F.when(end > start, F.array_join(F.transform(own, of_block), "")).otherwise("")

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.llm.arrays import indexes, let, running
+from gapwise.llm.arrays import cut_blocks, indexes, let, part, running
 
 
 def luhn(match: Column) -> Column:
@@ -145,34 +145,21 @@ def with_personal_data(
     return docs.withColumn(into, F.array_sort(F.concat(*each)))
 
 
-def masked(text: Column, spans: Column, block: int = 1024) -> Column:
+def masked(text: Column, spans: Column) -> Column:
     """The text with [KIND] in place of each span; overlapping spans become one, named by its first."""
 
     def cut(blocks: Column) -> Column:
-        def part(start: Column, end: Column) -> Column:
-            first = F.floor(start / block).cast("int")
-            last = F.floor((end - 1) / block).cast("int")
-
-            def of_block(b: Column, i: Column) -> Column:
-                base = (first + i).cast("long") * block
-                begin = F.greatest(start - base, F.lit(0).cast("long"))
-                return F.substring(b, (begin + 1).cast("int"), (F.least(end - base, F.lit(block).cast("long")) - begin).cast("int"))
-
-            own = F.slice(blocks, first + 1, last - first + 1)
-            return F.when(end > start, F.array_join(F.transform(own, of_block), "")).otherwise("")
-
         def pieces(reach: Column) -> Column:
             def piece(s: Column, i: Column) -> Column:
                 done = F.get(reach, i)
                 named = F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))
-                return F.when((s["start"] >= done), F.concat(part(done, s["start"]), named)).otherwise("")
+                return F.when((s["start"] >= done), F.concat(part(blocks, done, s["start"]), named)).otherwise("")
 
             done = F.greatest(F.element_at(reach, -1), F.element_at(spans, -1)["end"])
             total = F.char_length(text).cast("long")
-            return F.concat(F.array_join(F.transform(spans, piece), ""), part(done, total))
+            return F.concat(F.array_join(F.transform(spans, piece), ""), part(blocks, done, total))
 
         ends = F.transform(spans, lambda s: s["end"])
         return let(running(ends, F.lit(0).cast("long"), lambda a, b: F.greatest(a, b)), pieces)
 
-    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block}}}"), F.lit(0))
-    return F.when(F.size(spans) == 0, text).otherwise(let(blocks, cut))
+    return F.when(F.size(spans) == 0, text).otherwise(let(cut_blocks(text), cut))
