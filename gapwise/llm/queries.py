@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapwise.llm.chat import formatted, read_back, segments
+from gapwise.llm.grid import usable
 from gapwise.llm.near_duplicates import near_duplicates
+from gapwise.llm.nearest import nearest
 from gapwise.llm.packing import cut_pieces, pack
 from gapwise.llm.personal_data import KINDS, with_personal_data
 from gapwise.llm.staging import new_folder
 from gapwise.llm.token_files import token_report, write_token_files
+from gapwise.llm.top_k import exact_top_k
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -25,6 +28,20 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")))
+    usable_only = F.when(usable(F.col("embedding")), whole)  # before the floor of what has none
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", usable_only.alias("vector"))
+    asked = rows.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return exact_top_k(rows, asked, k=5)
+
+
+def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    asked = rows.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")
+    return nearest(rows, asked, k=20)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(cut_pieces(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
@@ -75,6 +92,8 @@ def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_exact_top_k": op1_exact_top_k,
+    "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_personal_data": op6_personal_data,
     "op8_chat_formatting": op8_chat_formatting,
