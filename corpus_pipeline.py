@@ -5,13 +5,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gapwise.llm.near_duplicates import near_duplicates
+from gapwise.llm.packing import cut_pieces, pack
+from gapwise.llm.personal_data import masked, with_personal_data
+from gapwise.llm.quality import fit, score
 from gapwise.llm.staging import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+#: A document needs this score to stay.
+LEAST_QUALITY = 0.5
 
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on `labels`, takes for good ones; the same columns."""
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score(docs, model).where(F.col("quality_score") >= LEAST_QUALITY).select(*docs.columns)
+
+
+def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five-word shingles, similarity 0.8); the same columns.
+
+    The one with the smallest doc_id stays; of rows that repeat an id and a text one.
+    """
+    kept = near_duplicates(docs, width=5, at_least=80, rows=6).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    return rows.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"]).drop("_text")
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data in their texts replaced by its kind; n_chars follows."""
+    found = with_personal_data(docs, into="_spans")
+    text = masked(F.coalesce("text", F.lit("")), F.col("_spans"))
+    rows = found.withColumn("text", F.when(F.col("text").isNotNull(), text)).drop("_spans")
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return rows.select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and their places in sequences of 2048 tokens."""
+    import public_tokenizers
+
+    return pack(cut_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality),
+    ("near deduplication", deduplication),
+    ("personal data", personal_data),
+    ("best-fit packing", packing),
+]
+
+#: SQL can express neither the classifier nor the packing; the stages are tested one by one.
 ORACLE_SQL: str | None = None
 
 
@@ -19,5 +67,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each result written as Parquet and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

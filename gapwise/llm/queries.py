@@ -13,6 +13,7 @@ from gapwise.llm.near_duplicates import near_duplicates
 from gapwise.llm.nearest import nearest
 from gapwise.llm.packing import cut_pieces, pack
 from gapwise.llm.personal_data import KINDS, with_personal_data
+from gapwise.llm.quality import fit, score
 from gapwise.llm.staging import new_folder
 from gapwise.llm.token_files import token_report, write_token_files
 from gapwise.llm.top_k import exact_top_k
@@ -60,6 +61,12 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, read(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "content_score", "metadata_score", "quality_score", (F.col("quality_score") >= 0.5).alias("kept"))
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.range(2).select(
@@ -96,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_personal_data": op6_personal_data,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
