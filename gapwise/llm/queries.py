@@ -15,6 +15,7 @@ from gapwise.llm.packing import cut_pieces, pack
 from gapwise.llm.personal_data import KINDS, with_personal_data
 from gapwise.llm.quality import fit, score
 from gapwise.llm.staging import new_folder
+from gapwise.llm.templates import extract_main_text
 from gapwise.llm.token_files import token_report, write_token_files
 from gapwise.llm.top_k import exact_top_k
 
@@ -47,6 +48,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(cut_pieces(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")))
 
 
+def op4_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "personal_data")
     spans = F.col("personal_data")
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_template_extraction": op4_template_extraction,
     "op6_personal_data": op6_personal_data,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_formatting": op8_chat_formatting,
