@@ -13,6 +13,7 @@ from gapwise.llm.near_duplicates import near_duplicates
 from gapwise.llm.nearest import nearest
 from gapwise.llm.packing import cut_pieces, pack
 from gapwise.llm.personal_data import KINDS, with_personal_data
+from gapwise.llm.pieces import decoded, encode_n_best
 from gapwise.llm.quality import fit, score
 from gapwise.llm.staging import new_folder
 from gapwise.llm.templates import extract_main_text
@@ -52,6 +53,20 @@ def op4_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op5_n_best_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_file("piece_bpe_32k.model")
+    found = encode_n_best(read(spark, sf_dir, "documents"), model, n=3)
+    return found.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_pieces"),
+        "score",
+        F.transform("others", lambda o: o["score"]).alias("other_scores"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(F.to_json("others"), 256).alias("others_sha256"),
+        F.sha2(decoded("ids", model), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = with_personal_data(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "personal_data")
     spans = F.col("personal_data")
@@ -108,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_nearest_neighbours": op2_nearest_neighbours,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_template_extraction": op4_template_extraction,
+    "op5_n_best_pieces": op5_n_best_pieces,
     "op6_personal_data": op6_personal_data,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat_formatting": op8_chat_formatting,
