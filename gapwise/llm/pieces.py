@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.llm.spans import VALUES, WINDOW, blocks, buffers, span_hashes, windows
+from gapwise.llm.spans import WINDOW, blocks, buffers, windows
 from gapwise.llm.tokens import ChunkEncoder
 
 SPACE = "▁"
@@ -142,6 +142,11 @@ class PieceEncoder(ChunkEncoder):
         (score, ids), *others = self.vocabulary.solved(lattice_text(chunk), self.n)
         return score, ids, [(score - s, own) for s, own in others]
 
+    def _keep(self, keep: np.ndarray) -> None:
+        self.scores, self.gaps = self.scores[keep], self.gaps[keep]
+        self.others = [self.others[i] for i in np.flatnonzero(keep)]
+        super()._keep(keep)
+
     def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
         found = [self._solve(chunk) for chunk in chunks]
         start, ends = len(self.keys), self.first[-1] + np.cumsum([len(ids) for _, ids, _ in found])
@@ -183,23 +188,7 @@ class PieceEncoder(ChunkEncoder):
         start, end = self._chunks(data, cuts) if len(data) else (cuts[:0], cuts[:0])
         regular = ~odd[np.searchsorted(cuts, start, "right") - 1]
         start, end = start[regular], end[regular]
-        hashes = span_hashes(data, start, end, VALUES)
-        entry = self._find(hashes)
-        unknown = np.flatnonzero(entry < 0)
-        self.clock += 1
-        if len(unknown):
-            self.used[entry[entry >= 0]] = self.clock
-            if len(self.keys) + len(unknown) > self.remember:
-                keep, counts = self.used > np.median(self.used), np.diff(self.first)
-                self.scores, self.gaps = self.scores[keep], self.gaps[keep]
-                self.others = [self.others[i] for i in np.flatnonzero(keep)]
-                self._hold(self.keys[keep], counts[keep], self.ids[np.repeat(keep, counts)], self.used[keep])
-                unknown = np.flatnonzero(self._find(hashes) < 0)
-            new, one = np.unique(hashes[unknown], return_index=True)
-            raw = data.tobytes()
-            self._learn(new, [raw[i:j].decode() for i, j in zip(start[unknown[one]].tolist(), end[unknown[one]].tolist())])
-            entry = self._find(hashes)
-        self.used[entry] = self.clock
+        entry = self._entries(data, start, end)
         first, counts = self.first[entry], self.first[entry + 1] - self.first[entry]
         ends = np.concatenate([[0], np.cumsum(counts)])
         ids = self.ids[np.repeat(first - ends[:-1], counts) + np.arange(ends[-1])]

@@ -88,10 +88,34 @@ class ChunkEncoder:
             wrong, at = wrong[left], at[left]
         return entry
 
+    def _forget(self) -> None:
+        """Drops what was used longest ago, half of all or more."""
+        if len(self.keys):
+            self._keep(self.used > np.median(self.used))
+
+    def _keep(self, keep: np.ndarray) -> None:
+        counts = np.diff(self.first)
+        self._hold(self.keys[keep], counts[keep], self.ids[np.repeat(keep, counts)], self.used[keep])
+
+    def _entries(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The entry of each chunk of `data`; unknown ones are learned first."""
+        hashes = span_hashes(data, start, end, VALUES)
+        self.clock += 1
+        entry = self._find(hashes)
+        unknown = np.flatnonzero(entry < 0)
+        if len(unknown):
+            new, one = np.unique(hashes[unknown], return_index=True)
+            if len(self.keys) + len(new) > self.remember:
+                self._forget()
+                unknown = np.flatnonzero(self._find(hashes) < 0)  # some of these chunks may be among what it forgot
+                new, one = np.unique(hashes[unknown], return_index=True)
+            raw, own = data.tobytes(), unknown[one]
+            self._learn(new, [raw[i:j].decode() for i, j in zip(start[own].tolist(), end[own].tolist())])
+            entry = self._find(hashes)
+        self.used[entry] = self.clock
+        return entry
+
     def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
-        if len(self.keys) + len(hashes) > self.remember:
-            keep, counts = self.used > np.median(self.used), np.diff(self.first)
-            self._hold(self.keys[keep], counts[keep], self.ids[np.repeat(keep, counts)], self.used[keep])
         found = [x for start in range(0, len(chunks), 200) for x in self._encoded(chunks[start : start + 200])]
         start, ends = len(self.keys), self.first[-1] + np.cumsum([len(x) for x in found])
         self.keys = np.concatenate([self.keys, hashes])
@@ -170,17 +194,7 @@ class ChunkEncoder:
         start, end = self._chunks(data, cuts) if len(data) else (cuts[:0], cuts[:0])
         of_odd = odd[np.searchsorted(cuts, start, "right") - 1] if odd.any() else np.zeros(len(start), bool)
         start, end = start[~of_odd], end[~of_odd]
-        hashes = span_hashes(data, start, end, VALUES)
-        self.clock += 1
-        entry = self._find(hashes)
-        unknown = np.flatnonzero(entry < 0)
-        if len(unknown):
-            new, one = np.unique(hashes[unknown], return_index=True)
-            raw = data.tobytes()
-            spans = zip(start[unknown[one]].tolist(), end[unknown[one]].tolist())
-            self._learn(new, [raw[i:j].decode() for i, j in spans])
-            entry = self._find(hashes)
-        self.used[entry] = self.clock
+        entry = self._entries(data, start, end)
         first, counts = self.first[entry], self.first[entry + 1] - self.first[entry]
         ends = np.concatenate([[0], np.cumsum(counts)])
         ids = self.ids[np.repeat(first - ends[:-1], counts) + np.arange(ends[-1])]
