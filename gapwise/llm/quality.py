@@ -94,7 +94,7 @@ class View:
 
     @staticmethod
     def _wide(x: np.ndarray, knots: np.ndarray) -> np.ndarray:
-        reach = np.maximum(x[:, None, :] - knots[None], 0).reshape(len(x), -1)
+        reach = np.maximum(x[:, None, :] - knots[None], 0).reshape(len(x), knots.size)
         return np.hstack([np.ones((len(x), 1)), x, reach])
 
     @classmethod

@@ -90,7 +90,7 @@ def templates(pages: DataFrame, frequent: float = 0.5, large: int = 3) -> DataFr
     return valid.groupBy("host", "n_pages").agg(F.sort_array(F.collect_list(item)).alias("classes"))
 
 
-def main_slot(n_pages: int, classes: list[dict]) -> str | None:
+def main_slot(classes: list[dict]) -> str | None:
     """The path of the template that holds the article: an article or main element, else where the most text is.
 
     The classes nest by their paths, so a slot is what a token's element holds. A
@@ -101,7 +101,7 @@ def main_slot(n_pages: int, classes: list[dict]) -> str | None:
         own = [(chars, -path.count("/"), path) for path, chars in tokens if path.rpartition("/")[2].split(".")[0] == wanted]
         if own:
             return max(own)[2]
-    once = [(t["token"], t["chars"]) for c in classes if c["total"] == n_pages for t in c["tokens"]]
+    once = [(t["token"], t["chars"]) for c in classes if c["total"] == -c["order"] for t in c["tokens"]]
     holders = [(path, chars) for path, chars in once if path.rpartition("/")[2].split(".")[0] in ("div", "section", "td", "body")]
     most = max((chars for _, chars in holders), default=0)
     deep = [(path.count("/"), chars, path) for path, chars in holders if chars and chars >= 0.9 * most]
@@ -115,25 +115,25 @@ def extract_main_text(pages: DataFrame, frequent: float = 0.5, large: int = 3) -
     the text of its whole body; menus, headers, footers, sidebars, notices, adverts,
     forms, scripts, styles and reader comments never count. Null html is empty and
     gives an empty text. All rows and other columns stay; columns that have the names
-    `text` and `n_chars` are replaced; `_host`, `_classes` and `_n` are not allowed.
+    `text` and `n_chars` are replaced; `_host` and `_classes` are not allowed.
     """
     found = staged(templates(pages, frequent, large), "templates")
     joined = with_host(pages.drop("text", "n_chars")).join(
-        found.select(F.col("host").alias("_host"), F.col("n_pages").alias("_n"), F.col("classes").alias("_classes")), "_host", "left"
+        found.select(F.col("host").alias("_host"), F.col("classes").alias("_classes")), "_host", "left"
     )
-    text = _extracted()(F.col("html").cast("string"), "_host", "_n", "_classes")
-    return joined.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).drop("_host", "_n", "_classes")
+    text = _extracted()(F.col("html").cast("string"), "_host", "_classes")
+    return joined.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).drop("_host", "_classes")
 
 
 def _extracted():
     @F.arrow_udf("string")
-    def extracted(pages: pa.Array, hosts: pa.Array, counts: pa.Array, classes: pa.Array) -> pa.Array:
+    def extracted(pages: pa.Array, hosts: pa.Array, classes: pa.Array) -> pa.Array:
         slots: dict[str, str | None] = {}
         out = []
         for i, (page, host) in enumerate(zip(pages, hosts.to_pylist())):
             if host not in slots:
                 own = classes[i].as_py()
-                slots[host] = main_slot(counts[i].as_py(), own) if own else None
+                slots[host] = main_slot(own) if own else None
             page = page.as_py() or ""
             slot = slots[host]
             text = text_of(page, slot) if slot else None
