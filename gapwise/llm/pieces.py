@@ -136,16 +136,30 @@ class PieceEncoder(ChunkEncoder):
         self.byte, self.remember, self.clock = True, remember, 0
         self._hold(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int32))
         self.scores, self.gaps = np.zeros(0), np.zeros(0)
-        self.others: list[list[Other]] = []
+        self.n_others, self.lost = np.zeros(0, np.int8), np.zeros(0)  # of each entry; of all others, one entry after another
+        self.other_sizes, self.other_ids = np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self._index()
 
     def _solve(self, chunk: str) -> tuple[float, tuple[int, ...], list[Other]]:
         (score, ids), *others = self.vocabulary.solved(lattice_text(chunk), self.n)
         return score, ids, [(score - s, own) for s, own in others]
 
+    def _index(self) -> None:
+        self.first_other = np.concatenate([[0], np.cumsum(self.n_others, dtype=np.int64)])
+        self.first_id = np.concatenate([[0], np.cumsum(self.other_sizes, dtype=np.int64)])
+
+    def _others(self, entry: int) -> list[Other]:
+        """(score less than the best one's, ids) of the other segmentations of a chunk."""
+        own = range(self.first_other[entry], self.first_other[entry + 1])
+        return [(float(self.lost[i]), tuple(self.other_ids[self.first_id[i] : self.first_id[i + 1]].tolist())) for i in own]
+
     def _keep(self, keep: np.ndarray) -> None:
-        self.scores, self.gaps = self.scores[keep], self.gaps[keep]
-        self.others = [self.others[i] for i in np.flatnonzero(keep)]
+        others = np.repeat(keep, self.n_others)
+        self.other_ids = self.other_ids[np.repeat(others, self.other_sizes)]
+        self.other_sizes, self.lost = self.other_sizes[others], self.lost[others]
+        self.scores, self.gaps, self.n_others = self.scores[keep], self.gaps[keep], self.n_others[keep]
         super()._keep(keep)
+        self._index()
 
     def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
         found = [self._solve(chunk) for chunk in chunks]
@@ -156,7 +170,12 @@ class PieceEncoder(ChunkEncoder):
         self.used = np.concatenate([self.used, np.full(len(hashes), self.clock, np.int32)])
         self.scores = np.concatenate([self.scores, [s for s, _, _ in found]])
         self.gaps = np.concatenate([self.gaps, [o[0][0] if o else np.inf for _, _, o in found]])
-        self.others += [o for _, _, o in found]
+        others = [x for _, _, own in found for x in own]
+        self.n_others = np.concatenate([self.n_others, np.array([len(o) for _, _, o in found], np.int8)])
+        self.lost = np.concatenate([self.lost, [less for less, _ in others]])
+        self.other_sizes = np.concatenate([self.other_sizes, np.array([len(ids) for _, ids in others], np.int32)])
+        self.other_ids = np.concatenate([self.other_ids, np.array([i for _, ids in others for i in ids], np.uint32)])
+        self._index()
         if 2 * len(self.keys) > len(self.slots):
             self._hold(self.keys, np.diff(self.first), self.ids, self.used)
         else:
@@ -200,7 +219,7 @@ class PieceEncoder(ChunkEncoder):
                 continue
             a, b = bounds[i], bounds[i + 1]
             near = np.argsort(gaps[a:b], kind="stable")[: self.n - 1] + a if b - a <= self.n else a + self._least(gaps[a:b])
-            others = [(gaps[c], int(ends[c] - ends[a]), int(counts[c]), self.others[entry[c]]) for c in near.tolist() if self.others[entry[c]]]
+            others = [(gaps[c], int(ends[c] - ends[a]), int(counts[c]), self._others(entry[c])) for c in near.tolist() if gaps[c] < np.inf]
             yield float(scores[a:b].sum()), ids[ends[a] : ends[b]], others
 
     def _least(self, gaps: np.ndarray) -> np.ndarray:
@@ -298,13 +317,19 @@ def decoded(ids: str | Column, model: str) -> Column:
     @F.arrow_udf("string")
     def texts(found: pa.Array) -> pa.Array:
         raw, first = _raw_pieces(model)
-        flat = found.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False))])
-        size = first[flat + 1] - first[flat]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        data = raw[np.repeat(first[flat] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
-        at = ends[bounds].tolist()
-        return pa.array([data[i + 1 : j].decode() for i, j in zip(at[:-1], at[1:])], pa.string())  # without the space in front
+        sizes = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
+        bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        flat, out, row = found.flatten(), [], 0
+        while row < len(sizes):  # some hundred thousand ids at once
+            last = max(row + 1, int(np.searchsorted(bounds, bounds[row] + 200_000, "right")) - 1)
+            own = flat.slice(bounds[row], bounds[last] - bounds[row]).to_numpy(zero_copy_only=False).astype(np.int64)
+            size = first[own + 1] - first[own]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            data = raw[np.repeat(first[own] - ends[:-1], size) + np.arange(ends[-1])].tobytes()
+            at = ends[bounds[row : last + 1] - bounds[row]].tolist()
+            out += [data[i + 1 : j].decode() for i, j in zip(at[:-1], at[1:])]  # without the space in front
+            row = last
+        return pa.array(out, pa.string())
 
     return texts(ids)
 
