@@ -80,7 +80,7 @@ def two_key_column_lookup(t: TableSet) -> DataFrame:
 
 def wide_left_assembly(t: TableSet) -> DataFrame:
     def count_of(table: str, key: str, name: str):
-        counts = t[table].groupBy(F.col(key).cast("bigint").alias("contract_id"))
+        counts = t[table].groupBy(F.col(key).try_cast("bigint").alias("contract_id"))
         return counts.agg(F.count(F.lit(1)).alias(name)), ["contract_id"]
 
     return joins.wide_left_assembly(

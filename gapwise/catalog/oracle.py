@@ -486,11 +486,11 @@ ANALYSIS = {
       FROM contract
       LEFT JOIN (SELECT contract_id, count(*) AS n_assets FROM contract_coverage GROUP BY 1)
         USING (contract_id)
-      LEFT JOIN (SELECT CAST(identifier_value AS BIGINT) AS contract_id, count(*) AS n_identifiers
+      LEFT JOIN (SELECT TRY_CAST(identifier_value AS BIGINT) AS contract_id, count(*) AS n_identifiers
                  FROM contract_identifier GROUP BY 1) USING (contract_id)
       LEFT JOIN (SELECT contract_id, count(*) AS n_agreements FROM agreement_contract GROUP BY 1)
         USING (contract_id)
-      LEFT JOIN (SELECT CAST(entity_value AS BIGINT) AS contract_id, count(*) AS n_instructions
+      LEFT JOIN (SELECT TRY_CAST(entity_value AS BIGINT) AS contract_id, count(*) AS n_instructions
                  FROM instruction GROUP BY 1) USING (contract_id)""",
     "assets_without_contract": _STEPS + " SELECT * FROM candidate",
     "original_asset": _STEPS + " SELECT * FROM original",

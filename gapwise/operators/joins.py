@@ -200,9 +200,11 @@ def state_gated_join(
     """Left join that happens only on rows where the gate holds.
 
     The first key is set to NULL where the gate is closed, so that the
-    condition on the left side becomes part of the key.
+    condition on the left side becomes part of the key. Closed rows are spread by
+    a hash of all their columns, unless ``spread`` names others, and don't meet.
     """
     first = keys[0]
+    options.setdefault("spread", left.columns)
     gated = left.withColumn("_keep", F.col(first)).withColumn(first, F.when(gate, F.col(first)))
     joined = lookup_join(gated, right, keys, **options)
     return joined.withColumn(first, F.col("_keep")).drop("_keep").select(
@@ -228,7 +230,7 @@ def star_inner_join(
     for point, own in zip(points, profiles[1:]):
         joined = spread_join(joined, point, [key], hot_left=grown, hot_right=own)
         for value, parts in own.items():
-            grown[value] = max(parts, grown.get(value, 1))
+            grown[value] = parts * grown.get(value, 1)  # as the rows of the key do
     return joined
 
 

@@ -6,9 +6,10 @@ every lookup here is aggregated to one row per key first. The split is
 therefore part of the plan: rows of a hot key get a salt, and the few rows the
 other side has for that key are repeated once per salt.
 
-Which keys are hot comes from a mergeable frequent-items sketch over the key
-column, at most a few thousand keys. It steers performance alone; a wrong or
-empty list gives the same rows.
+Which keys are hot comes from counts of the key column, made before the shuffle.
+Fewer keys can be hot than the table has rows for each, so the list is short
+against the table. It steers performance alone; a wrong or empty list gives the
+same rows.
 """
 
 from __future__ import annotations
@@ -27,11 +28,11 @@ HotKeys = Mapping[object, int]
 class SkewPolicy:
     """When a key counts as hot, and what may be broadcast.
 
-    hot_rows        rows of one key that one task can take
-    max_hot         a key is hot only above ``rows / max_hot``, so that fewer
-                    than ``max_hot`` keys can be
-    profile_bytes   tables that Spark estimates below this are not profiled:
-                    even if all rows share one key, they fit one task
+    hot_rows        rows of one key that one task can take; all keys with more
+                    are hot, and tables with fewer rows have none
+    max_hot         hot keys up to which their list is part of an expression;
+                    a longer one is a broadcast table
+    profile_bytes   tables that Spark estimates below this are not cut to keys
     broadcast_rows  counted rows of narrow keys up to which a side is broadcast
     """
 
@@ -52,27 +53,19 @@ def estimated_bytes(df: DataFrame) -> int | None:
 def hot_keys(df: DataFrame, columns: Sequence[str], policy: SkewPolicy) -> dict[str, HotKeys]:
     """Hot values of each column, with the number of parts to split them into.
 
-    One pass over the columns with partial aggregation of fixed-size sketches.
-    The driver gets one row of at most ``max_hot`` entries per column.
+    One pass counts the rows, from the files' footers where that is enough. A table
+    without more rows than ``hot_rows`` has no hot key, whatever its size in bytes.
+    Else each column is counted by key, on the map side first, and fewer than
+    ``rows / hot_rows`` keys come to the driver.
     """
-    size = estimated_bytes(df)
-    if size is not None and size < policy.profile_bytes:
+    if df.count() <= policy.hot_rows:
         return {column: {} for column in columns}
-    k = min(policy.max_hot, 10_000)
-    sketches = [
-        F.expr(f"approx_top_k(`{column}`, {k}, {k * 10})").alias(f"s{i}")
-        for i, column in enumerate(columns)
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("n"), *sketches).first()
-    limit = max(policy.hot_rows, row["n"] // policy.max_hot)
-    return {
-        column: {
-            entry["item"]: -(-entry["count"] // limit)
-            for entry in row[f"s{i}"] or []
-            if entry["item"] is not None and entry["count"] > limit
-        }
-        for i, column in enumerate(columns)
-    }
+    found: dict[str, HotKeys] = {}
+    for column in columns:
+        counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        hot = counts.where(F.col("n") > policy.hot_rows).collect()
+        found[column] = {r["key"]: -(-r["n"] // policy.hot_rows) for r in hot}
+    return found
 
 
 def parts_of(key: Column, hot: HotKeys) -> Column:
@@ -86,6 +79,21 @@ def parts_of(key: Column, hot: HotKeys) -> Column:
     return expr
 
 
+#: Hot keys up to which their parts are an expression, see ``SkewPolicy.max_hot``.
+LISTED = SkewPolicy.max_hot
+
+
+def with_parts(df: DataFrame, key: str, hot: HotKeys, name: str) -> DataFrame:
+    """Add the number of parts of each row's key: by an expression, or by a broadcast table of the hot keys."""
+    if len(hot) <= LISTED:
+        return df.withColumn(name, parts_of(F.col(key), hot))
+    rows = [(value, 1 << max(parts - 1, 1).bit_length()) for value, parts in hot.items()]
+    kind = df.schema[key].dataType.simpleString()
+    listed = df.sparkSession.createDataFrame(rows, f"_key {kind}, {name} int")
+    joined = df.join(F.broadcast(listed), df[key] == listed["_key"], "left").drop("_key")
+    return joined.withColumn(name, F.coalesce(name, F.lit(1)))
+
+
 def _pick(spread: Sequence[str], parts: Column) -> Column:
     """A salt below ``parts``, the same on every retry of a task."""
     return F.pmod(F.xxhash64(*spread), parts).cast("int")
@@ -120,15 +128,14 @@ def spread_join(
         raise ValueError("the right side can be split in inner joins only")
     on = keys
     if hot_left:
-        parts = parts_of(F.col(hot_on), hot_left)
-        left = left.withColumn("_salt_l", _pick(spread_left or left.columns, parts))
-        right = right.withColumn("_salt_l", _all(parts))
+        spread = spread_left or left.columns
+        left = with_parts(left, hot_on, hot_left, "_parts").withColumn("_salt_l", _pick(spread, F.col("_parts"))).drop("_parts")
+        right = with_parts(right, hot_on, hot_left, "_parts").withColumn("_salt_l", _all(F.col("_parts"))).drop("_parts")
         on = [*on, "_salt_l"]
     if hot_right:
-        parts = parts_of(F.col(hot_on), hot_right)
         spread = spread_right or [c for c in right.columns if c != "_salt_l"]
-        right = right.withColumn("_salt_r", _pick(spread, parts))
-        left = left.withColumn("_salt_r", _all(parts))
+        right = with_parts(right, hot_on, hot_right, "_parts").withColumn("_salt_r", _pick(spread, F.col("_parts"))).drop("_parts")
+        left = with_parts(left, hot_on, hot_right, "_parts").withColumn("_salt_r", _all(F.col("_parts"))).drop("_parts")
         on = [*on, "_salt_r"]
     return left.join(right, on, how).drop("_salt_l", "_salt_r")
 
@@ -156,9 +163,9 @@ def lookup_join(
         return left.join(F.broadcast(right), keys, "left")
     if hot:
         left_hot = hot_on or keys[0]
-        parts = parts_of(F.col(left_hot), hot)
-        left = left.withColumn("_salt", _pick(spread or left.columns, parts))
-        right = right.withColumn("_salt", _all(parts))
+        by = spread or left.columns
+        left = with_parts(left, left_hot, hot, "_parts").withColumn("_salt", _pick(by, F.col("_parts"))).drop("_parts")
+        right = with_parts(right, left_hot, hot, "_parts").withColumn("_salt", _all(F.col("_parts"))).drop("_parts")
         keys = [*keys, "_salt"]
     if not spread:
         return left.join(right, keys, "left").drop("_salt")

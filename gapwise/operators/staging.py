@@ -48,8 +48,7 @@ def checkpoint_ready(spark: SparkSession) -> bool:
     """True if frames can be checkpointed to a folder that every executor sees.
 
     The folder is the one in ``spark.checkpoint.dir``. Where that is unset and
-    Spark runs inside one process, as in tests, a temporary folder is set. On a
-    cluster without the setting plans simply stay lazy.
+    Spark runs inside one process, as in tests, a temporary folder is set.
     """
     context = spark.sparkContext
     if context.getCheckpointDir():
@@ -69,11 +68,13 @@ def stage(df: DataFrame, policy: SkewPolicy) -> Staged:
 
     It is written as Parquet to the checkpoint folder, so that lost executors do
     not lose it, later steps read the columns they need, and the optimizer knows
-    its size. Without such a folder the frame stays lazy and counts as unbounded.
+    its size. On a cluster that names no such folder it is kept by the executors,
+    which compute lost parts anew; plans and bounds are the same.
     """
     spark = df.sparkSession
     if not checkpoint_ready(spark):
-        return Staged(df, None, UNBOUNDED)
+        rows = df.persist().count()
+        return Staged(df, rows, Bound(rows <= policy.broadcast_rows, policy.profile_bytes))
     path = f"{spark.sparkContext.getCheckpointDir()}/staged-{uuid.uuid4().hex}"
     observed = Observation()
     df.observe(observed, F.count(F.lit(1)).alias("rows")).write.parquet(path)

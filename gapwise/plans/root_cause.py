@@ -27,7 +27,7 @@ from gapwise.functions.predicates import address_usable, in_time_range, unusable
 from gapwise.functions.scalars import id_from_text
 from gapwise.operators.facts import any_true, gather_facts
 from gapwise.operators.joins import exists_flag, two_hop_absence, two_key_column_lookup
-from gapwise.operators.skew import HotKeys, hot_keys, lookup_join, spread_join
+from gapwise.operators.skew import HotKeys, lookup_join, spread_join
 from gapwise.operators.staging import UNBOUNDED, Bound, Staged, cut_to_keys, stage
 from gapwise.sources.tables import TableSet, scan
 
@@ -496,19 +496,18 @@ def counterpart_facts(
     return _with_location(gathered, cfg)
 
 
-def agreement_has_this_asset(
-    pairs: DataFrame, links: DataFrame, hot: HotKeys | None = None
-) -> DataFrame:
+def agreement_has_this_asset(pairs: DataFrame, links: DataFrame) -> DataFrame:
     """Add ``has_this_asset`` per asset and contract; NULL without a counterpart agreement.
 
-    ``links`` has the assets of counterpart agreements.
+    ``links`` has the assets of counterpart agreements. Both keys together are one
+    key of the join, so that an agreement with many assets and contracts spreads by
+    its assets and neither side is repeated.
     """
     flagged = exists_flag(
         pairs,
         links,
         ["cp_agreement_id", "asset_id"],
         "has_this_asset",
-        hot=hot,
         spread=["contract_id", "asset_id"],
     )
     return flagged.withColumn(
@@ -730,15 +729,15 @@ def checked_pairs(
     contracts, bounded = found.contracts.df, found.contracts.bounded
     facts = with_counterparts(contracts, tables, cfg, bounded, counterpart_view)
     assets_of = counterpart_asset_rows(tables)
-    hot = None
     if not bounded:
         facts = stage(facts, policy).df
-        hot = hot_keys(facts, ["cp_agreement_id"], policy)["cp_agreement_id"]
+        used = facts.select("cp_agreement_id").where(F.col("cp_agreement_id").isNotNull())
+        assets_of = assets_of.join(used, "cp_agreement_id", "left_semi")
     elif bounded.cuts(assets_of):
         facts = stage(facts, policy).df
         assets_of = cut_to_keys(assets_of, facts, "cp_agreement_id", bounded)
     facts = attach_item_facts(facts, tables, cfg, bounded)
-    return agreement_has_this_asset(found.attach(facts, tables), assets_of, hot)
+    return agreement_has_this_asset(found.attach(facts, tables), assets_of)
 
 
 def root_cause_report(tables: TableSet, cfg: RuleConfig) -> DataFrame:

@@ -34,10 +34,41 @@ def test_small_tables_are_not_profiled(left):
     assert hot_keys(left, ["k", "v"], SkewPolicy()) == {"k": {}, "v": {}}
 
 
-def test_fewer_hot_keys_than_the_bound(spark):
-    df = spark.range(1000).selectExpr("id % 10 as k")
-    policy = SkewPolicy(hot_rows=1, max_hot=10, profile_bytes=0)
-    assert hot_keys(df, ["k"], policy)["k"] == {}  # each has exactly a tenth, none has more
+def test_every_key_above_the_bound_is_hot(spark):
+    """However many keys there are, none with more rows than a task takes is left whole."""
+    df = spark.range(100_000).selectExpr("id % 5000 as k")
+    policy = SkewPolicy(hot_rows=10, max_hot=10, profile_bytes=10**15)
+    hot = hot_keys(df, ["k"], policy)["k"]
+    assert len(hot) == 5000 and set(hot.values()) == {2}
+
+
+def test_one_key_in_a_small_file_is_hot(spark, tmp_path):
+    spark.range(200_000).selectExpr("cast(1 as bigint) as k").write.parquet(f"{tmp_path}/one")
+    policy = SkewPolicy(hot_rows=50_000)
+    assert hot_keys(spark.read.parquet(f"{tmp_path}/one"), ["k"], policy)["k"] == {1: 4}
+
+
+def test_many_hot_keys_are_a_table(spark, left, right):
+    hot = {k: 3 for k in range(5000)}
+    plain, split = left.join(right, "k"), spread_join(left, right, ["k"], hot_left=hot, hot_right={9: 4}, spread_left=["id"])
+    assert rows(split, "id", "k", "v", "w") == rows(plain, "id", "k", "v", "w")
+    right_once = right.groupBy("k").agg(F.max("w").alias("w"))
+    looked = lookup_join(left, right_once, ["k"], hot=hot, spread=["id"])
+    assert rows(looked, "id", "k", "v", "w") == rows(left.join(right_once, "k", "left"), "id", "k", "v", "w")
+
+
+def test_closed_gates_do_not_meet_in_one_task(spark):
+    shuffled = spark.range(8000).selectExpr("id", "id % 50 as k")
+    lookup = spark.range(50).selectExpr("id as k", "id * 2 as w")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.state_gated_join(shuffled, lookup, F.col("id") < 800, ["k"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 8000 and max(sizes) < 2000
 
 
 def test_parts_are_powers_of_two_and_cover(spark):
