@@ -6,7 +6,7 @@ import pytest
 from conftest import SMALL
 
 import __spark_entry__ as entry
-from gapwise.catalog import analysis, basics
+from gapwise.catalog import analysis, basics, oracle
 from gapwise.operators import staging
 from gapwise.operators.skew import SkewPolicy
 from gapwise.plans import root_cause as rc
@@ -106,4 +106,5 @@ def test_checks_on_assets_share_the_partitioning(spark, stored, shuffled):
 
 def test_every_table_has_a_schema_with_an_entry(spark):
     assert set(derive_tables(spark, SMALL)) == set(SCHEMAS)
-    assert set(entry.oracle_sql()) == set(entry.queries()) - {"stale_files"}
+    own = set(basics.QUERIES) | set(analysis.QUERIES)  # beside what the corpus operators add
+    assert set(oracle.SQL) == own - {"stale_files"} and own <= set(entry.queries())
