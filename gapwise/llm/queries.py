@@ -131,4 +131,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op1_exact_top_k": """
+      WITH v AS (
+        SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+      scored AS (
+        SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+        FROM v q JOIN v d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id),
+      ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+      SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op8_chat_formatting": r"""
+      WITH rows AS (
+        SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+        UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+      sized AS (
+        SELECT *, CASE role WHEN 'system' THEN 19 WHEN 'user' THEN 15 ELSE 5 END -- what the template puts around a text
+                  + 4 + length(base64(encode(role))) -- the mark of a turn
+                  + length(text) + len(regexp_extract_all(text, '[\[<]\\*/?(?:INST\]|ROLE[ \]]|<?/?SYS>>|s>|t\|)')) AS chars
+        FROM rows)
+      SELECT conv_id, count(*) AS n_turns,
+             sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+             CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+             sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+             CAST(sum(chars) AS BIGINT) AS formatted_chars
+      FROM sized GROUP BY conv_id""",
+    "op10_minhash_near_duplicates": r"""
+      WITH RECURSIVE worded AS (
+        SELECT doc_id, [x FOR x IN regexp_split_to_array(
+                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0d]+') IF x <> ''] AS w
+        FROM documents),
+      sets AS MATERIALIZED (
+        SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+          ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END) AS shingle FROM worded),
+      sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+      shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+      links AS MATERIALIZED (
+        SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+      reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+      least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+      SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+      FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least l ON l.doc_id = d.doc_id""",
+}
