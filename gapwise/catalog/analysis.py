@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gapwise.functions.predicates import differs_from, unusable_id
 from gapwise.functions.scalars import id_from_text
 from gapwise.operators import joins
+from gapwise.operators.staging import Staged, stage
 from gapwise.plans import root_cause as rc
 from gapwise.plans import variants
 from gapwise.plans.fixtures import FIXTURE_RULES as CFG
@@ -105,13 +106,23 @@ def original_asset(t: TableSet) -> DataFrame:
     return rc.original_asset(assets_without_contract(t), t, CFG)
 
 
+def _spine(t: TableSet) -> tuple[Staged, Staged]:
+    """Links to the originals, and what contracts cover them, each computed once for the steps after it."""
+    start = stage(assets_without_contract(t), t.skew)
+    links = stage(rc.original_asset(start.df, t, CFG, start.bounded), t.skew)
+    return links, stage(rc.covered_contracts(links.df, t, links.bounded), t.skew)
+
+
 def original_contracts(t: TableSet) -> DataFrame:
-    rows = rc.original_contracts(original_asset(t), t)
+    links, covered = _spine(t)
+    contracts = stage(rc.contract_rows(covered.df, t, covered.bounded), t.skew).df
+    rows = rc.attach_contracts(links.df, covered.df, contracts, t, covered.bounded)
     return rows.select("asset_id", "original_asset_id", "contract_id", "item_num", "contract_site")
 
 
 def _contracts(t: TableSet) -> DataFrame:
-    return rc.contract_rows(rc.covered_contracts(original_asset(t), t), t)
+    covered = _spine(t)[1]
+    return stage(rc.contract_rows(covered.df, t, covered.bounded), t.skew).df
 
 
 def contract_preclass(t: TableSet) -> DataFrame:
@@ -138,10 +149,10 @@ def counterpart_agreement_contracts(t: TableSet) -> DataFrame:
 
 
 def agreement_asset_check(t: TableSet) -> DataFrame:
-    links = original_asset(t)
-    covered = rc.covered_contracts(links, t)
-    facts = rc.counterpart_agreement(rc.contract_rows(covered, t), t, CFG)
-    pairs = rc.attach_contracts(links, covered, facts, t)
+    links, covered = _spine(t)
+    contracts = stage(rc.contract_rows(covered.df, t, covered.bounded), t.skew).df
+    facts = stage(rc.counterpart_agreement(contracts, t, CFG), t.skew).df
+    pairs = rc.attach_contracts(links.df, covered.df, facts, t, covered.bounded, existing=contracts)
     pairs = pairs.where(F.col("contract_id").isNotNull())
     return rc.agreement_asset_check(pairs, t).select(
         "asset_id", "contract_id", "cp_agreement_id", "has_any_asset", "has_this_asset"
