@@ -29,6 +29,8 @@ NOISE_WORDS = set(
     " nav navbar navigation menu breadcrumb breadcrumbs header masthead footer contentinfo sidebar complementary aside widget related"
     " comment comments reply replies discussion disqus share sharing social newsletter subscribe subscription signup login search form".split()
 )
+#: What walk() yields for a part that begins or ends and for a line break; no text equals them.
+OPEN, CLOSE, BREAK = 1, 2, 3
 #: Elements that hold the article or the whole page, whatever their class.
 HOLDERS = {"html", "body", "article", "main"}
 
@@ -36,22 +38,27 @@ HOLDERS = {"html", "body", "article", "main"}
 class Part:
     """An open element: its name with what tells it from others of the name, and whether it is noise."""
 
-    __slots__ = ("tag", "path", "noise", "link")
+    __slots__ = ("tag", "path", "noise", "link", "above")
 
     def __init__(self, tag: str, attributes: str, above: Part | None):
-        label, noise = tag, tag in NOISE_TAGS
+        label, noise = escaped(tag).replace(".", "%2e"), tag in NOISE_TAGS
         for m in _NAMES.finditer(attributes) if attributes else ():
             value = (m[2] or m[3] or m[4] or "").lower()
-            label += f".{' '.join(value.split())}"
+            label += f".{escaped(' '.join(value.split()))}"
             noise = noise or tag not in HOLDERS and not NOISE_WORDS.isdisjoint(_WORDS.findall(value))
-        self.tag = tag
+        self.tag, self.above = tag, above
         self.path = f"{above.path}/{label}" if above else label
         self.noise = noise or bool(above and above.noise)
         self.link = tag == "a" or bool(above and above.link)
 
 
-def walk(page: str) -> Iterator[tuple[str, Part | None]]:
-    """("open" or "close", part) for each structural element, ("break", _) at line breaks, and (text, innermost part).
+def escaped(name: str) -> str:
+    """`name` without the slash, which separates the labels of a path."""
+    return name.replace("%", "%25").replace("/", "%2f")
+
+
+def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
+    """(OPEN or CLOSE, part) for each structural element, (BREAK, _) at line breaks, and (text, innermost part).
 
     Only blocks have paths of their own; other elements count as part of their
     block, so that an unclosed <b> changes nothing. A block ends an open paragraph,
@@ -59,9 +66,9 @@ def walk(page: str) -> Iterator[tuple[str, Part | None]]:
     """
     stack: list[Part] = []
 
-    def close(down_to: int) -> Iterator[tuple[str, Part]]:
+    def close(down_to: int) -> Iterator[tuple[int, Part]]:
         while len(stack) > down_to:
-            yield "close", stack.pop()
+            yield CLOSE, stack.pop()
 
     at, end, links = 0, len(page), 0
     while at < end:
@@ -86,7 +93,7 @@ def walk(page: str) -> Iterator[tuple[str, Part | None]]:
             at = tail.end() if tail else end
             continue
         if tag in VOID:
-            yield "break", None
+            yield BREAK, None
             continue
         is_block = tag in BLOCKS or tag in NOISE_TAGS
         if not is_block:
@@ -99,7 +106,7 @@ def walk(page: str) -> Iterator[tuple[str, Part | None]]:
         if tag in ("li", "dt", "dd", "tr", "td", "th") and stack and stack[-1].tag == tag:
             yield from close(len(stack) - 1)
         stack.append(Part(tag, m[3], stack[-1] if stack else None))
-        yield "open", stack[-1]
+        yield OPEN, stack[-1]
     yield from close(0)
 
 
@@ -107,15 +114,14 @@ def structure(page: str) -> dict[str, list[int]]:
     """For each path of a page: how often it opens, and the characters of its text outside noise and links."""
     found: dict[str, list[int]] = {}
     for what, part in walk(page):
-        if part is None or what == "close":
+        if part is None or what == CLOSE:
             continue
-        if what == "open":
+        if what == OPEN:
             found.setdefault(part.path, [0, 0])[0] += 1
         elif not part.noise:
-            path = part.path
-            while path:  # text counts for all that hold it
-                found[path][1] += len(what)
-                path = path.rpartition("/")[0]
+            while part:  # text counts for all that hold it
+                found[part.path][1] += len(what)
+                part = part.above
     return found
 
 
@@ -136,14 +142,14 @@ def text_of(page: str, within: str | None) -> str | None:
             blocks.append(block)
 
     for what, part in walk(page):
-        if what == "open":
+        if what == OPEN:
             flush()
             if part.path == within:
                 depth, met = depth + 1, True
-        elif what == "close":
+        elif what == CLOSE:
             flush()
             depth -= part.path == within
         elif depth and not (part and part.noise):
-            held.append(" " if what == "break" and part is None else what)
+            held.append(" " if what == BREAK else what)
     flush()
     return "\n".join(blocks) if met else None

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapwise.llm.chat import Template, formatted, read_back, segments
-from gapwise.llm.page_markup import text_of
+from gapwise.llm.page_markup import structure, text_of
 from gapwise.llm.personal_data import masked, with_personal_data
 from gapwise.llm.templates import extract_main_text, templates
 
@@ -126,6 +126,19 @@ def test_main_text_of_a_page():
     assert text_of("", None) == "" and text_of("plain < text", None) == "plain < text"
 
 
+def test_page_content_is_no_marker_of_the_walk(spark):
+    page = (
+        '<body><article><div class="md:w-1/2" id="a/b%2f"><p>it was <em>open</em> all day</p><p>close</p>open<br>break</div>'
+        "<article>close<p>last</p></article></article>break</body>"
+    )
+    want = "it was open all day\nclose\nopen break\nclose\nlast"
+    assert text_of(page, "body/article") == want
+    assert text_of(page, None) == f"{want}\nbreak"
+    assert structure(page)["body/article/div.md:w-1%2f2.a%2fb%252f/p"][0] == 2
+    pages = spark.createDataFrame([(1, "http://a.example/", page)], "page_id long, url string, html string")
+    assert extract_main_text(pages).first().text == want
+
+
 def test_templates_by_equal_occurrences(spark):
     page = lambda i, inner: f'<html><body><div class="top">{"<p>n</p>" * i}</div><div class="text"><p>{inner}</p></div></body></html>'
     rows = [(i, "http://a.example/x", page(i % 3, f"long text number {i} " * 5)) for i in range(12)]
