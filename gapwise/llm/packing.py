@@ -17,18 +17,19 @@ from gapwise.llm.tokens import check_tokenizer, encoder
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut_pieces(docs: DataFrame, tokenizer: str, kind: str = "word", end_id: int = 0, capacity: int = 2048) -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer: str, kind: str = "word", end_id: int = 0, capacity: int = 2048, escape: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32.
 
     A document is the ids of its `text` and `end_id`. Only documents of more than
     `capacity` ids are cut, into pieces of `capacity` ids, the last maybe shorter. A
     null text is empty and gives one piece of one id. Other columns are not read.
-    Repeated rows give repeated pieces.
+    Repeated rows give repeated pieces. A control string in a text gets its own id;
+    with `escape` it is ordinary text.
     """
     check_tokenizer(tokenizer, kind)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = encoder(tokenizer, kind).encode, np.array([end_id], "<u4")
+        ids_of, end = encoder(tokenizer, kind, escape).encode, np.array([end_id], "<u4")
         for got in batches:
             rows: list[tuple] = []
             for doc_id, ids in zip(got.column(0).to_pylist(), ids_of(got.column(1))):

@@ -41,13 +41,15 @@ def write_token_files(
     parts: int | None = None,
     stripe_bytes: int = 32 << 20,
     index_stride: int = 1_000,
+    escape: bool = False,
 ) -> None:
     """Writes the ids of every `text` of `docs`, `end_id` after each, to ORC files below `path`.
 
     Files, and rows in a file, are in ascending order of (doc_id, hash of the text);
     null ids come first. A null text counts as empty and gives the end id alone.
     Rows that repeat an id are kept, each as a document of its own. Other columns
-    are not read. A row holds its document's `part` (number of the file in this
+    are not read. A control string in a text gets its own id; with `escape` it is
+    ordinary text. A row holds its document's `part` (number of the file in this
     order) and `part_start` (ids before it in its part), so that any reader finds
     its place in the whole without reading ids.
     """
@@ -76,7 +78,7 @@ def write_token_files(
             columns = [pa.array(doc_ids, pa.int64()), pa.array(np.full(len(found), part, np.int32)), pa.array(starts), pa.array(lengths), ids]
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-        ids_of = encoder(tokenizer, kind).encode
+        ids_of = encoder(tokenizer, kind, escape).encode
         for got in batches:
             doc_ids, found, size = [], [], 0
             for doc_id, ids in zip(got.column(0).to_pylist(), ids_of(got.column(1))):

@@ -3,7 +3,8 @@
 Both vocabularies split a text at white space before they merge anything, so a
 text's ids are the ids of its chunks, one after another. Each chunk goes through
 the tokenizers library once per worker process and is remembered, which is what
-makes whole corpora affordable; the result is that of encoding the whole text.
+makes whole corpora affordable; the result is that of encoding the whole text. A text that holds one of
+the vocabulary's added tokens, such as a control string, is encoded whole.
 """
 
 from __future__ import annotations
@@ -36,15 +37,24 @@ class ChunkEncoder:
 
     `kind` is "byte" (a space belongs to the word after it) or "word" (white
     space vanishes). The memory is a hash table of at most `remember` chunks, found
-    by 64-bit hashes; when it is full, the half used longest ago goes.
+    by 64-bit hashes; when it is full, the half used longest ago goes. With `escape`,
+    control strings in a text are ordinary text; without, they get their own ids, as
+    is the library's default.
     """
 
-    def __init__(self, path: str, kind: str, remember: int = 1_500_000):
+    #: Added tokens that a text is searched for, and whether a search could miss one.
+    added: tuple[bytes, ...] = ()
+    hidden = False
+
+    def __init__(self, path: str, kind: str, remember: int = 1_500_000, escape: bool = True):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # control strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = escape
+        added = [t for t in self.tokenizer.get_added_tokens_decoder().values() if not (escape and t.special)]
+        self.added = tuple(t.content.encode() for t in added)
+        self.hidden = any(t.normalized for t in added)  # it is matched after changes to the text
         self.byte = kind == "byte"
         self.pattern = CHUNKS[kind]
         # a character that is one token by itself where the separator puts it
@@ -154,12 +164,17 @@ class ChunkEncoder:
                 yield np.concatenate([next(self._block(w, np.array([0, len(w)]))) for w in windows(own)])
 
     def _odd(self, data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-        """Whether a text has white space that needs more than a look at single bytes."""
+        """Whether a text has an added token, or white space that needs more than a look at single bytes."""
+        if self.hidden:
+            return np.ones(len(cuts) - 1, bool)
         at = [m.start() for m in _WIDE.finditer(data)] if len(data) else []
         if self.byte:  # runs of white space go to the words around them by rules of their own
             blank = BLANK[data]
             inner = blank[1:] & blank[:-1]
             at = np.concatenate([np.array(at, np.int64), np.flatnonzero(inner)])
+        if self.added and len(data):
+            raw = data.tobytes()
+            at = np.concatenate([np.array(at, np.int64), np.array([i for token in self.added for i in _places(raw, token)], np.int64)])
         odd = np.zeros(len(cuts) - 1, bool)
         odd[np.searchsorted(cuts, np.array(at, np.int64), "right") - 1] = True
         return odd
@@ -206,10 +221,17 @@ class ChunkEncoder:
                 yield ids[bounds[i] : bounds[i + 1]]
 
 
+def _places(raw: bytes, token: bytes) -> Iterator[int]:
+    at = raw.find(token)
+    while at >= 0:
+        yield at
+        at = raw.find(token, at + 1)
+
+
 @lru_cache(maxsize=4)
-def encoder(path: str, kind: str) -> ChunkEncoder:
+def encoder(path: str, kind: str, escape: bool = False) -> ChunkEncoder:
     """One encoder per worker process, so that later tasks find what earlier ones learned."""
-    return ChunkEncoder(path, kind)
+    return ChunkEncoder(path, kind, escape=escape)
 
 
 def check_tokenizer(path: str, kind: str) -> None:

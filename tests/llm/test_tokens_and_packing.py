@@ -44,6 +44,26 @@ def test_chunks_give_the_ids_of_whole_texts(kind):
                 assert [x.tolist() for x in encoder.encode(pa.array(some[start : start + 7]))] == wanted[start : start + 7]
 
 
+CONTROL = ["x <|endoftext|> y", "x<|endoftext|>y. z", "<|startoftext|><|endoftext|>", "a  <|endoftext|> \n b", "<|endoftext", "|> <|ENDOFTEXT|>", "plain <|endoftext |>", None]
+
+
+@pytest.mark.parametrize("kind", ["byte", "word"])
+def test_control_strings_get_their_own_ids(spark, kind):
+    plain = Tokenizer.from_file(public_tokenizers.path(FILES[kind]))
+    texts = [*CONTROL, " ".join(["word."] * 300_000) + " <|endoftext|> z"]  # the last: more than a window
+    wanted = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert wanted != whole(kind, texts)
+    encoder = ChunkEncoder(public_tokenizers.path(FILES[kind]), kind, escape=False)
+    assert [x.tolist() for x in encoder.encode(pa.array(texts))] == wanted
+    docs = spark.createDataFrame(list(enumerate(CONTROL)), "doc_id long, text string")
+    sums = [zlib.crc32(np.array([*ids, 0], "<u4")) for ids in wanted[:-1]]
+    pieces = cut_pieces(docs, public_tokenizers.path(FILES[kind]), kind).orderBy("doc_id").collect()
+    assert [p.ids_crc32 for p in pieces] == sums
+    path = new_folder(spark, "test")
+    write_token_files(docs, path, public_tokenizers.path(FILES[kind]), kind)
+    assert [r.ids_crc32 for r in token_report(spark, path).orderBy("doc_id").collect()] == sums
+
+
 def test_token_files_come_back_in_order(spark):
     rows = [(i * 7 % 101, f"text {i} é" * (i % 9)) for i in range(101)] + [(500, None), (500, None), (None, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "0 AS start", "0 AS part")
