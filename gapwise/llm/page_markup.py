@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>", re.S)
@@ -29,6 +30,12 @@ NOISE_WORDS = set(
     " nav navbar navigation menu breadcrumb breadcrumbs header masthead footer contentinfo sidebar complementary aside widget related"
     " comment comments reply replies discussion disqus share sharing social newsletter subscribe subscription signup login search form".split()
 )
+#: Words beside which a noise word still makes a whole class token or id noise ("cookie-notice", not "social-history").
+FILLERS = set(
+    "left right top bottom main site page post posts list box bar wrap wrapper container inner outer block section area item items link links"
+    " button buttons btn icon icons panel thread count title global primary secondary mobile slot unit".split()
+)
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: What walk() yields for a part that begins or ends and for a line break; no text equals them.
 OPEN, CLOSE, BREAK = 1, 2, 3
 #: Elements that hold the article or the whole page, whatever their class.
@@ -36,22 +43,50 @@ HOLDERS = {"html", "body", "article", "main"}
 
 
 class Part:
-    """An open element: its name with what tells it from others of the name, and whether it is noise."""
+    """An open element: its name with what tells it from others of the name, and whether it is noise.
+
+    `sure` tells noise by the tag or a whole class token. Outside an article any word
+    of a class, id or role makes `noise` too; inside, anchors and sections are named
+    after what they are about.
+    """
 
-    __slots__ = ("tag", "path", "noise", "link", "above")
+    __slots__ = ("tag", "path", "sure", "noise", "inside", "link", "above")
 
     def __init__(self, tag: str, attributes: str, above: Part | None):
-        label, noise = escaped(tag).replace(".", "%2e"), tag in NOISE_TAGS
+        label, sure, word = escaped(tag).replace(".", "%2e"), tag in NOISE_TAGS, False
         for m in _NAMES.finditer(attributes) if attributes else ():
             value = (m[2] or m[3] or m[4] or "").lower()
             label += f".{escaped(' '.join(value.split()))}"
-            noise = noise or tag not in HOLDERS and not NOISE_WORDS.isdisjoint(_WORDS.findall(value))
+            if tag not in HOLDERS and not NOISE_WORDS.isdisjoint(_WORDS.findall(value)):
+                name = m[1].lower()
+                sure = sure or any(_known(tag, name, token) for token in value.split())
+                word = word or tag not in HEADINGS or name != "id"
         self.tag, self.above = tag, above
         self.path = f"{above.path}/{label}" if above else label
-        self.noise = noise or bool(above and above.noise)
+        self.inside = tag in ("article", "main") or bool(above and above.inside)
+        self.sure = sure or bool(above and above.sure)
+        self.noise = self.sure or word and not self.inside or bool(above and above.noise)
         self.link = tag == "a" or bool(above and above.link)
 
 
+def _known(tag: str, name: str, token: str) -> bool:
+    """Whether a whole token of the attribute `name` is one of known noise."""
+    words = set(_WORDS.findall(token))
+    own = words & NOISE_WORDS - {"discussion"}
+    if name == "id":
+        if tag not in ("div", "ul", "ol", "table", "section"):
+            return False
+        if tag == "section":  # reader comments only
+            own &= {"comment", "comments", "disqus"}
+    return bool(own) and words <= (own if tag in HEADINGS else own | FILLERS)
+
+
+def named_noise(path: str) -> bool:
+    """Whether the last label of `path`, of no heading, has a noise word in its class, id or role."""
+    tag, _, names = path.rpartition("/")[2].partition(".")
+    return tag not in HEADINGS and tag not in HOLDERS and not NOISE_WORDS.isdisjoint(_WORDS.findall(names))
+
+
 def escaped(name: str) -> str:
     """`name` without the slash, which separates the labels of a path."""
     return name.replace("%", "%25").replace("/", "%2f")
@@ -110,30 +145,37 @@ def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
     yield from close(0)
 
 
-def structure(page: str) -> dict[str, list[int]]:
-    """For each path of a page: how often it opens, and the characters of its text outside noise and links."""
-    found: dict[str, list[int]] = {}
+def structure(page: str) -> dict[str, tuple[int, int, set[int]]]:
+    """For each path of a page: how often it opens, the characters of its texts outside noise, and hashes of its distinct texts outside sure noise."""
+    opened: dict[str, int] = {}
+    chars: dict[str, int] = {}
+    texts: dict[str, set[int]] = {}
     for what, part in walk(page):
         if part is None or what == CLOSE:
             continue
         if what == OPEN:
-            found.setdefault(part.path, [0, 0])[0] += 1
-        elif not part.noise:
+            opened[part.path] = opened.get(part.path, 0) + 1
+        elif not part.sure and (what := what.strip()):
+            name, size = zlib.crc32(what.encode("utf-8", "surrogatepass")), 0 if part.noise else len(what)
             while part:  # text counts for all that hold it
-                found[part.path][1] += len(what)
+                chars[part.path] = chars.get(part.path, 0) + size
+                texts.setdefault(part.path, set()).add(name)
                 part = part.above
-    return found
+    return {path: (n, chars.get(path, 0), texts.get(path, set())) for path, n in opened.items()}
 
 
-def text_of(page: str, within: str | None) -> str | None:
+def text_of(page: str, within: str | None, drop: frozenset[str] = frozenset()) -> str | None:
     """The text outside noise of all elements with the path `within` (None: the page); None if there is no such element.
 
-    Blocks are joined by a line feed; in a block, white space is one space.
+    In a closer element than the body only sure noise counts. Elements with a path in
+    `drop` are left out. Blocks are joined by a line feed; in a block, white space is one space.
     """
     blocks: list[str] = []
     held: list[str] = []
     depth = 0 if within else 1
     met = not within
+    close = bool(within) and within.rpartition("/")[2].split(".")[0] not in ("html", "body")
+    dropped = 0
 
     def flush() -> None:
         block = " ".join(html.unescape("".join(held)).split())
@@ -142,14 +184,14 @@ def text_of(page: str, within: str | None) -> str | None:
             blocks.append(block)
 
     for what, part in walk(page):
-        if what == OPEN:
-            flush()
+        if what == OPEN or what == CLOSE:
+            if part.sure or not close or part.tag in BLOCKS:
+                flush()
+            step = 1 if what == OPEN else -1
+            dropped += step * (part.path in drop)
             if part.path == within:
-                depth, met = depth + 1, True
-        elif what == CLOSE:
-            flush()
-            depth -= part.path == within
-        elif depth and not (part and part.noise):
+                depth, met = depth + step, True
+        elif depth and not dropped and not (part and (part.sure if close else part.noise)):
             held.append(" " if what == BREAK else what)
     flush()
     return "\n".join(blocks) if met else None

@@ -5,6 +5,7 @@ occurrence vectors over the pages of a host are the same form an equivalence
 class; classes that are large and frequent enough are valid. Paths nest them into
 a template, in which the class that occurs once in every page is the outermost.
 What is left between its tokens are the slots; the slot of the article is extracted.
+Whether a token's text repeats on the host's pages tells a template's text.
 Words are no tokens here, since the words of a passage that many articles share
 can't be told from a template's.
 """
@@ -18,10 +19,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.llm.page_markup import structure, text_of
+from gapwise.llm.page_markup import named_noise, structure, text_of
 from gapwise.llm.staging import staged
 
 
+SUMS = ("pages", "total", "low", "high", "chars", "with_text")
+#: Above any hash of texts.
+NO_TEXT = 1 << 62
+#: A text repeats if it is the same on so many different pages at least.
+REPEATS = 4
+
+
 def with_host(pages: DataFrame) -> DataFrame:
     """`pages` with `_host`, the host of `url` in lower case; "" for null and for what isn't an address."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^\s*[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -29,39 +37,47 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """host, token, pages, total, low, high, chars: occurrence vectors as sums over the pages of a host.
+    """host, token, pages, total, low, high, chars and what tells repeating text: occurrence vectors as sums over the pages of a host.
 
     A page adds a hash of itself and of how often the token is in it. So tokens of
     equal vectors have equal sums, and the sums of any split of the pages add up.
+    with_text are the pages on which a token holds text, least and most the extremes
+    of their hashes of its distinct texts, seen a bit set of these pages' hashes.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from gapwise.llm.spans import mix
 
         for got in batches:
-            found: dict[tuple[str, str], np.ndarray] = {}
+            found: dict[tuple[str, str], list[int]] = {}
             for host, page in zip(got.column(0).to_pylist(), got.column(1)):
                 page = page.as_py() or ""
                 own = structure(page)
-                own[""] = [1, 0]  # the page itself
+                own[""] = (1, 0, set())  # the page itself
                 name = np.uint64(hash_of(page))
-                counts = np.array([n for n, _ in own.values()], np.uint64)
+                counts = np.array([n for n, _, _ in own.values()], np.uint64)
                 vector = mix(name + counts * np.uint64(0x9E3779B97F4A7C15))
-                low, high = (vector & np.uint64(0x7FFFFFFF)).astype(np.int64), (vector >> np.uint64(33)).astype(np.int64)
-                for i, (token, (n, chars)) in enumerate(own.items()):
-                    row = found.setdefault((host, token), np.zeros(5, np.int64))
-                    row += (1, n, low[i], high[i], chars)
+                low, high = (vector & np.uint64(0x7FFFFFFF)).tolist(), (vector >> np.uint64(33)).tolist()
+                seen = 1 << int(mix(np.array([name]))[0] % np.uint64(62))
+                for i, (token, (n, chars, texts)) in enumerate(own.items()):
+                    row = found.setdefault((host, token), [0, 0, 0, 0, 0, 0, NO_TEXT, -1, 0])
+                    for at, more in enumerate((1, n, low[i], high[i], chars)):
+                        row[at] += more
+                    if texts:
+                        text = sum(texts)
+                        row[5:] = row[5] + 1, min(row[6], text), max(row[7], text), row[8] | seen
             if found:
-                keys, values = list(zip(*found)), np.array(list(found.values()))
+                keys, values = list(zip(*found)), np.array(list(found.values()), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[0]), pa.array(keys[1]), *(pa.array(values[:, i]) for i in range(5))],
-                    names=["host", "token", "pages", "total", "low", "high", "chars"],
+                    [pa.array(keys[0]), pa.array(keys[1]), *(pa.array(values[:, i]) for i in range(9))],
+                    names=["host", "token", *SUMS, "least", "most", "seen"],
                 )
 
     parts = pages.select("_host", F.col("html").cast("string").alias("html")).mapInArrow(
-        count, "host string, token string, pages long, total long, low long, high long, chars long"
+        count, f"host string, token string, {', '.join(f'{c} long' for c in (*SUMS, 'least', 'most', 'seen'))}"
     )
-    return parts.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "total", "low", "high", "chars")))
+    rest = F.min("least").alias("least"), F.max("most").alias("most"), F.bit_or("seen").alias("seen")
+    return parts.groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in SUMS), *rest)
 
 
 def hash_of(page: str) -> int:
@@ -74,16 +90,17 @@ def hash_of(page: str) -> int:
 def templates(pages: DataFrame, frequent: float = 0.5, large: int = 3) -> DataFrame:
     """host, n_pages, classes: the valid equivalence classes of each host, the most frequent first.
 
-    A class has pages (in which it occurs), total, and its tokens (path, chars). It
-    is valid if it occurs in at least the share `frequent` of the host's pages and
+    A class has pages (in which it occurs), total, and its tokens (path, chars, whether
+    the text is the same on all pages that have any, half of the token's or more). It is valid if it occurs in at least the share `frequent` of the host's pages and
     has at least `large` tokens. A token that is frequent enough is in at least every
     so many pages, so a host has no more of them than a few pages have.
     """
     met = staged(occurrences(with_host(pages)), "occurrences")
     hosts = met.where("token = ''").select("host", F.col("pages").alias("n_pages"))
     often = met.where("token != ''").join(hosts, "host").where(F.col("pages") >= frequent * F.col("n_pages"))
+    same = (F.col("least") == F.col("most")) & (F.bit_count("seen") >= REPEATS) & (2 * F.col("with_text") >= F.col("pages"))
     classes = often.groupBy("host", "n_pages", "pages", "total", "low", "high").agg(
-        F.sort_array(F.collect_list(F.struct("token", "chars"))).alias("tokens")
+        F.sort_array(F.collect_list(F.struct("token", "chars", same.alias("same")))).alias("tokens")
     )
     valid = classes.where(F.size("tokens") >= large)
     item = F.struct((-F.col("pages")).alias("order"), "total", "tokens")
@@ -108,12 +125,19 @@ def main_slot(classes: list[dict]) -> str | None:
     return max(deep)[2] if deep else None
 
 
+def repeating(classes: list[dict], slot: str | None) -> frozenset[str]:
+    """The paths below `slot` that a noise word names and whose text is the same on the host's pages."""
+    below = f"{slot}/" if slot else ""
+    return frozenset(t["token"] for c in classes for t in c["tokens"] if t["same"] and t["token"].startswith(below) and named_noise(t["token"]))
+
+
 def extract_main_text(pages: DataFrame, frequent: float = 0.5, large: int = 3) -> DataFrame:
     """`pages` with `text`, the main text of `html`, and `n_chars`, its code points.
 
     A page that lacks the slot of its host's template, or whose host has none, gives
     the text of its whole body; menus, headers, footers, sidebars, notices, adverts,
-    forms, scripts, styles and reader comments never count. Null html is empty and
+    forms, scripts, styles and reader comments never count. In the slot they are told
+    by tag, by whole class tokens, or by a noise word and a text that repeats. Null html is empty and
     gives an empty text. All rows and other columns stay; columns that have the names
     `text` and `n_chars` are replaced; `_host` and `_classes` are not allowed.
     """
@@ -128,15 +152,16 @@ def extract_main_text(pages: DataFrame, frequent: float = 0.5, large: int = 3) -
 def _extracted():
     @F.arrow_udf("string")
     def extracted(pages: pa.Array, hosts: pa.Array, classes: pa.Array) -> pa.Array:
-        slots: dict[str, str | None] = {}
+        slots: dict[str, tuple[str | None, frozenset[str]]] = {}
         out = []
         for i, (page, host) in enumerate(zip(pages, hosts.to_pylist())):
             if host not in slots:
                 own = classes[i].as_py()
-                slots[host] = main_slot(own) if own else None
+                slot = main_slot(own) if own else None
+                slots[host] = slot, repeating(own or [], slot)
             page = page.as_py() or ""
-            slot = slots[host]
-            text = text_of(page, slot) if slot else None
+            slot, drop = slots[host]
+            text = text_of(page, slot, drop) if slot else None
             out.append(text_of(page, None) if text is None else text)
         return pa.array(out, pa.string())
 

@@ -139,6 +139,21 @@ def test_page_content_is_no_marker_of_the_walk(spark):
     assert extract_main_text(pages).first().text == want
 
 
+def test_sections_of_an_article_are_no_noise_by_their_names(spark):
+    inner = (
+        '<h2 id="search-results">Results {0}</h2><h2 id="related-work">Related {0}</h2><h3 id="how-to-share-a-form">Share {0}</h3>'
+        '<section id="discussion"><p>Talk <span class="social-history">of</span> {0}</p></section><div class="social-history"><p>History {0}</p></div>'
+        '<div class="story-share-x"><p>Same on all</p></div><div class="note cookie-notice">We {0}</div><ul class="menu"><li>{0}</ul><div id="comments">Nice {0}</div>'
+    )
+    page = "<html><body><div class='search-x'>no {0}</div><article>" + inner + "</article></body></html>"
+    want = "Results {0}\nRelated {0}\nShare {0}\nTalk of {0}\nHistory {0}"
+    assert text_of(page.format(1), "html/body/article") == want.format(1) + "\nSame on all"
+    assert text_of(page.format(1), None) == want.format(1) + "\nSame on all"
+    rows = [(i, "http://a.example/", page.format(i)) for i in range(20)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in extract_main_text(pages).collect()} == {i: want.format(i) for i in range(20)}
+
+
 def test_templates_by_equal_occurrences(spark):
     page = lambda i, inner: f'<html><body><div class="top">{"<p>n</p>" * i}</div><div class="text"><p>{inner}</p></div></body></html>'
     rows = [(i, "http://a.example/x", page(i % 3, f"long text number {i} " * 5)) for i in range(12)]
