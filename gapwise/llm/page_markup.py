@@ -146,7 +146,10 @@ def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
 
 
 def structure(page: str) -> dict[str, tuple[int, int, set[int]]]:
-    """For each path of a page: how often it opens, the characters of its texts outside noise, and hashes of its distinct texts outside sure noise."""
+    """For each path of a page: how often it opens, the characters of its texts outside noise, and hashes of its distinct texts outside sure noise.
+
+    A path that ends in "/" stands for the texts that an element holds directly.
+    """
     opened: dict[str, int] = {}
     chars: dict[str, int] = {}
     texts: dict[str, set[int]] = {}
@@ -157,6 +160,10 @@ def structure(page: str) -> dict[str, tuple[int, int, set[int]]]:
             opened[part.path] = opened.get(part.path, 0) + 1
         elif not part.sure and (what := what.strip()):
             name, size = zlib.crc32(what.encode("utf-8", "surrogatepass")), 0 if part.noise else len(what)
+            direct = f"{part.path}/"
+            opened[direct] = 1
+            chars[direct] = chars.get(direct, 0) + size
+            texts.setdefault(direct, set()).add(name)
             while part:  # text counts for all that hold it
                 chars[part.path] = chars.get(part.path, 0) + size
                 texts.setdefault(part.path, set()).add(name)

@@ -24,6 +24,8 @@ from gapwise.llm.staging import staged
 
 
 SUMS = ("pages", "total", "low", "high", "chars", "with_text")
+#: Elements that a slot may be.
+CONTAINERS = {"body", "div", "section", "center", "table", "tbody", "tr", "td"}
 #: Above any hash of texts.
 NO_TEXT = 1 << 62
 #: A text repeats if it is the same on so many different pages at least.
@@ -91,7 +93,8 @@ def templates(pages: DataFrame, frequent: float = 0.5, large: int = 3) -> DataFr
     """host, n_pages, classes: the valid equivalence classes of each host, the most frequent first.
 
     A class has pages (in which it occurs), total, and its tokens (path, chars, whether
-    the text is the same on all pages that have any, half of the token's or more). It is valid if it occurs in at least the share `frequent` of the host's pages and
+    the text is the same on all pages that have any, half of the token's or more, and
+    own, the chars of such text that it holds directly). It is valid if it occurs in at least the share `frequent` of the host's pages and
     has at least `large` tokens. A token that is frequent enough is in at least every
     so many pages, so a host has no more of them than a few pages have.
     """
@@ -99,8 +102,11 @@ def templates(pages: DataFrame, frequent: float = 0.5, large: int = 3) -> DataFr
     hosts = met.where("token = ''").select("host", F.col("pages").alias("n_pages"))
     often = met.where("token != ''").join(hosts, "host").where(F.col("pages") >= frequent * F.col("n_pages"))
     same = (F.col("least") == F.col("most")) & (F.bit_count("seen") >= REPEATS) & (2 * F.col("with_text") >= F.col("pages"))
+    # what an element holds directly goes with it, not into the classes' tokens
+    direct = often.where("token like '%/'").select("host", F.expr("left(token, length(token) - 1)").alias("token"), F.when(same, F.col("chars")).alias("own"))
+    often = often.where("token not like '%/'").withColumn("same", same).join(direct, ["host", "token"], "left")
     classes = often.groupBy("host", "n_pages", "pages", "total", "low", "high").agg(
-        F.sort_array(F.collect_list(F.struct("token", "chars", same.alias("same")))).alias("tokens")
+        F.sort_array(F.collect_list(F.struct("token", "chars", "same", F.coalesce("own", F.lit(0)).alias("own")))).alias("tokens")
     )
     valid = classes.where(F.size("tokens") >= large)
     item = F.struct((-F.col("pages")).alias("order"), "total", "tokens")
@@ -108,27 +114,46 @@ def templates(pages: DataFrame, frequent: float = 0.5, large: int = 3) -> DataFr
 
 
 def main_slot(classes: list[dict]) -> str | None:
-    """The path of the template that holds the article: an article or main element, else where the most text is.
+    """The path of the template that holds the article: an article or main element, else the closest container of all text that varies.
 
-    The classes nest by their paths, so a slot is what a token's element holds. A
-    container that holds nearly all the text of another one around it is the closer fit.
+    The classes nest by their paths, so a slot is what a token's element holds. From
+    the body on, the slot is a container within if all other text around that is the
+    same on the host's pages.
     """
     tokens = [(t["token"], t["chars"]) for c in classes for t in c["tokens"]]
     for wanted in ("article", "main"):
         own = [(chars, -path.count("/"), path) for path, chars in tokens if path.rpartition("/")[2].split(".")[0] == wanted]
         if own:
             return max(own)[2]
-    once = [(t["token"], t["chars"]) for c in classes if c["total"] == -c["order"] for t in c["tokens"]]
-    holders = [(path, chars) for path, chars in once if path.rpartition("/")[2].split(".")[0] in ("div", "section", "td", "body")]
-    most = max((chars for _, chars in holders), default=0)
-    deep = [(path.count("/"), chars, path) for path, chars in holders if chars and chars >= 0.9 * most]
-    return max(deep)[2] if deep else None
+    once = {t["token"] for c in classes if c["total"] == -c["order"] for t in c["tokens"]}
+    every = {t["token"]: t for c in classes for t in c["tokens"]}
+    kids: dict[str, list[dict]] = {}
+    for path, token in every.items():
+        kids.setdefault(path.rpartition("/")[0], []).append(token)
+    starts = [path for path in once if tag_of(path) == "body"] or [path for path in once if tag_of(path) == "html"]
+    slot = max(starts, key=lambda path: (every[path]["chars"], path), default=None)
+    while slot:
+        own = kids.get(slot, [])
+        inner = [t for t in own if t["token"] in once and tag_of(t["token"]) in CONTAINERS and t["chars"] and not t["same"]]
+        if not inner:
+            break
+        best = max(inner, key=lambda t: (t["chars"], t["token"]))
+        others = sum(t["chars"] for t in own if t["same"])
+        if every[slot]["chars"] - every[slot]["own"] - others > best["chars"]:
+            break  # text around it varies
+        slot = best["token"]
+    return slot
+
+
+def tag_of(path: str) -> str:
+    return path.rpartition("/")[2].split(".")[0]
 
 
 def repeating(classes: list[dict], slot: str | None) -> frozenset[str]:
-    """The paths below `slot` that a noise word names and whose text is the same on the host's pages."""
-    below = f"{slot}/" if slot else ""
-    return frozenset(t["token"] for c in classes for t in c["tokens"] if t["same"] and t["token"].startswith(below) and named_noise(t["token"]))
+    """The paths below `slot` of a template's text: the same on the host's pages, and named by a noise word or, without an article, a container."""
+    below, article = f"{slot}/" if slot else "", slot is not None and tag_of(slot) in ("article", "main")
+    paths = [t["token"] for c in classes for t in c["tokens"] if t["same"] and t["token"].startswith(below)]
+    return frozenset(path for path in paths if named_noise(path) or not article and tag_of(path) in ("div", "section", "table"))
 
 
 def extract_main_text(pages: DataFrame, frequent: float = 0.5, large: int = 3) -> DataFrame:

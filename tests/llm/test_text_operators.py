@@ -154,6 +154,17 @@ def test_sections_of_an_article_are_no_noise_by_their_names(spark):
     assert {r.page_id: r.text for r in extract_main_text(pages).collect()} == {i: want.format(i) for i in range(20)}
 
 
+@pytest.mark.parametrize("wrap", [False, True])
+def test_text_around_the_largest_container_stays(spark, wrap):
+    post = '<div class="post"><h1>Title {0}</h1><p>Lead {0}</p><div class="body"><p>{1}</p><p>Always</p></div><div class="credits">Site text</div></div>'
+    outside = '<div class="top"><p>Same site</p></div>{2}<div class="bottom">Imprint</div>'
+    page = "<html><body>" + ('<div class="page">' + outside + "</div>" if wrap else outside) + "</body></html>"
+    pages = [(i, "http://a.example/", page.replace("{2}", post.format(i, f"body {i} " * (100 if i % 5 else 1)))) for i in range(20)]
+    found = extract_main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    want = {i: f"Title {i}\nLead {i}\n{(f'body {i} ' * (100 if i % 5 else 1)).strip()}\nAlways" for i in range(20)}
+    assert {r.page_id: r.text for r in found} == want
+
+
 def test_templates_by_equal_occurrences(spark):
     page = lambda i, inner: f'<html><body><div class="top">{"<p>n</p>" * i}</div><div class="text"><p>{inner}</p></div></body></html>'
     rows = [(i, "http://a.example/x", page(i % 3, f"long text number {i} " * 5)) for i in range(12)]
