@@ -13,6 +13,10 @@ from gapwise.llm.grid import best_of, search, usable
 from gapwise.llm.spans import mix
 
 
+#: A query that meets too few rows tries so many times the probes, as far as there are changes.
+WIDER = 3
+
+
 @dataclass(frozen=True)
 class Index:
     """`tables` tables of `functions` hashes floor((a.x + b) / width) of a point on the unit sphere.
@@ -64,6 +68,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, index: Index =
     largest norm, where the largest inner product is the least distance. A query
     visits in each table its own bucket and those that differ by the likeliest
     changes of its hashes; what the tables find is merged and ranked by exact scores.
+    If that is fewer than `k` rows of a block, the query goes on to less likely
+    changes and at last to all rows of the block, so that it gets `k` if there are.
     """
     clean = lambda df, name: df.where(usable(F.col("vector"))).select(
         F.col(name).cast("long").alias(name), F.col("vector").cast("array<double>").alias("vector")
@@ -72,16 +78,16 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, index: Index =
     every = clean(vectors, "vec_id")
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
     norm = float(np.sqrt(every.agg(F.max(square)).first()[0] or 1.0))
-    sets = perturbations(index.functions, index.probes)
+    sets = perturbations(index.functions, WIDER * index.probes)
 
     def cell(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _probed(query_ids, q, ids, d, k, index, sets, norm)
+        return _probed(query_ids, q, ids, d, k, index, (sets[: index.probes], sets[index.probes :]), norm)
 
     return search(own, every, cell, k, "double")
 
 
 def _probed(
-    query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, d: np.ndarray, k: int, index: Index, sets: list[tuple[int, ...]], norm: float
+    query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, d: np.ndarray, k: int, index: Index, steps: tuple[list[tuple[int, ...]], ...], norm: float
 ) -> tuple[np.ndarray, ...]:
     rng = np.random.Generator(np.random.PCG64(index.seed))
     lift = np.sqrt(np.maximum(0, 1 - (d * d).sum(axis=1) / norm**2))
@@ -98,23 +104,35 @@ def _probed(
         below = exact - base
         change = np.argsort(np.hstack([below, 1 - below]), axis=1, kind="stable")  # by distance to the next bucket
         tables.append((keys[order], order, base, change))
-    out: list[tuple[np.ndarray, ...]] = []
-    chunk = max(1, (1 << 23) // max(1, len(d)))
-    for start in range(0, len(q), chunk):
-        rows = np.arange(start, min(start + chunk, len(q)))
-        seen = np.zeros((len(rows), len(d)), bool)
+
+    def mark(seen: np.ndarray, own: np.ndarray, rows: np.ndarray, sets: list[tuple[int, ...]]) -> None:
+        """Marks in the rows `own` of `seen` what the queries `rows` meet in the buckets of `sets`."""
         for keys, order, base, change in tables:
             probe = np.empty((len(sets), len(rows)), np.uint64)
-            for t, own in enumerate(sets):
+            for t, changes in enumerate(sets):
                 place = base[rows].copy()
-                for j in own:
+                for j in changes:
                     which = change[rows, j]
                     place[np.arange(len(rows)), which % m] += np.where(which < m, -1, 1)
                 probe[t] = _keys(place)
             first, last = np.searchsorted(keys, probe.ravel(), "left"), np.searchsorted(keys, probe.ravel(), "right")
             size = last - first
             at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
-            seen[np.repeat(np.tile(np.arange(len(rows)), len(sets)), size), order[at]] = True
+            seen[np.repeat(np.tile(own, len(sets)), size), order[at]] = True
+
+    out: list[tuple[np.ndarray, ...]] = []
+    chunk = max(1, (1 << 23) // max(1, len(d)))
+    for start in range(0, len(q), chunk):
+        rows = np.arange(start, min(start + chunk, len(q)))
+        seen = np.zeros((len(rows), len(d)), bool)
+        short = np.arange(len(rows))
+        for sets in steps:
+            mark(seen, short, rows[short], sets)
+            met_of = np.array([np.count_nonzero(ids[seen[i]] != query_ids[rows[i]]) for i in short], np.int64)
+            short = short[met_of < k]
+            if not len(short):
+                break
+        seen[short] = True
         for i, row in enumerate(rows):
             met = np.flatnonzero(seen[i])
             met = met[ids[met] != query_ids[row]]

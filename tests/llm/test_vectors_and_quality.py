@@ -56,6 +56,18 @@ def test_few_candidates_and_none(spark):
         assert [tuple(r)[:3] for r in exact_top_k(rows, queries).orderBy("rank").collect()] == want
 
 
+@pytest.mark.parametrize("n", [10, 20, 40])
+def test_spread_vectors_are_all_found_if_they_are_few(spark, n):
+    x = np.vstack([np.eye(n // 2), -np.eye(n // 2)])  # orthogonal and opposite ones
+    vectors = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows, queries = frames(spark, vectors, 1)
+    found = [tuple(r) for r in nearest(rows, queries).collect()]
+    assert {(q, r) for q, r, _, _ in found} == {(q, r) for q in range(n) for r in range(1, min(20, n - 1) + 1)}
+    assert len(found) == len({(q, i) for q, _, i, _ in found}) and all(q != i for q, _, i, _ in found)
+    if n <= 20:
+        assert set(found) == brute(vectors, 1, 20, whole)
+
+
 def test_nearest_finds_nine_of_ten_and_scores_exactly(spark):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((4000, 64)) * rng.uniform(0.8, 1.2, (4000, 1))
