@@ -11,11 +11,14 @@ from gapwise.llm.chat import formatted, read_back, segments
 from gapwise.llm.grid import usable
 from gapwise.llm.near_duplicates import near_duplicates
 from gapwise.llm.nearest import nearest
+from gapwise.llm.ordered_packing import pack_in_order
 from gapwise.llm.packing import cut_pieces, pack
 from gapwise.llm.personal_data import KINDS, with_personal_data
 from gapwise.llm.pieces import decoded, encode_n_best
+from gapwise.llm.pivot_codes import compress, integers, with_group_error
 from gapwise.llm.quality import fit, score
-from gapwise.llm.staging import new_folder
+from gapwise.llm.ranked_search import ranked_search
+from gapwise.llm.staging import new_folder, staged
 from gapwise.llm.templates import extract_main_text
 from gapwise.llm.token_files import token_report, write_token_files
 from gapwise.llm.top_k import exact_top_k
@@ -118,6 +121,21 @@ def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"), width=3, at_least=85)
 
 
+def op11_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_in_order(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "label", integers(F.col("embedding")).alias("vector"))
+    coded, codebooks = compress(rows)
+    found = with_group_error(staged(coded, "codes")).withColumn("codebooks_sha256", F.lit(codebooks.digest()))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_top_k": op1_exact_top_k,
     "op2_nearest_neighbours": op2_nearest_neighbours,
@@ -129,8 +147,43 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_token_files": op9_token_files,
     "op10_minhash_near_duplicates": op10_minhash_near_duplicates,
+    "op11_order_preserving_packing": op11_order_preserving_packing,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_vector_code_compression": op13_vector_code_compression,
 }
 
+def _op13_sql(rounds: int = 4) -> str:
+    """The rounds one after another: a<i> assigns parts to the entries of c<i>, c<i + 1> has the moved entries."""
+    steps = [
+        """v AS MATERIALIZED (
+        SELECT vec_id, label, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+        """p AS MATERIALIZED (
+        SELECT vec_id, label, part, v[part * (len(v) // 4) + 1:(part + 1) * (len(v) // 4)] AS x FROM v, range(4) t(part))""",
+        """c0 AS MATERIALIZED (
+        SELECT part, e, x AS y FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e FROM p) WHERE e < 256)""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+        SELECT vec_id, label, part, x, min((d, e)) AS best FROM (
+          SELECT p.*, e, CAST(list_sum([(x[i] - y[i]) * (x[i] - y[i]) FOR i IN range(1, len(x) + 1)]) AS BIGINT) AS d
+          FROM p JOIN c{i} USING (part)) GROUP BY ALL)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (
+        SELECT part, best[2] AS e, i, CAST(floor(sum(x[i]) / count(*)) AS BIGINT) AS y
+        FROM a{i}, range(1, 17) t(i) GROUP BY ALL)""")
+            steps.append(f"""c{i + 1} AS MATERIALIZED (
+        SELECT c{i}.part, c{i}.e, coalesce(n.y, c{i}.y) AS y FROM c{i}
+        LEFT JOIN (SELECT part, e, list(y ORDER BY i) AS y FROM m{i} GROUP BY ALL) n ON n.part = c{i}.part AND n.e = c{i}.e)""")
+    steps.append(f"""coded AS (
+        SELECT vec_id, label, string_agg(format('{{:02x}}', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error
+        FROM a{rounds} GROUP BY vec_id, label)""")
+    steps.append(f"""digest AS (
+        SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c{rounds})""")
+    return "WITH " + ",\n      ".join(steps) + """
+      SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, digest"""
+
+
 SQL: dict[str, str] = {
     "op1_exact_top_k": """
       WITH v AS (
@@ -174,4 +227,25 @@ SQL: dict[str, str] = {
       least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
       SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
       FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id JOIN least l ON l.doc_id = d.doc_id""",
+    "op12_ranked_lexical_search": r"""
+      WITH terms AS (
+        SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM documents),
+      tf AS MATERIALIZED (SELECT r, doc_id, term, count(*) AS tf FROM terms GROUP BY ALL),
+      sizes AS MATERIALIZED (SELECT r, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY r),
+      whole AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM sizes),
+      weights AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, whole GROUP BY term, nn),
+      asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark),
+      scored AS (
+        SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * nn) // l)))) AS BIGINT) AS score
+        FROM asked JOIN tf USING (term) JOIN weights USING (term) JOIN sizes USING (r), whole GROUP BY item_id, r, doc_id),
+      ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored
+        WHERE score > 0 AND doc_id IS NOT NULL)
+      SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10""",
+    "op13_vector_code_compression": _op13_sql(),
 }
