@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from gapwise.llm.grid import matrix, usable
 from gapwise.llm.staging import staged
 
-#: Rows of one step in numpy.
-STEP = 4096
-#: Rounding can move a distance by far less than this share of it.
-SLACK = 1e-9
+#: Rows of one step in numpy, few enough that its tables stay in a core's cache.
+STEP = 128
+#: Rounding to 24 bits moves a difference of distances by far less than this share of the largest one.
+SLACK = 1e-6
 
 
 @dataclass(frozen=True)
@@ -42,7 +42,7 @@ def integers(vector: Column, scale: int = 1024) -> Column:
 
 
 def compress(
-    vectors: DataFrame, parts: int = 4, entries: int = 256, rounds: int = 4, pivots: int = 12
+    vectors: DataFrame, parts: int = 4, entries: int = 256, rounds: int = 4, pivots: int = 24
 ) -> tuple[DataFrame, Codebooks]:
     """(vec_id, label, code, error) of each vector, and the codebooks.
 
@@ -58,8 +58,8 @@ def compress(
     Components must stay below 2^26 or so (what squared distances in 63 bits allow;
     else ValueError).
 
-    Distances of parts to `pivots` fixed points are found once and written beside the
-    vectors. In each round only the entries' distances to the pivots are new: by the
+    Distances of parts to `pivots` fixed points are found once and written, to 24 bits,
+    beside the vectors. In each round only the entries' distances to the pivots are new: by the
     triangle inequality the largest difference of the two to one pivot is a lower bound
     of a distance. Entries are tried in the order of their bounds until the bound is above the least
     distance found, which is exact in integers. Entries, the driver's only data, are
@@ -120,10 +120,10 @@ def with_pivot_distances(vectors: DataFrame, pivots: np.ndarray, width: int) ->
             whole = matrix(pa.chunked_array([got.column("vector")]), width, np.int64)
             cut = whole.reshape(len(whole), parts, -1)
             near = np.stack([_distances(cut[:, p], pivots[p]) for p in range(parts)], axis=1)
-            columns = [got.column("vec_id"), got.column("label"), _lists(whole), _lists(near.reshape(len(whole), parts * n))]
+            columns = [got.column("vec_id"), got.column("label"), _lists(whole), _lists(near.reshape(len(whole), parts * n).astype(np.float32))]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "label", "vector", "near"])
 
-    schema = vectors.select("vec_id", "label", "vector", F.array().cast("array<double>").alias("near")).schema
+    schema = vectors.select("vec_id", "label", "vector", F.array().cast("array<float>").alias("near")).schema
     return vectors.select("vec_id", "label", "vector").mapInArrow(measure, schema)
 
 
@@ -137,13 +137,18 @@ def nearest_entries(points: np.ndarray, near: np.ndarray, entries: np.ndarray, o
 
     `near` has the points' and `of_entries` the entries' distances to the same pivots.
     """
-    bound = np.zeros((len(points), len(entries)))
-    for own, other in zip(near.T, of_entries.T):
-        np.maximum(bound, np.abs(own[:, None] - other[None, :]), out=bound)
-    scale = max(near.max(initial=0), of_entries.max(initial=0))
-    bound -= SLACK * (bound + scale * 1e-3)  # what rounding may have added, and more
-    order = np.argsort(bound, axis=1, kind="stable")
+    low, other = near.astype(np.float32, copy=False), of_entries.astype(np.float32)
+    bound = np.zeros((len(points), len(entries)), np.float32)
+    gap = np.empty_like(bound)
+    for i in range(low.shape[1]):
+        np.subtract(low[:, i, None], other[None, :, i], out=gap)
+        np.maximum(bound, np.abs(gap, out=gap), out=bound)
+    bound -= np.float32(SLACK * max(low.max(initial=0), other.max(initial=0)))  # more than rounding may have added
+    order = np.argsort(bound, axis=1)
     bound = np.take_along_axis(bound, order, axis=1)
+    reached = max(np.abs(points).max(initial=0), np.abs(entries).max(initial=0))
+    if 4 * int(reached) ** 2 * points.shape[1] < 2**31:
+        points, entries = points.astype(np.int32), entries.astype(np.int32)
     many = len(entries)
     best = np.full(len(points), np.iinfo(np.int64).max)  # squared distance * many + entry: ties go to the lower one
     reach = np.full(len(points), np.inf)
@@ -153,14 +158,14 @@ def nearest_entries(points: np.ndarray, near: np.ndarray, entries: np.ndarray, o
         if not len(rows):
             break
         tried = order[rows, at + steps]
-        gap = points[rows] - entries[tried]
-        found = np.einsum("ij,ij->i", gap, gap) * many + tried
+        apart = points[rows] - entries[tried]
+        found = np.einsum("ij,ij->i", apart, apart).astype(np.int64) * many + tried
         starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
         own = rows[starts]
         best[own] = np.minimum(best[own], np.minimum.reduceat(found, starts))
-        reach[own] = np.sqrt(best[own] // many) * (1 + SLACK)
+        reach[own] = np.sqrt(best[own] // many)
         evaluated += len(rows)
-        at, wide = at + wide, min(2 * wide, 16)
+        at, wide = at + wide, min(2 * wide, 32)
     return best % many, best // many, evaluated
 
 
@@ -168,7 +173,7 @@ def _assigned(got: pa.RecordBatch, books: Codebooks, of_entries: list[np.ndarray
     """For each step's rows: their parts, entries and squared distances."""
     width = books.parts * books.entries.shape[2]
     whole = matrix(pa.chunked_array([got.column("vector")]), width, np.int64).reshape(len(got), books.parts, -1)
-    near = matrix(pa.chunked_array([got.column("near")]), books.parts * books.pivots.shape[1], np.float64).reshape(len(got), books.parts, -1)
+    near = matrix(pa.chunked_array([got.column("near")]), books.parts * books.pivots.shape[1], np.float32).reshape(len(got), books.parts, -1)
     for start in range(0, len(got), STEP):
         own = slice(start, min(start + STEP, len(got)))
         found = [nearest_entries(whole[own, p], near[own, p], books.entries[p], of_entries[p]) for p in range(books.parts)]
