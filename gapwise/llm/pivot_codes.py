@@ -78,7 +78,7 @@ def compress(
     start = np.zeros((len(first), width), np.int64)
     for row, own in zip(start, first):
         row[: len(own["vector"])] = own["vector"]
-    books = start.reshape(len(first), parts, -1).transpose(1, 0, 2)
+    books = start.reshape(len(first), parts, width // parts).transpose(1, 0, 2)
     fixed = np.stack([_spread(book, pivots) for book in books])
     rows = staged(with_pivot_distances(known, fixed, width), "pivot-distances")
     if not len(first):  # no vector has an id that could start a codebook
@@ -118,7 +118,7 @@ def with_pivot_distances(vectors: DataFrame, pivots: np.ndarray, width: int) ->
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
             whole = matrix(pa.chunked_array([got.column("vector")]), width, np.int64)
-            cut = whole.reshape(len(whole), parts, -1)
+            cut = whole.reshape(len(whole), parts, width // parts)
             near = np.stack([_distances(cut[:, p], pivots[p]) for p in range(parts)], axis=1)
             columns = [got.column("vec_id"), got.column("label"), _lists(whole), _lists(near.reshape(len(whole), parts * n).astype(np.float32))]
             yield pa.RecordBatch.from_arrays(columns, names=["vec_id", "label", "vector", "near"])
@@ -172,8 +172,8 @@ def nearest_entries(points: np.ndarray, near: np.ndarray, entries: np.ndarray, o
 def _assigned(got: pa.RecordBatch, books: Codebooks, of_entries: list[np.ndarray]) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
     """For each step's rows: their parts, entries and squared distances."""
     width = books.parts * books.entries.shape[2]
-    whole = matrix(pa.chunked_array([got.column("vector")]), width, np.int64).reshape(len(got), books.parts, -1)
-    near = matrix(pa.chunked_array([got.column("near")]), books.parts * books.pivots.shape[1], np.float32).reshape(len(got), books.parts, -1)
+    whole = matrix(pa.chunked_array([got.column("vector")]), width, np.int64).reshape(len(got), *books.entries.shape[::2])
+    near = matrix(pa.chunked_array([got.column("near")]), books.parts * books.pivots.shape[1], np.float32).reshape(len(got), *books.pivots.shape[:2])
     for start in range(0, len(got), STEP):
         own = slice(start, min(start + STEP, len(got)))
         found = [nearest_entries(whole[own, p], near[own, p], books.entries[p], of_entries[p]) for p in range(books.parts)]
