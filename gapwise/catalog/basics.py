@@ -109,6 +109,7 @@ def _customer_orders(t: Given) -> DataFrame:
         orders.select("c_custkey", "o_orderkey", "o_orderstatus", "o_totalprice"),
         ["c_custkey"],
         (F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 400000),
+        hot_right=t.hot("orders", "o_custkey"),
     )
 
 
@@ -188,7 +189,9 @@ def inner_equi_join(t: Given) -> DataFrame:
 
 def left_outer_join(t: Given) -> DataFrame:
     orders = t["orders"].select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
-    return t["customer"].select("c_custkey").join(orders, "c_custkey", "left")
+    return joins.left_outer_join(
+        t["customer"].select("c_custkey"), orders, ["c_custkey"], hot_right=t.hot("orders", "o_custkey")
+    )
 
 
 def two_hop_absence(t: Given) -> DataFrame:
@@ -258,6 +261,7 @@ def or_key_join(t: Given) -> DataFrame:
         t["orders"].select("o_orderkey", "o_custkey"),
         "c_custkey",
         ["o_custkey", "o_orderkey"],
+        hot_right=[t.hot("orders", "o_custkey")],
     )
 
 

@@ -7,15 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapwise.operators.skew import HotKeys, lookup_join, spread_join
+from gapwise.operators.skew import HotKeys, left_spread_join, lookup_join, spread_join, without_partner
 from gapwise.operators.staging import UNBOUNDED, Bound
 
 
+def left_outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+    """Every left row with each of its partners, or with NULLs where it has none.
+
+    Keyword arguments go to :func:`gapwise.operators.skew.left_spread_join`, which splits
+    hot keys of either side.
+    """
+    return left_spread_join(left, right, keys, **options)
+
+
 def left_join_on_filter(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], right_condition: Column
+    left: DataFrame, right: DataFrame, keys: Sequence[str], right_condition: Column, **options
 ) -> DataFrame:
     """Left join whose ON clause also restricts the right side; no left row is lost."""
-    return left.join(right.where(right_condition), list(keys), "left")
+    return left_spread_join(left, right.where(right_condition), keys, **options)
 
 
 def two_hop_absence(
@@ -80,9 +89,15 @@ def missing_flag(df: DataFrame, right: DataFrame, keys: Sequence[str], name: str
     return exists_flag(df, right, keys, name, **lookup).withColumn(name, ~F.col(name))
 
 
-def not_exists(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` without a partner; the right side keeps only its keys."""
-    return df.join(right.select(*keys), list(keys), "left_anti")
+def not_exists(
+    df: DataFrame, right: DataFrame, keys: Sequence[str], *, hot: HotKeys | None = None, spread: Sequence[str] = ()
+) -> DataFrame:
+    """Rows of ``df`` without a partner.
+
+    The right side is reduced to its distinct keys on the map side; ``hot`` names hot
+    keys of ``df``, ``spread`` the columns that split their rows and those with a NULL key.
+    """
+    return without_partner(df, right, keys, hot=hot, spread=spread)
 
 
 def unique_lookup(
@@ -152,18 +167,29 @@ def or_key_join(
     *,
     how: str = "left",
     hot: HotKeys | None = None,
+    hot_right: Sequence[HotKeys] = (),
 ) -> DataFrame:
     """Join where the left key may equal any of several right columns.
 
     The right columns become rows, one per distinct value, which leaves an equi
-    join. A right row whose columns hold the same value matches once.
+    join. A right row whose columns hold the same value matches once. ``hot`` has
+    hot values of the left key, ``hot_right`` those of each right column in turn; a
+    value that is hot in several of them has the rows of all.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"an inner or a left join, not {how!r}")
     by_key = right.withColumn("_keys", F.array_distinct(F.array(*right_keys))).select(
         F.explode("_keys").alias("_key"), *right.columns
     )
     by_key = by_key.where(F.col("_key").isNotNull())
     keyed = left.withColumn("_key", F.col(left_key))
-    return spread_join(keyed, by_key, ["_key"], how, hot_left=hot).drop("_key")
+    parts: dict[object, int] = {}
+    for own in hot_right:
+        for value, n in own.items():
+            parts[value] = parts.get(value, 0) + n
+    if how == "left":
+        return left_spread_join(keyed, by_key, ["_key"], hot_left=hot, hot_right=parts).drop("_key")
+    return spread_join(keyed, by_key, ["_key"], hot_left=hot, hot_right=parts).drop("_key")
 
 
 def unpivot_keys(right: DataFrame, kinds: dict[str, str]) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from gapwise.operators import joins
+from gapwise.operators import aggregates, joins
 from gapwise.operators.skew import SkewPolicy, hot_keys, lookup_join, parts_of, spread_join
 
 SHARP = SkewPolicy(hot_rows=20, max_hot=1000, profile_bytes=0, broadcast_rows=0)
@@ -159,3 +159,158 @@ def test_two_hop_absence_with_hot_links(spark):
         df, link, target, "a", "b", hot_key={4: 8}, hot_target={5: 8, 9: 2}
     )
     assert rows(hot) == rows(plain)
+
+
+@pytest.fixture
+def shuffled(spark):
+    """Plans whose tasks are as many as the setting says and whose sides all shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def largest(df):
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes), sum(sizes)
+
+
+#: a third of the right rows, 4,000 of 12,000, have key 7
+HOT_RIGHT = "case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 900 end"
+
+
+@pytest.mark.parametrize("hot_left", [None, {7: 2, 8: 2}])
+@pytest.mark.parametrize("hot_right", [{}, {7: 8}, {7: 8, 11: 2, 5000: 4}])
+def test_left_join_with_hot_partners_equals_plain_join(left, right, hot_left, hot_right):
+    partners = right.unionByName(right.selectExpr("if(k = 9, 7, k) as k", "w + 1000 as w"))
+    split = joins.left_outer_join(left, partners, ["k"], hot_left=hot_left, hot_right=hot_right, spread_left=["id"])
+    plain = left.join(partners, "k", "left")
+    assert split.columns == plain.columns
+    assert rows(split, "id", "k", "v", "w") == rows(plain, "id", "k", "v", "w")
+
+
+def test_partners_of_a_hot_key_are_spread(spark, shuffled):
+    left = spark.range(1000).selectExpr("id as k", "id % 7 as v")
+    right = spark.range(12_000).selectExpr(f"{HOT_RIGHT} as k", "id as w")
+    plain, total = largest(joins.left_outer_join(left, right, ["k"]))
+    assert plain >= 4000
+    split, same = largest(joins.left_outer_join(left, right, ["k"], hot_right={7: 32}))
+    assert same == total and split < 1500
+    kept = F.col("w") % 2 == 0
+    filtered, n = largest(joins.left_join_on_filter(left, right, ["k"], kept, hot_right={7: 32}))
+    assert filtered < 1000 and n == left.join(right.where(kept), "k", "left").count()
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_or_keys_with_hot_partners(spark, shuffled, how):
+    left = spark.range(1000).selectExpr("id as k")
+    right = spark.range(12_000).selectExpr(f"{HOT_RIGHT} as a", "if(id % 5 = 0, 7L, id % 1100) as b", "id as w")
+    plain = joins.or_key_join(left, right, "k", ["a", "b"], how=how)
+    split = joins.or_key_join(left, right, "k", ["a", "b"], how=how, hot_right=[{7: 32}, {7: 16}])
+    assert rows(split, "k", "a", "b", "w") == rows(plain, "k", "a", "b", "w")
+    assert largest(plain)[0] >= 4000 and largest(split)[0] < 1600
+    with pytest.raises(ValueError):
+        joins.or_key_join(left, right, "k", ["a", "b"], how="full")
+
+
+def test_hot_keys_of_an_anti_join_are_reduced_or_spread(spark, shuffled):
+    """The right side has a key once per map task at most, hot or NULL rows of the left side don't meet."""
+    left = spark.range(12_000).selectExpr("id", f"{HOT_RIGHT} as k")
+    right = spark.range(100_000).selectExpr("if(id % 3 = 0, 11L, id % 40 + 860) as k")
+    plain = left.join(right, "k", "left_anti")
+    for options in ({}, {"spread": ["id"]}, {"hot": {7: 32}, "spread": ["id"]}):
+        got = joins.not_exists(left, right, ["k"], **options)
+        assert got.columns == left.columns
+        assert rows(got, "id", "k") == rows(plain, "id", "k")
+        plan = got._jdf.queryExecution().executedPlan()
+        seen = _shuffled_rows(spark, got)
+        assert seen < 12_000 * 1.1 + 8 * 41 + 200, plan.toString()  # 8 map tasks, 41 keys on the right, 32 salts of one
+    assert largest(joins.not_exists(left, right, ["k"]))[0] >= 4000
+    assert largest(joins.not_exists(left, right, ["k"], hot={7: 32}, spread=["id"]))[0] < 1200
+
+
+def _shuffled_rows(spark, df):
+    """Records that one run of a plan writes to shuffles."""
+    df._jdf.queryExecution().executedPlan()
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan()
+    total, todo = 0, [plan]
+    df.collect()
+    while todo:
+        node = todo.pop()
+        metrics = node.metrics()
+        if "Exchange" in node.nodeName() and metrics.contains("shuffleRecordsWritten"):
+            total += metrics.get("shuffleRecordsWritten").get().value()
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_one_group_with_one_leading_value_is_joined_by_many_tasks(spark):
+    n = 1_000_000
+    df = spark.range(n).selectExpr("1L as k", "5 as o", f"({n} - id) as t", "cast(id % 10 as string) as v")
+    got = aggregates.grouped_concat(df, "k", ["o", "t"], "v", "", hot={1: 4})
+    text = got.first()["text"]
+    assert text == "".join(str(i % 10) for i in reversed(range(n)))
+    runs = aggregates._joined_runs(df, ["k"], ["k", "o", "t", "v"], ["o", "t"], "v", "", "text", 32)
+    plan = runs._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+    dealt = df.repartitionByRange(32, "k", "o", "t", "v")
+    assert largest(dealt)[0] < 2 * n // 32
+
+
+@pytest.mark.parametrize("pieces", [False, True])
+def test_runs_keep_ties_and_nulls_in_order(spark, pieces):
+    df = spark.range(3000).selectExpr(
+        "id % 3 as k", "if(id % 7 = 0, null, id % 2) as o", "if(id % 11 = 0, null, id % 5) as t", "if(id % 13 = 0, null, cast(id % 4 as string)) as v"
+    )
+    plain = aggregates.grouped_concat(df, "k", ["o", "t"], "v", ",", pieces=pieces)
+    split = aggregates.grouped_concat(df.repartition(6), "k", ["o", "t"], "v", ",", pieces=pieces, hot={0: 2, 2: 3})
+    assert rows(split) == rows(plain)
+
+
+def test_hot_keys_of_all_columns_by_one_sketch(spark):
+    df = spark.range(60_000).selectExpr(
+        "if(id % 3 = 0, 7L, id) as a", "if(id % 4 = 0, 'x', cast(id % 100 as string)) as b", "cast(id % 2 = 0 as boolean) as c",
+        "if(id % 5 = 0, null, cast(id % 3 as int)) as d", "cast(id % 2 as decimal(9, 2)) as e", "date_add(date'2024-01-01', cast(id % 400 as int)) as f",
+    )
+    policy = SkewPolicy(hot_rows=5000)
+    found = hot_keys(df, df.columns, policy)
+    exact = {}
+    for column in df.columns:
+        counts = df.where(F.col(column).isNotNull()).groupBy(column).count().collect()
+        exact[column] = {r[0]: -(-r[1] // 5000) for r in counts if r[1] > 5000}
+    assert found == exact and found["a"] == {7: 5} and found["f"] == {}
+
+
+def test_one_sketch_serves_all_columns(spark):
+    """A count, a sketch and a count of what it names, whatever the number of columns."""
+    df = spark.range(50_000).selectExpr("id % 3 as a", "id % 4 as b", "id % 5 as c")
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("profile", "profile")
+    hot_keys(df, ["a", "b", "c"], SkewPolicy(hot_rows=1000))
+    jobs = tracker.getJobIdsForGroup("profile")
+    context.setJobGroup("other", "other")
+    stages = {s for job in jobs for s in tracker.getJobInfo(job).stageIds}
+    infos = [tracker.getStageInfo(s) for s in stages]
+    reading = [i for i in infos if i and i.numTasks == i.numCompletedTasks == 8]  # others were skipped
+    assert len(reading) <= 4  # three passes, and the shuffle's side of the last
+
+
+def test_more_hot_keys_than_listed_are_a_table(spark, left):
+    hot = hot_keys(left, ["k"], SkewPolicy(hot_rows=5, max_hot=2))["k"]
+    assert len(hot) > 2
+    plan = lookup_join(left, left.groupBy("k").agg(F.max("v").alias("top")), ["k"], hot=hot)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan
+    few = hot_keys(left, ["k"], SkewPolicy(hot_rows=5, max_hot=500))["k"]
+    assert "LocalRelation" not in lookup_join(left, left.groupBy("k").agg(F.max("v").alias("top")), ["k"], hot=few)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_values_belong_to_a_key(left, right):
+    with pytest.raises(ValueError):
+        spread_join(left, right, ["k"], hot_on="w", hot_left={1: 2})
+    with pytest.raises(ValueError):
+        lookup_join(left, right, ["k"], hot_on="v", hot={1: 2})
