@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gapwise.functions.predicates import differs_from, unusable_id
 from gapwise.functions.scalars import id_from_text
 from gapwise.operators import joins
+from gapwise.operators.skew import lookup_join
 from gapwise.operators.staging import Staged, stage
 from gapwise.plans import root_cause as rc
 from gapwise.plans import variants
@@ -103,26 +104,25 @@ def assets_without_contract(t: TableSet) -> DataFrame:
 
 
 def original_asset(t: TableSet) -> DataFrame:
-    return rc.original_asset(assets_without_contract(t), t, CFG)
+    return rc.original_asset(stage(assets_without_contract(t), t.skew).df, t, CFG)
 
 
-def _spine(t: TableSet) -> tuple[Staged, Staged]:
-    """Links to the originals, and what contracts cover them, each computed once for the steps after it."""
-    start = stage(assets_without_contract(t), t.skew)
-    links = stage(rc.original_asset(start.df, t, CFG, start.bounded), t.skew)
-    return links, stage(rc.covered_contracts(links.df, t, links.bounded), t.skew)
+def original_contracts(t: TableSet) -> DataFrame:
+    assets = stage(assets_without_contract(t), t.skew).df
+    return rc.original_contracts(assets, t, CFG).select(
+        "asset_id", "original_asset_id", "contract_id", "item_num", "contract_site"
+    )
 
 
-def original_contracts(t: TableSet) -> DataFrame:
-    links, covered = _spine(t)
-    contracts = stage(rc.contract_rows(covered.df, t, covered.bounded), t.skew).df
-    rows = rc.attach_contracts(links.df, covered.df, contracts, t, covered.bounded)
-    return rows.select("asset_id", "original_asset_id", "contract_id", "item_num", "contract_site")
+def _covered(t: TableSet) -> tuple[Staged, Staged]:
+    """Links to the originals, and what contracts cover them, each computed once for the steps after it."""
+    assets = stage(assets_without_contract(t).select("asset_id"), t.skew).df
+    links = stage(rc.original_asset(assets, t, CFG), t.skew)
+    return links, stage(rc.covered_contracts(links.df, t), t.skew)
 
 
 def _contracts(t: TableSet) -> DataFrame:
-    covered = _spine(t)[1]
-    return stage(rc.contract_rows(covered.df, t, covered.bounded), t.skew).df
+    return stage(rc.contract_rows(_covered(t)[1].df, t), t.skew).df
 
 
 def contract_preclass(t: TableSet) -> DataFrame:
@@ -137,7 +137,7 @@ def counterpart_agreement(t: TableSet) -> DataFrame:
 
 def _counterparts(t: TableSet) -> DataFrame:
     agreements = rc.distinct_agreements(rc.contract_agreement(_contracts(t), t))
-    return rc.distinct_counterparts(rc.counterpart_of(agreements, t, CFG))
+    return stage(rc.distinct_counterparts(rc.counterpart_of(agreements, t, CFG)), t.skew).df
 
 
 def counterpart_agreement_attrs(t: TableSet) -> DataFrame:
@@ -149,12 +149,12 @@ def counterpart_agreement_contracts(t: TableSet) -> DataFrame:
 
 
 def agreement_asset_check(t: TableSet) -> DataFrame:
-    links, covered = _spine(t)
-    contracts = stage(rc.contract_rows(covered.df, t, covered.bounded), t.skew).df
-    facts = stage(rc.counterpart_agreement(contracts, t, CFG), t.skew).df
-    pairs = rc.attach_contracts(links.df, covered.df, facts, t, covered.bounded, existing=contracts)
-    pairs = pairs.where(F.col("contract_id").isNotNull())
-    return rc.agreement_asset_check(pairs, t).select(
+    links, covered = _covered(t)
+    contracts = stage(rc.contract_rows(covered.df, t), t.skew).df
+    pairs = rc.contract_pairs(links, covered, contracts, t)
+    facts = rc.counterpart_agreement(contracts, t, CFG)
+    rows = lookup_join(pairs.df, facts, ["contract_id"], hot=pairs.hot("contract_id"), spread=["asset_id"])
+    return rc.agreement_asset_check(stage(rows, t.skew), t).select(
         "asset_id", "contract_id", "cp_agreement_id", "has_any_asset", "has_this_asset"
     )
 
@@ -164,7 +164,7 @@ def party_location_check(t: TableSet) -> DataFrame:
 
 
 def customer_check(t: TableSet) -> DataFrame:
-    return rc.customer_check(assets_without_contract(t), t, CFG).select(
+    return rc.customer_check(stage(assets_without_contract(t), t.skew).df, t, CFG).select(
         "asset_id", "site", "customer_num", "customer_ok"
     )
 
@@ -201,6 +201,10 @@ def staged_agreement_flow(t: TableSet) -> DataFrame:
     return variants.staged_agreement_flow(t, CFG)
 
 
+def staged_agreement_summary(t: TableSet) -> DataFrame:
+    return variants.staged_agreement_summary(t, CFG)
+
+
 def agreement_bridge(t: TableSet) -> DataFrame:
     return variants.agreement_bridge(t, CFG)
 
@@ -235,6 +239,7 @@ QUERIES = {
         root_cause_report,
         status_coalesce,
         staged_agreement_flow,
+        staged_agreement_summary,
         agreement_bridge,
         agreement_bridge_by_value,
     )

@@ -203,7 +203,7 @@ def two_hop_absence(t: Given) -> DataFrame:
         target,
         "c_custkey",
         "o_orderkey",
-        hot_key=t.hot("orders", "o_custkey"),
+        hot_key=lambda: t.hot("orders", "o_custkey"),
     )
 
 

@@ -233,11 +233,11 @@ _DERIVED = """
       FROM lineitem WHERE l_orderkey % 2 = 1 OR (l_orderkey // 2) % 17 = 0
       GROUP BY l_orderkey, l_linenumber
     ),
-    n AS (SELECT DISTINCT p_partkey % 60 AS n FROM part),
+    n AS (SELECT DISTINCT p_partkey AS n FROM part),
     asset AS (
       SELECT k AS asset_id, 'SN' || k AS serial_num, cust % 50 AS manufacturer_id,
              o_orderpriority AS item_class,
-             CAST(CASE WHEN j % 3 = 0 THEN 6 ELSE 1 END AS INTEGER) AS source_site_id,
+             CAST(CASE WHEN j % 23 = 0 THEN NULL WHEN j % 3 = 0 THEN 6 ELSE 1 END AS INTEGER) AS source_site_id,
              CASE j % 7 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE cust + 1 END AS customer_num,
              CASE WHEN even THEN 99999 ELSE k END AS order_num,
              CASE j % 4 WHEN 0 THEN 'PGM.A' WHEN 1 THEN 'PGM.B' WHEN 2 THEN 'PGM.C'
@@ -249,32 +249,36 @@ _DERIVED = """
       SELECT k AS from_asset_id, k + 1 AS to_asset_id,
              CASE WHEN j % 11 = 0 THEN 4 ELSE 9 END AS relationship_type_id
       FROM o WHERE even
+      UNION ALL SELECT k, k + 3, 9 FROM o WHERE even AND j % 14 = 3
     ),
     contract AS (
-      SELECT c AS contract_id, 'IT' || (partkey % 60) AS item_num,
-             CAST(CASE WHEN s % 4 = 0 THEN 6 ELSE 1 END AS INTEGER) AS source_site_id
+      SELECT c AS contract_id, 'IT' || partkey AS item_num,
+             CAST(CASE WHEN s % 19 = 0 THEN NULL WHEN s % 4 = 0 THEN 6 ELSE 1 END AS INTEGER) AS source_site_id
       FROM ct
     ),
     contract_coverage AS (
       SELECT c AS contract_id, c // 10 AS asset_id FROM ct
+      UNION ALL SELECT c, c // 10 + 2 FROM ct WHERE c % 10 = 4
       UNION ALL SELECT 90000000 + k, k FROM o WHERE even AND j % 13 = 0
     ),
     contract_identifier AS (
-      SELECT c + 5000000 AS contract_id, CAST(c AS VARCHAR) AS identifier_value,
+      SELECT c + 5000000 AS contract_id, CASE WHEN c % 21 = 0 THEN 'C-' || c ELSE CAST(c AS VARCHAR) END AS identifier_value,
              CASE WHEN c % 2 = 0 THEN 106 ELSE 105 END AS identifier_type_id
       FROM ct WHERE c % 7 = 0
     ),
     agreement AS (
       SELECT 2000000 + k AS agreement_id,
-             CAST(CASE WHEN j % 3 = 0 THEN 6 ELSE 1 END AS INTEGER) AS source_site_id
+             CAST(CASE WHEN j % 17 = 0 THEN NULL WHEN j % 3 = 0 THEN 6 ELSE 1 END AS INTEGER) AS source_site_id
       FROM o WHERE even
       UNION ALL
-      SELECT 1000000 + k, CAST(CASE WHEN j % 2 = 0 THEN 6 ELSE 1 END AS INTEGER)
+      SELECT 1000000 + k, CAST(CASE WHEN j % 17 = 0 THEN NULL WHEN j % 2 = 0 THEN 6 ELSE 1 END AS INTEGER)
       FROM o WHERE NOT even
     ),
     agreement_contract AS (
       SELECT 1000000 + c // 10 AS agreement_id, c AS contract_id FROM ct WHERE c % 10 <= 4
+      UNION ALL SELECT 1000000 + c // 10 + 2, c FROM ct WHERE c % 10 = 3
       UNION ALL SELECT 2000000 + k, 90000000 + k FROM o WHERE even
+      UNION ALL SELECT 2000000 + k, 91000000 + k FROM o WHERE even AND j % 6 = 1
     ),
     agreement_identifier AS (
       SELECT 1000000 + k AS agreement_id,
@@ -285,11 +289,13 @@ _DERIVED = """
       UNION ALL
       SELECT 1000000 + k, 112, CAST(2000000 + k + 1 AS VARCHAR)
       FROM o WHERE NOT even AND j % 12 = 5
+      UNION ALL SELECT 1000000 + k, 111, 'A' || k FROM o WHERE NOT even AND j % 10 = 7
     ),
     agreement_asset AS (
       SELECT 2000000 + k AS agreement_id, CASE WHEN j % 5 = 1 THEN k + 2 ELSE k END AS asset_id
       FROM o WHERE even AND j % 5 <> 0
       UNION ALL SELECT 1000000 + k, k FROM o WHERE NOT even AND j % 5 <> 2
+      UNION ALL SELECT 2000000 + k, k + 4 FROM o WHERE even AND j % 5 <> 0 AND j % 7 = 3
     ),
     party_address AS (
       SELECT k AS party_address_id,
@@ -299,12 +305,14 @@ _DERIVED = """
     ),
     party_address_agreement AS (
       SELECT k AS party_address_id, 2000000 + k AS agreement_id FROM o WHERE even AND j % 8 <> 0
+      UNION ALL SELECT k + 2, 2000000 + k FROM o WHERE even AND j % 8 <> 0 AND j % 5 = 2
     ),
     party_address_asset AS (
       SELECT k AS party_address_id, k AS asset_id FROM o WHERE even AND j % 8 <> 1
+      UNION ALL SELECT k + 4, k FROM o WHERE even AND j % 8 <> 1 AND j % 7 = 2
     ),
     item_mapping AS (
-      SELECT 'IT' || n AS item_num_a, 'IT' || ((n + 1) % 60) AS item_num_b,
+      SELECT 'IT' || n AS item_num_a, 'IT' || (n + 1) AS item_num_b,
              CASE WHEN n % 10 = 3 THEN 34 ELSE 33 END AS application_id,
              1 + n % 6 AS map_type_id
       FROM n
@@ -313,7 +321,8 @@ _DERIVED = """
       SELECT 'IT' || n AS item_num, CASE WHEN n % 2 = 0 THEN 6 ELSE 1 END AS source_site_id FROM n
     ),
     instruction AS (
-      SELECT c AS instr_id, 1 + c % 2 AS entity_type_id, CAST(c AS VARCHAR) AS entity_value
+      SELECT c AS instr_id, 1 + c % 2 AS entity_type_id,
+             CASE WHEN c % 11 = 0 THEN 'none' ELSE CAST(c AS VARCHAR) END AS entity_value
       FROM ct WHERE c % 5 < 2
     )"""
 
@@ -334,11 +343,19 @@ _STEPS = (
       FROM candidate c LEFT JOIN asset_relationship r
         ON r.from_asset_id = c.asset_id AND r.relationship_type_id = 9
     ),
+    reached AS (
+      SELECT DISTINCT o.asset_id, o.original_asset_id, t.contract_id
+      FROM original o JOIN contract_coverage v ON v.asset_id = o.original_asset_id JOIN contract t USING (contract_id)
+    ),
     found AS (
-      SELECT p.*, t.contract_id, t.item_num, t.source_site_id AS contract_site
-      FROM original p LEFT JOIN (
-        SELECT v.asset_id AS covered_asset, t.* FROM contract_coverage v JOIN contract t USING (contract_id)
-      ) t ON t.covered_asset = p.original_asset_id
+      SELECT c.*, (SELECT min(original_asset_id) FROM reached r WHERE r.asset_id = c.asset_id AND r.contract_id = t.contract_id)
+               AS original_asset_id,
+             t.contract_id, t.item_num, t.source_site_id AS contract_site
+      FROM candidate c JOIN (SELECT DISTINCT asset_id, contract_id FROM reached) p USING (asset_id)
+      JOIN contract t USING (contract_id)
+      UNION ALL
+      SELECT c.*, (SELECT min(original_asset_id) FROM original o WHERE o.asset_id = c.asset_id), NULL, NULL, NULL
+      FROM candidate c WHERE NOT EXISTS (SELECT 1 FROM reached r WHERE r.asset_id = c.asset_id)
     ),
     checked AS (
       SELECT f.*,
@@ -547,6 +564,59 @@ ANALYSIS = {
                'Other') END AS root_cause
       FROM report r""",
     "staged_agreement_flow": _STEPS
+    + """,
+      of_agreement AS (
+        SELECT DISTINCT agreement_id AS a_id, 'contract' AS stage, contract_id AS record_id,
+               CAST(NULL AS BIGINT) AS customer_num, CAST(NULL AS BIGINT) AS ucid
+        FROM agreement_contract
+        UNION ALL SELECT DISTINCT agreement_id, 'asset', asset_id, NULL, NULL FROM agreement_asset
+        UNION ALL SELECT DISTINCT l.agreement_id, 'location', p.party_address_id, p.customer_num, p.ucid
+        FROM party_address_agreement l JOIN party_address p USING (party_address_id)
+      ),
+      of_asset AS (
+        SELECT DISTINCT l.asset_id AS a_id, p.party_address_id AS record_id, p.customer_num, p.ucid
+        FROM party_address_asset l JOIN party_address p USING (party_address_id)
+      ),
+      flow AS (
+        SELECT r.*, 'agreement' AS stage, cp_agreement_id AS record_id, cp_agreement_id AS link,
+               CAST(NULL AS BIGINT) AS address_num, CAST(NULL AS BIGINT) AS ucid
+        FROM report r WHERE contract_id IS NOT NULL
+        UNION ALL
+        SELECT r.*, s.stage, a.record_id, a.a_id, a.customer_num, a.ucid
+        FROM report r CROSS JOIN (VALUES ('contract'), ('asset'), ('location')) s (stage)
+        LEFT JOIN of_agreement a ON a.a_id = r.cp_agreement_id AND a.stage = s.stage
+        WHERE r.cp_agreement_id IS NOT NULL
+        UNION ALL
+        SELECT r.*, 'customer', a.record_id, NULL, a.customer_num, a.ucid
+        FROM report r LEFT JOIN of_asset a ON a.a_id = r.asset_id
+        UNION ALL
+        SELECT r.*, 'mapping', NULL, NULL, NULL, NULL FROM report r WHERE contract_id IS NOT NULL
+      )
+      SELECT asset_id, original_asset_id, contract_id, agreement_id, cp_agreement_id, stage, record_id,
+             link AS record_agreement_id,
+             CASE WHEN stage = 'agreement' THEN cp_site END AS site,
+             address_num AS customer_num, ucid,
+             CASE WHEN stage = 'mapping' THEN mapped_item END AS item_num,
+             CASE stage
+               WHEN 'asset' THEN COALESCE(record_id = asset_id, FALSE)
+               WHEN 'location' THEN record_id IS NOT NULL AND (cp_site IS NULL
+                 OR COALESCE(CASE WHEN cp_site = 6 THEN ucid ELSE address_num END, 0) >= 1)
+               WHEN 'customer' THEN record_id IS NOT NULL AND (site IS NULL
+                 OR COALESCE(CASE WHEN site = 6 THEN ucid ELSE address_num END, 0) >= 1)
+               WHEN 'mapping' THEN mapped_item IS NOT NULL
+               ELSE record_id IS NOT NULL END AS fits,
+             CASE
+               WHEN stage = 'agreement' AND record_id IS NULL THEN 'CounterPart Agreement Not Found'
+               WHEN stage = 'asset' AND NOT has_any_asset THEN 'Missing Agreement/Asset Relationship'
+               WHEN stage = 'asset' AND NOT has_this_asset
+                 THEN 'CounterPart Agreement Linked to Non-Mapped Asset'
+               WHEN stage = 'location' AND NOT location_ok THEN 'PartyLocation not found'
+               WHEN stage = 'customer' AND NOT customer_ok
+                 THEN 'Customer not found in counterpart asset'
+               WHEN stage = 'mapping' AND mapped_item IS NULL THEN 'Missing Item Material Mapping'
+             END AS label
+      FROM flow""",
+    "staged_agreement_summary": _STEPS
     + """,
       cp_first AS (
         SELECT l.agreement_id AS a_id, p.*,

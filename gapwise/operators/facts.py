@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators.skew import lookup_join
-from gapwise.operators.staging import UNBOUNDED, Bound, keys_of
 
 
 def any_true(column: Column | str) -> Column:
@@ -22,28 +21,24 @@ def gather_facts(
     key: str,
     sources: Sequence[DataFrame],
     aggregates: Mapping[str, Callable[[str], Column]],
-    *,
-    bounded: Bound = UNBOUNDED,
+    used: DataFrame | None = None,
 ) -> DataFrame:
     """Add columns aggregated per key from several frames of (key, value) rows.
 
-    ``df`` has one row per key and keeps its rows. The sources are stacked and
-    aggregated together, on the map side first, so that a key with very many
-    rows reaches its task as a few partial results.
-
-    With ``bounded``, for which ``df`` may repeat keys, large sources are cut to
-    the keys of ``df`` before. Only then is their aggregate, with no more rows
-    than ``df``, known to be small enough to broadcast.
+    ``df`` keeps its rows. The sources are stacked and aggregated together, on the map
+    side first, so that a key with very many rows reaches its task as a few partial
+    results, and the aggregate is cut to the keys of ``df``. If Spark finds these keys
+    few enough to broadcast it moves that cut below the aggregate into the scans of
+    the sources; if not, it costs no further shuffle of the sources. ``used`` may name a
+    written frame that has these keys, so that ``df`` is not computed for them as well.
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sources)
-    cut = bounded.cuts(stacked)
-    if cut:
-        stacked = keys_of(stacked, df, key)
     per_key = (
         stacked.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(*[how(column).alias(column) for column, how in aggregates.items()])
     )
-    joined = lookup_join(df, per_key, [key], broadcast_right=cut)
+    keys = (df if used is None else used).select(key).where(F.col(key).isNotNull())
+    joined = lookup_join(df, per_key.join(keys, key, "left_semi"), [key])
     flags = [column for column, how in aggregates.items() if how is any_true]
     return joined.fillna(False, subset=flags) if flags else joined

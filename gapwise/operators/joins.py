@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.operators.skew import HotKeys, left_spread_join, lookup_join, spread_join, without_partner
-from gapwise.operators.staging import UNBOUNDED, Bound
+from gapwise.operators.staging import cut_to_keys
 
 
 def left_outer_join(left: DataFrame, right: DataFrame, keys: Sequence[str], **options) -> DataFrame:
@@ -34,37 +35,38 @@ def two_hop_absence(
     key: str,
     target_key: str,
     *,
-    bounded: Bound = UNBOUNDED,
-    hot_key: HotKeys | None = None,
-    hot_target: HotKeys | None = None,
+    hot_key: Callable[[], HotKeys] | None = None,
+    hot_target: Callable[[], HotKeys] | None = None,
 ) -> DataFrame:
     """Rows of ``df`` that reach no row of ``target`` through ``link``.
 
     A link to a target that does not exist counts as absence, and a row of
     ``df`` comes out once however many links it has. ``link`` has the columns
     ``key`` and ``target_key``. Links are first cut to the keys of ``df``, so
-    that the second hop sees only those that can matter.
+    that the second hop sees only those that can matter. ``hot_*`` give hot keys of
+    the link where a cut has to shuffle.
     """
-    keys = df.select(key)
-    links = spread_join(
-        link.select(key, target_key),
-        F.broadcast(keys) if bounded else keys,
-        [key],
-        "left_semi",
-        hot_left=None if bounded else hot_key,
-        spread_left=[target_key],
-    )
+    links = cut_to_keys(link.select(key, target_key), df, key, hot_key, [target_key])
     if hot_target:
         links = links.distinct()  # copies of a link would share their salt
-    reached = spread_join(
-        links,
-        target.select(target_key),
-        [target_key],
-        "left_semi",
-        hot_left=hot_target,
-        spread_left=[key],
-    )
-    return df.join(reached.select(key).distinct(), key, "left_anti")
+    reached = cut_to_keys(links, target, target_key, hot_target, [key])
+    return without_partner(df, reached, [key])
+
+
+def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, of which no two rows may have the same keys: a second one is an error that names them.
+
+    Counted by an aggregate with a map side, whose rows are the result. Keys with a NULL
+    name nothing and may repeat.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    unnamed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    apart = F.when(unnamed, F.xxhash64(*df.columns)).alias("_apart")
+    found = df.groupBy(*keys, apart).agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in rest])
+    message = F.concat(F.lit("more than one row for key "), F.to_json(F.struct(*keys)))
+    once = F.when((F.col("_n") > 1) & F.col("_apart").isNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    copies = F.explode(F.sequence(F.lit(1), F.col("_n")))  # of rows that name nothing
+    return found.where(once).withColumn("_copy", copies).select(*df.columns)
 
 
 def exists_flag(

@@ -34,20 +34,16 @@ class Profile(dict):
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot, and what may be broadcast.
-
-    hot_rows        rows of one key that one task can take; all keys with more
-                    are hot, and tables with fewer rows have none
-    max_hot         hot keys up to which their list is part of an expression;
-                    a longer one is a broadcast table
-    profile_bytes   tables that Spark estimates below this are not cut to keys
-    broadcast_rows  counted rows of narrow keys up to which a side is broadcast
+    """When a key counts as hot.
+
+    hot_rows   rows of one key that one task can take; all keys with more are hot, and
+               tables with fewer rows have none
+    max_hot    hot keys up to which their list is part of an expression; a longer one
+               is a broadcast table
     """
 
     hot_rows: int = 5_000_000
     max_hot: int = 2_000
-    profile_bytes: int = 64 * 1024 * 1024
-    broadcast_rows: int = 500_000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -242,19 +238,14 @@ def lookup_join(
     hot_on: str | None = None,
     hot: HotKeys | None = None,
     spread: Sequence[str] = (),
-    broadcast_right: bool = False,
 ) -> DataFrame:
     """Left join to a side that has one row per key; never changes the row count.
 
     Rows with a NULL key would all meet in one partition. If ``spread`` names
     columns to hash, such rows get that hash as their join key instead, under a
     condition that keeps them unmatched.
-
-    ``broadcast_right`` is for a side whose rows were counted before.
     """
     keys = list(keys)
-    if broadcast_right:
-        return left.join(F.broadcast(right), keys, "left")
     if hot:
         left_hot = _hot_column(keys, hot_on, hot)
         by = spread or left.columns

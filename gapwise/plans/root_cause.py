@@ -9,13 +9,16 @@ table:
                                   item -> contract          |
                                   asset -> (asset, original) -> (asset, contract)
 
-No step joins a frame that has already fanned out to a key whose frequency is
-unknown. ``bounded`` tells a step that its frame was counted and is small: large
-tables are then cut by a broadcast semi join before any shuffle.
+Frames that several steps read are written once, so that Spark knows their size and
+they know their own hot keys. Tables are cut to the keys in use by semi joins, which
+Spark broadcasts or shuffles by that size; there is one plan for few and for many
+candidates. Pairs of assets and contracts are found with their keys alone and get
+facts and asset columns at the end, once each.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -26,9 +29,9 @@ from gapwise.config import RuleConfig
 from gapwise.functions.predicates import address_usable, in_time_range, unusable_id, usable_id
 from gapwise.functions.scalars import id_from_text
 from gapwise.operators.facts import any_true, gather_facts
-from gapwise.operators.joins import exists_flag, two_hop_absence, two_key_column_lookup
-from gapwise.operators.skew import HotKeys, lookup_join, spread_join
-from gapwise.operators.staging import UNBOUNDED, Bound, Staged, cut_to_keys, stage
+from gapwise.operators.joins import exists_flag, two_hop_absence, two_key_column_lookup, unique_rows
+from gapwise.operators.skew import HotKeys, left_spread_join, lookup_join, spread_join, without_partner
+from gapwise.operators.staging import Staged, cut_to_keys, is_broadcast, stage
 from gapwise.sources.tables import TableSet, scan
 
 #: source column -> report column
@@ -76,10 +79,10 @@ def candidate_assets(tables: TableSet, cfg: RuleConfig) -> DataFrame:
             F.col("created_at"), cfg.window_start, cfg.window_end, cfg.window_inclusive
         )
     )
-    return scan({"asset": asset}, "asset", ASSET_COLUMNS)
+    return unique_rows(scan({"asset": asset}, "asset", ASSET_COLUMNS), ["asset_id"])
 
 
-def without_contract(assets: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED) -> DataFrame:
+def without_contract(assets: DataFrame, tables: TableSet) -> DataFrame:
     """Assets that reach no existing contract through coverage."""
     return two_hop_absence(
         assets,
@@ -87,20 +90,17 @@ def without_contract(assets: DataFrame, tables: TableSet, bounded: Bound = UNBOU
         tables["contract"],
         "asset_id",
         "contract_id",
-        bounded=bounded,
-        hot_key=tables.hot("contract_coverage", "asset_id"),
-        hot_target=tables.hot("contract_coverage", "contract_id"),
+        hot_key=lambda: tables.hot("contract_coverage", "asset_id"),
+        hot_target=lambda: tables.hot("contract_coverage", "contract_id"),
     )
 
 
 def assets_without_contract(tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """One row per asset."""
-    return without_contract(candidate_assets(tables, cfg), tables)
+    return without_contract(stage(candidate_assets(tables, cfg), tables.skew).df, tables)
 
 
-def original_asset(
-    assets: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
-) -> DataFrame:
+def original_asset(assets: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """Add ``original_asset_id``; one row per asset and original, NULL if there is none."""
     relation = (
         scan(
@@ -115,116 +115,96 @@ def original_asset(
         .where((F.col("kind") == cfg.relationship_type) & F.col("original_asset_id").isNotNull())
         .select("asset_id", "original_asset_id")
     )
-    relation = cut_to_keys(relation, assets, "asset_id", bounded).distinct()
-    hot = tables.hot("asset_relationship", "from_asset_id")
-    if not hot:
-        return assets.join(relation, "asset_id", "left")
-    # A left join could split its left side alone, and here the right one is hot.
-    found = spread_join(
-        assets, relation, ["asset_id"], hot_right=hot, spread_right=["original_asset_id"]
+
+    def hot() -> HotKeys:
+        return tables.hot("asset_relationship", "from_asset_id")
+
+    relation = cut_to_keys(relation, assets, "asset_id", hot, ["original_asset_id"]).distinct()
+    return left_spread_join(
+        assets, relation, ["asset_id"], hot_right=hot(), spread_right=["original_asset_id"]
     )
-    none = assets.join(relation.select("asset_id").distinct(), "asset_id", "left_anti")
-    return found.unionByName(none.withColumn("original_asset_id", F.lit(None).cast("bigint")))
 
 
 # --- contracts ---------------------------------------------------------------
 
 
-def covered_contracts(links: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED) -> DataFrame:
+def covered_contracts(links: DataFrame, tables: TableSet) -> DataFrame:
     """``(original_asset_id, contract_id)`` for the originals in ``links``, each pair once."""
-    originals = links.select("original_asset_id").where(F.col("original_asset_id").isNotNull())
     coverage = scan(
         tables,
         "contract_coverage",
         {"asset_id": "original_asset_id", "contract_id": "contract_id"},
     )
-    return spread_join(
+    return cut_to_keys(
         coverage,
-        F.broadcast(originals) if bounded else originals.distinct(),
-        ["original_asset_id"],
-        "left_semi",
-        hot_left=None if bounded else tables.hot("contract_coverage", "asset_id"),
-        spread_left=["contract_id"],
+        links,
+        "original_asset_id",
+        lambda: tables.hot("contract_coverage", "asset_id"),
+        ["contract_id"],
     ).distinct()
 
 
-def contract_rows(covered: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED) -> DataFrame:
+def contract_rows(covered: DataFrame, tables: TableSet) -> DataFrame:
     """Existing contracts among the covered ones, one row per contract."""
     contract = scan(
         tables,
         "contract",
         {"contract_id": "contract_id", "item_num": "item_num", "source_site_id": "contract_site"},
     )
-    ids = covered.select("contract_id")
-    return contract.join(
-        F.broadcast(ids) if bounded else ids.distinct(), "contract_id", "left_semi"
-    )
+    return unique_rows(cut_to_keys(contract, covered, "contract_id"), ["contract_id"])
 
 
-def attach_contracts(
-    links: DataFrame,
-    covered: DataFrame,
-    contracts: DataFrame,
-    tables: TableSet,
-    bounded: Bound = UNBOUNDED,
-    existing: DataFrame | None = None,
-) -> DataFrame:
-    """One row per asset and contract, and one per asset that has no contract.
+def contract_pairs(links: Staged, covered: Staged, existing: DataFrame, tables: TableSet) -> Staged:
+    """``(asset_id, contract_id, original_asset_id)``, one row per asset and contract.
 
-    ``contracts`` has one row per contract, with any further columns. An asset
-    that reaches a contract through several originals keeps the lowest one.
-    ``existing`` may give the contract ids alone where they are cheaper to read.
+    An asset that reaches a contract through several originals keeps the lowest one.
+    Only these keys are shuffled: they are made distinct before anything is attached.
     """
-
-    def of_originals(found: DataFrame) -> DataFrame:
-        return spread_join(
-            covered,
-            found,
-            ["contract_id"],
-            hot_left=None if bounded else tables.hot("contract_coverage", "contract_id"),
-            spread_left=["original_asset_id"],
-        )
-
-    # These rows are wide, so that even a counted side gets no hint to broadcast it.
-    rows = of_originals(contracts)
-    hot_originals = None if bounded else tables.hot("asset_relationship", "to_asset_id")
-    pairs = spread_join(
-        links,
-        rows,
-        ["original_asset_id"],
-        hot_left=hot_originals,
-        hot_right=None if bounded else tables.hot("contract_coverage", "asset_id"),
-        spread_left=["asset_id"],
-        spread_right=["contract_id"],
+    reaching = cut_to_keys(
+        covered.df, existing, "contract_id", lambda: covered.hot("contract_id"), ["original_asset_id"]
     )
-    pairs = _lowest_original(pairs)
-
-    ids = (contracts if existing is None else existing).select("contract_id")
-    reaching = of_originals(F.broadcast(ids) if bounded else ids).select("original_asset_id")
     reached = spread_join(
-        links.select("asset_id", "original_asset_id"),
-        F.broadcast(reaching) if bounded else reaching.distinct(),
+        links.df,
+        reaching,
         ["original_asset_id"],
-        "left_semi",
-        hot_left=hot_originals,
+        hot_left=links.hot("original_asset_id"),
+        hot_right=covered.hot("original_asset_id"),
         spread_left=["asset_id"],
-    ).select("asset_id")
-    alone = _lowest_original(links).join(
-        reached if bounded else reached.distinct(), "asset_id", "left_anti"
+        spread_right=["contract_id"],
+    )
+    pairs = reached.groupBy("asset_id", "contract_id").agg(
+        F.min("original_asset_id").alias("original_asset_id")
     )
-    return pairs.unionByName(alone, allowMissingColumns=True)
+    return stage(pairs, tables.skew)
 
 
-def _lowest_original(df: DataFrame) -> DataFrame:
-    """Everything but the original depends on the key, so that all of it can group."""
-    rest = [c for c in df.columns if c != "original_asset_id"]
-    return df.groupBy(*rest).agg(F.min("original_asset_id").alias("original_asset_id"))
+def attach(
+    assets: DataFrame, links: DataFrame, pairs: Staged, facts: DataFrame
+) -> DataFrame:
+    """One row per asset and contract, and one per asset that has no contract.
+
+    ``assets`` has one row per asset and ``facts`` one per contract. An asset without a
+    contract keeps its lowest original. Both are attached to the pairs once, by keys
+    whose hot values the written pairs know.
+    """
+    lowest = links.groupBy("asset_id").agg(F.min("original_asset_id").alias("original_asset_id"))
+    alone = without_partner(lowest, pairs.df, ["asset_id"])
+    rows = pairs.df.unionByName(alone, allowMissingColumns=True)
+    rows = lookup_join(
+        rows, facts, ["contract_id"], hot=pairs.hot("contract_id"), spread=["asset_id"]
+    )
+    hot = pairs.hot("asset_id")
+    if not hot:
+        return assets.join(rows, "asset_id")
+    return spread_join(rows, assets, ["asset_id"], hot_left=hot, spread_left=["contract_id"])
 
 
-def original_contracts(links: DataFrame, tables: TableSet) -> DataFrame:
-    """Contracts of the original assets, reached through coverage."""
-    covered = covered_contracts(links, tables)
-    return attach_contracts(links, covered, contract_rows(covered, tables), tables)
+def original_contracts(assets: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
+    """Contracts of the original assets, reached through coverage; ``assets`` has one row per asset."""
+    links = stage(original_asset(assets.select("asset_id"), tables, cfg), tables.skew)
+    covered = stage(covered_contracts(links.df, tables), tables.skew)
+    contracts = stage(contract_rows(covered.df, tables), tables.skew).df
+    return attach(assets, links.df, contract_pairs(links, covered, contracts, tables), contracts)
 
 
 # --- facts about a contract; frames have one row per contract ----------------
@@ -285,15 +265,17 @@ def instruction_check(contracts: DataFrame, tables: TableSet, cfg: RuleConfig) -
     )
 
 
-def contract_agreement(contracts: DataFrame, tables: TableSet) -> DataFrame:
+def contract_agreement(
+    contracts: DataFrame, tables: TableSet, used: DataFrame | None = None
+) -> DataFrame:
     """Add ``agreement_id``, the lowest one of the contract."""
     return gather_facts(
-        contracts, "contract_id", [contract_agreement_rows(tables)], LOWEST_AGREEMENT
+        contracts, "contract_id", [contract_agreement_rows(tables)], LOWEST_AGREEMENT, used
     )
 
 
 def contract_facts(
-    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
+    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, used: DataFrame | None = None
 ) -> DataFrame:
     """All of the above at once."""
     gathered = gather_facts(
@@ -305,7 +287,7 @@ def contract_facts(
             contract_agreement_rows(tables),
         ],
         DUAL_SERIALIZED | HAS_INSTRUCTION | LOWEST_AGREEMENT,
-        bounded=bounded,
+        used,
     )
     return ineligible_item(gathered, cfg)
 
@@ -315,40 +297,30 @@ def distinct_agreements(contracts: DataFrame) -> DataFrame:
 
 
 def counterpart_of(
-    agreements: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
+    agreements: DataFrame, tables: TableSet, cfg: RuleConfig, used: DataFrame | None = None
 ) -> DataFrame:
-    """Add ``cp_agreement_id``; the lowest value wins.
-
-    Unless it is bounded the frame has one row per agreement.
-    """
+    """Add ``cp_agreement_id`` to one row per agreement; the lowest value wins."""
     identifiers = (
         tables["agreement_identifier"]
         .where(F.col("identifier_type_id").isin(*cfg.counterpart_identifier_types))
         .select("agreement_id", id_from_text(F.col("identifier_value")).alias("cp_agreement_id"))
     )
-    return gather_facts(
-        agreements, "agreement_id", [identifiers], {"cp_agreement_id": F.min}, bounded=bounded
-    )
+    return gather_facts(agreements, "agreement_id", [identifiers], {"cp_agreement_id": F.min}, used)
 
 
-def attach_agreements(
-    contracts: DataFrame, agreements: DataFrame, tables: TableSet
-) -> DataFrame:
-    """Bring facts about agreements to the contracts; contracts without one stay."""
-    return lookup_join(
-        contracts,
-        agreements,
-        ["agreement_id"],
-        hot=tables.hot("agreement_contract", "agreement_id"),
-        spread=["contract_id"],
-    )
+def attach_agreements(contracts: DataFrame, agreements: DataFrame, hot: HotKeys) -> DataFrame:
+    """Bring facts about agreements to the contracts; contracts without one stay.
+
+    ``hot`` has hot values of the contracts' ``agreement_id``.
+    """
+    return lookup_join(contracts, agreements, ["agreement_id"], hot=hot, spread=["contract_id"])
 
 
 def counterpart_agreement(contracts: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """Add ``agreement_id`` and ``cp_agreement_id``."""
     contracts = contract_agreement(contracts, tables)
     agreements = counterpart_of(distinct_agreements(contracts), tables, cfg)
-    return attach_agreements(contracts, agreements, tables)
+    return attach_agreements(contracts, agreements, tables.hot("agreement_contract", "agreement_id"))
 
 
 # --- facts about a counterpart agreement; frames have one row per agreement --
@@ -359,9 +331,10 @@ def distinct_counterparts(df: DataFrame) -> DataFrame:
 
 
 def counterpart_site_rows(tables: TableSet) -> DataFrame:
-    return scan(
+    site = scan(
         tables, "agreement", {"agreement_id": "cp_agreement_id", "source_site_id": "cp_site"}
     )
+    return site.withColumn("_agreements", F.lit(1))
 
 
 def counterpart_contract_rows(tables: TableSet) -> DataFrame:
@@ -385,16 +358,9 @@ def any_asset_rows(tables: TableSet) -> DataFrame:
 
 
 def address_rows(
-    link: DataFrame,
-    tables: TableSet,
-    key: str,
-    hot: HotKeys | None = None,
-    view: str | None = None,
+    link: DataFrame, tables: TableSet, hot: HotKeys | None = None, spread: str = "party_address_id"
 ) -> DataFrame:
-    """One row per key and address: is its id usable for the special, for other sites?
-
-    ``view`` names a struct column to add that holds the address itself.
-    """
+    """A link's rows with their address: its customer number, its ucid; an id has one address."""
     address = scan(
         tables,
         "party_address",
@@ -404,41 +370,64 @@ def address_rows(
             "ucid": "ucid",
         },
     )
-    found = spread_join(link, address, ["party_address_id"], hot_left=hot, spread_left=[key])
-    shown = [F.struct(*address.columns).alias(view)] if view else []
-    return found.select(
+    return spread_join(
+        link,
+        unique_rows(address, ["party_address_id"]),
+        ["party_address_id"],
+        hot_left=hot,
+        spread_left=[spread],
+    )
+
+
+def usable_address_rows(addresses: DataFrame, key: str) -> DataFrame:
+    """For each key and address: is its id usable for the special, for other sites?"""
+    return addresses.select(
         key,
-        *shown,
         usable_id(F.col("ucid")).alias("_special_ok"),
         usable_id(F.col("address_customer_num")).alias("_regular_ok"),
         F.lit(True).alias("_address"),
     )
 
 
-def location_rows(
-    counterparts: DataFrame, tables: TableSet, bounded: Bound = UNBOUNDED, view: str | None = None
+def _addresses_of(
+    used: DataFrame, tables: TableSet, name: str, columns: dict[str, str], key: str
 ) -> DataFrame:
-    link = scan(
-        tables,
-        "party_address_agreement",
-        {"agreement_id": "cp_agreement_id", "party_address_id": "party_address_id"},
-    )
-    link = cut_to_keys(link, counterparts, "cp_agreement_id", bounded)
-    hot = None if bounded else tables.hot("party_address_agreement", "party_address_id")
-    return address_rows(link, tables, "cp_agreement_id", hot, view)
+    """Addresses that a link table has for the keys in use.
 
+    The link is cut to these keys before it meets an address.
+    """
+    link = scan(tables, name, columns)
+    if is_broadcast(used.select(key)):
+        return address_rows(cut_to_keys(link, used, key), tables)
+    of_key = next(c for c, alias in columns.items() if alias == key)
+    link = cut_to_keys(link, used, key, lambda: tables.hot(name, of_key), ["party_address_id"])
+    return address_rows(link, tables, tables.hot(name, "party_address_id"), key)
+
+
+def location_addresses(counterparts: DataFrame, tables: TableSet) -> DataFrame:
+    """Addresses of the counterpart agreements in use."""
+    columns = {"agreement_id": "cp_agreement_id", "party_address_id": "party_address_id"}
+    return _addresses_of(counterparts, tables, "party_address_agreement", columns, "cp_agreement_id")
+
+
+def customer_addresses(assets: DataFrame, tables: TableSet) -> DataFrame:
+    """Addresses of the assets in use."""
+    columns = {"asset_id": "asset_id", "party_address_id": "party_address_id"}
+    return _addresses_of(assets, tables, "party_address_asset", columns, "asset_id")
+
+
+def only_site(column: str) -> Column:
+    """The site of the one agreement with an id; a second row of the agreement is an error."""
+    second = F.concat(F.lit("more than one row for agreement "), F.first("cp_agreement_id").cast("string"))
+    return F.when(F.sum("_agreements") > 1, F.raise_error(second)).otherwise(F.min(column))
 
-COUNTERPART_SITE = {"cp_site": F.min}
+
+COUNTERPART_SITE = {"cp_site": only_site}
 LOWEST_CONTRACT = {"cp_contract_id": F.min}
 ANY_ASSET = {"has_any_asset": any_true}
 ADDRESS = {"_special_ok": any_true, "_regular_ok": any_true, "_address": any_true}
 
 
-def address_aggregates(view: str | None = None) -> dict:
-    """The address with the lowest id stands for all of them where one is shown."""
-    return ADDRESS | ({view: F.min} if view else {})
-
-
 def _address_ok(site: Column, cfg: RuleConfig) -> Column:
     return address_usable(
         site, cfg.special_site, F.col("_special_ok"), F.col("_regular_ok"), F.col("_address")
@@ -458,8 +447,12 @@ def counterpart_agreement_attrs(counterparts: DataFrame, tables: TableSet) -> Da
 
 def counterpart_agreement_contracts(counterparts: DataFrame, tables: TableSet) -> DataFrame:
     """Contracts of each counterpart agreement; NULL if it has none."""
-    return counterparts.join(
-        counterpart_contract_rows(tables).distinct(), "cp_agreement_id", "left"
+    hot = tables.hot("agreement_contract", "agreement_id")
+    rows = cut_to_keys(
+        counterpart_contract_rows(tables), counterparts, "cp_agreement_id", lambda: hot, ["cp_contract_id"]
+    )
+    return left_spread_join(
+        counterparts, rows.distinct(), ["cp_agreement_id"], hot_right=hot, spread_right=["cp_contract_id"]
     )
 
 
@@ -467,31 +460,24 @@ def party_location_check(
     counterparts: DataFrame, tables: TableSet, cfg: RuleConfig
 ) -> DataFrame:
     """Add ``location_ok``; the frame has ``cp_site``."""
-    gathered = gather_facts(
-        counterparts, "cp_agreement_id", [location_rows(counterparts, tables)], ADDRESS
-    )
+    usable = usable_address_rows(location_addresses(counterparts, tables), "cp_agreement_id")
+    gathered = gather_facts(counterparts, "cp_agreement_id", [usable], ADDRESS)
     return _with_location(gathered, cfg)
 
 
-def counterpart_facts(
-    counterparts: DataFrame,
-    tables: TableSet,
-    cfg: RuleConfig,
-    bounded: Bound = UNBOUNDED,
-    view: str | None = None,
-) -> DataFrame:
-    """All facts about counterpart agreements at once."""
+def counterpart_facts(used: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
+    """All facts about the counterpart agreements that a written frame names, one row for each."""
     gathered = gather_facts(
-        counterparts,
+        distinct_counterparts(used),
         "cp_agreement_id",
         [
             counterpart_site_rows(tables),
             counterpart_contract_rows(tables),
             any_asset_rows(tables),
-            location_rows(counterparts, tables, bounded, view),
+            usable_address_rows(location_addresses(used, tables), "cp_agreement_id"),
         ],
-        COUNTERPART_SITE | LOWEST_CONTRACT | ANY_ASSET | address_aggregates(view),
-        bounded=bounded,
+        COUNTERPART_SITE | LOWEST_CONTRACT | ANY_ASSET | ADDRESS,
+        used,
     )
     return _with_location(gathered, cfg)
 
@@ -515,45 +501,38 @@ def agreement_has_this_asset(pairs: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def agreement_asset_check(pairs: DataFrame, tables: TableSet) -> DataFrame:
-    """Add ``has_any_asset`` and ``has_this_asset`` to rows per asset and contract."""
-    any_asset = gather_facts(
-        distinct_counterparts(pairs), "cp_agreement_id", [any_asset_rows(tables)], ANY_ASSET
+def assets_in_use(counterparts: DataFrame, tables: TableSet) -> DataFrame:
+    """Assets of the counterpart agreements in use."""
+    return cut_to_keys(
+        counterpart_asset_rows(tables),
+        counterparts,
+        "cp_agreement_id",
+        lambda: tables.hot("agreement_asset", "agreement_id"),
+        ["asset_id"],
     )
-    pairs = lookup_join(
-        pairs,
+
+
+def agreement_asset_check(pairs: Staged, tables: TableSet) -> DataFrame:
+    """Add ``has_any_asset`` and ``has_this_asset`` to rows per asset and contract."""
+    counterparts = stage(distinct_counterparts(pairs.df), tables.skew).df
+    any_asset = gather_facts(counterparts, "cp_agreement_id", [any_asset_rows(tables)], ANY_ASSET)
+    rows = lookup_join(
+        pairs.df,
         any_asset,
         ["cp_agreement_id"],
-        hot=tables.hot("agreement_identifier", "counterpart_id"),
+        hot=pairs.hot("cp_agreement_id"),
         spread=["contract_id", "asset_id"],
     )
-    return agreement_has_this_asset(pairs, counterpart_asset_rows(tables))
+    return agreement_has_this_asset(rows, assets_in_use(counterparts, tables))
 
 
 # --- facts about an asset or an item -----------------------------------------
 
 
-def customer_check(
-    assets: DataFrame,
-    tables: TableSet,
-    cfg: RuleConfig,
-    bounded: Bound = UNBOUNDED,
-    view: str | None = None,
-) -> DataFrame:
+def customer_check(assets: DataFrame, tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """Add ``customer_ok`` to rows per asset: usable address for its site, or usable number."""
-    link = scan(
-        tables,
-        "party_address_asset",
-        {"asset_id": "asset_id", "party_address_id": "party_address_id"},
-    )
-    link = cut_to_keys(link, assets, "asset_id", bounded)
-    hot = None if bounded else tables.hot("party_address_asset", "party_address_id")
-    gathered = gather_facts(
-        assets,
-        "asset_id",
-        [address_rows(link, tables, "asset_id", hot, view)],
-        address_aggregates(view),
-    )
+    usable = usable_address_rows(customer_addresses(assets, tables), "asset_id")
+    gathered = gather_facts(assets, "asset_id", [usable], ADDRESS)
     ok = _address_ok(F.col("site"), cfg) | ~unusable_id(F.col("customer_num"))
     return gathered.withColumn("customer_ok", ok).drop(*ADDRESS)
 
@@ -603,24 +582,24 @@ def item_main_check(df: DataFrame, tables: TableSet, cfg: RuleConfig, **options)
 
 
 def attach_item_facts(
-    contracts: DataFrame, tables: TableSet, cfg: RuleConfig, bounded: Bound = UNBOUNDED
+    rows: DataFrame, contracts: DataFrame, tables: TableSet, cfg: RuleConfig, hot: HotKeys
 ) -> DataFrame:
-    """Both item checks, made once per item and sort of site if there are many contracts."""
-    if bounded:
-        return item_main_check(item_mapping_check(contracts, tables, cfg), tables, cfg)
-    contracts = contracts.withColumn("_special", is_special(cfg))
+    """Add both item checks to rows per contract, made once per item and sort of site.
+
+    ``contracts`` is a written frame with the items, ``hot`` has hot values of ``item_num``.
+    """
     items = (
-        contracts.select("item_num", "_special")
+        contracts.select("item_num", is_special(cfg).alias("_special"))
         .where(F.col("item_num").isNotNull())
         .distinct()
         .withColumn("contract_site", F.when(F.col("_special"), F.lit(cfg.special_site)))
     )
     facts = item_main_check(item_mapping_check(items, tables, cfg), tables, cfg)
     return lookup_join(
-        contracts,
+        rows.withColumn("_special", is_special(cfg)),
         facts.drop("contract_site"),
         ["item_num", "_special"],
-        hot=tables.hot("contract", "item_num"),
+        hot=hot,
         spread=["contract_id"],
     ).drop("_special")
 
@@ -653,91 +632,72 @@ def root_cause_label() -> Column:
     )
 
 
+def named_agreements(contracts: DataFrame, tables: TableSet, cfg: RuleConfig) -> Staged:
+    """Agreements of written contracts with their counterparts, one row per agreement."""
+    named = counterpart_of(distinct_agreements(contracts), tables, cfg, used=contracts)
+    return stage(named, tables.skew)
+
+
 def with_counterparts(
     contracts: DataFrame,
-    tables: TableSet,
-    cfg: RuleConfig,
-    bounded: Bound = UNBOUNDED,
-    view: str | None = None,
+    named: Staged,
+    facts: DataFrame,
+    hot: HotKeys,
 ) -> DataFrame:
-    """Add ``cp_agreement_id`` and all facts about it to the contracts.
+    """Add ``cp_agreement_id`` and facts about counterpart agreements to the contracts.
 
-    Few contracts look both up directly. Many go through one row per agreement,
-    so that either join has a key whose hot values are known from a base table.
+    They go through one row per agreement, so that either join is a lookup by a key
+    whose hot values a written frame knows.
     """
-    if bounded:
-        named = counterpart_of(contracts, tables, cfg, bounded)
-        facts = counterpart_facts(distinct_counterparts(named), tables, cfg, bounded, view)
-        return lookup_join(named, facts, ["cp_agreement_id"], broadcast_right=True)
-    named = counterpart_of(distinct_agreements(contracts), tables, cfg)
-    facts = counterpart_facts(distinct_counterparts(named), tables, cfg, view=view)
     agreements = lookup_join(
-        named,
-        facts,
-        ["cp_agreement_id"],
-        hot=tables.hot("agreement_identifier", "counterpart_id"),
-        spread=["agreement_id"],
+        named.df, facts, ["cp_agreement_id"], hot=named.hot("cp_agreement_id"), spread=["agreement_id"]
     )
-    return attach_agreements(contracts, agreements, tables)
+    return attach_agreements(contracts, agreements, hot)
 
 
 @dataclass(frozen=True)
 class Walk:
     """What the walk from the assets to the contracts found, each computed once."""
 
+    assets: Staged
     links: Staged
-    covered: Staged
     contracts: Staged
+    pairs: Staged
 
-    def attach(self, facts: DataFrame, tables: TableSet) -> DataFrame:
-        return attach_contracts(
-            self.links.df,
-            self.covered.df,
-            facts,
-            tables,
-            self.covered.bounded,
-            existing=self.contracts.df,
-        )
+    def attach(self, facts: DataFrame) -> DataFrame:
+        return attach(self.assets.df, self.links.df, self.pairs, facts)
 
 
-def walk(tables: TableSet, cfg: RuleConfig, asset_view: str | None = None) -> Walk:
-    """From candidate assets to the contracts of their originals, with contract facts.
+def walk(
+    tables: TableSet,
+    cfg: RuleConfig,
+    facts: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+) -> Walk:
+    """From candidate assets to the contracts of their originals, with the facts that are wanted.
 
-    Results that feed several later steps are computed once and counted, which
-    also tells whether their keys may be broadcast.
+    ``facts`` adds columns to rows per contract; its second argument is a written frame
+    that has their ids.
     """
     policy = tables.skew
-    start = stage(candidate_assets(tables, cfg), policy)
-    assets = without_contract(start.df, tables, start.bounded)
-    assets = customer_check(assets, tables, cfg, start.bounded, asset_view)
-    links = stage(original_asset(assets, tables, cfg, start.bounded), policy)
-    covered = stage(covered_contracts(links.df, tables, links.bounded), policy)
-    found = contract_rows(covered.df, tables, covered.bounded)
-    contracts = stage(contract_facts(found, tables, cfg, covered.bounded), policy)
-    return Walk(links, covered, contracts)
+    assets = stage(assets_without_contract(tables, cfg), policy)
+    links = stage(original_asset(assets.df.select("asset_id"), tables, cfg), policy)
+    covered = stage(covered_contracts(links.df, tables), policy)
+    rows = contract_rows(covered.df, tables)
+    contracts = stage(facts(rows, covered.df) if facts else rows, policy)
+    return Walk(assets, links, contracts, contract_pairs(links, covered, contracts.df, tables))
 
 
-def checked_pairs(
-    tables: TableSet,
-    cfg: RuleConfig,
-    asset_view: str | None = None,
-    counterpart_view: str | None = None,
-) -> DataFrame:
+def checked_pairs(tables: TableSet, cfg: RuleConfig) -> DataFrame:
     """Rows per asset and contract with the results of all checks, before the label."""
-    policy = tables.skew
-    found = walk(tables, cfg, asset_view)
-    contracts, bounded = found.contracts.df, found.contracts.bounded
-    facts = with_counterparts(contracts, tables, cfg, bounded, counterpart_view)
-    assets_of = counterpart_asset_rows(tables)
-    if not bounded:
-        facts = stage(facts, policy).df
-        used = facts.select("cp_agreement_id").where(F.col("cp_agreement_id").isNotNull())
-        assets_of = assets_of.join(used, "cp_agreement_id", "left_semi")
-    elif bounded.cuts(assets_of):
-        facts = stage(facts, policy).df
-        assets_of = cut_to_keys(assets_of, facts, "cp_agreement_id", bounded)
-    facts = attach_item_facts(facts, tables, cfg, bounded)
-    return agreement_has_this_asset(found.attach(facts, tables), assets_of)
+    found = walk(tables, cfg, lambda rows, used: contract_facts(rows, tables, cfg, used))
+    contracts = found.contracts
+    named = named_agreements(contracts.df, tables, cfg)
+    facts = with_counterparts(
+        contracts.df, named, counterpart_facts(named.df, tables, cfg), contracts.hot("agreement_id")
+    )
+    facts = attach_item_facts(facts, contracts.df, tables, cfg, contracts.hot("item_num"))
+    rows = attach(customer_check(found.assets.df, tables, cfg), found.links.df, found.pairs, facts)
+    return agreement_has_this_asset(rows, assets_in_use(named.df, tables))
 
 
 def root_cause_report(tables: TableSet, cfg: RuleConfig) -> DataFrame:

@@ -41,8 +41,8 @@ SKEW_COLUMNS = {
     "agreement_contract": ("agreement_id",),
     "agreement_identifier": ("agreement_id", "counterpart_id"),
     "agreement_asset": ("agreement_id",),
-    "party_address_agreement": ("party_address_id",),
-    "party_address_asset": ("party_address_id",),
+    "party_address_agreement": ("party_address_id", "agreement_id"),
+    "party_address_asset": ("party_address_id", "asset_id"),
 }
 
 

@@ -16,15 +16,22 @@ from gapwise.sources.tables import SCHEMAS, SKEW_COLUMNS, TableSet
 
 CFG = FIXTURE_RULES
 
+#: when keys are hot, and what Spark broadcasts
 POLICIES = {
-    "small tables": SkewPolicy(),
-    "large tables, few candidates": SkewPolicy(profile_bytes=0),
-    "large tables, many candidates, hot keys": SkewPolicy(
-        hot_rows=4, max_hot=1000, profile_bytes=0, broadcast_rows=0
-    ),
+    "small tables": (SkewPolicy(), "10m"),
+    "hot keys, few candidates": (SkewPolicy(hot_rows=4, max_hot=1000), "10m"),
+    "hot keys, many candidates": (SkewPolicy(hot_rows=4, max_hot=1000), "-1"),
 }
 
 
+@pytest.fixture
+def sizes(spark, request):
+    policy, bound = POLICIES[request.param]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    yield policy
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def awkward_tables(seed):
     """Small tables with one hot value per key, NULLs, copies and dangling links."""
     r = random.Random(seed)
@@ -102,32 +109,32 @@ def test_awkward_tables_reach_most_labels():
 
 def test_awkward_tables_have_hot_keys(spark):
     """The last policy really splits: every profiled key column has a hot value."""
-    tables = load(spark, awkward_tables(0), list(POLICIES.values())[-1])
+    tables = load(spark, awkward_tables(0), SkewPolicy(hot_rows=4))
     for table, columns in SKEW_COLUMNS.items():
         for column in columns:
             assert tables.hot(table, column), (table, column)
 
 
-@pytest.mark.parametrize("policy", list(POLICIES))
+@pytest.mark.parametrize("sizes", list(POLICIES), indirect=True)
 @pytest.mark.parametrize("seed", [0, 1])
-def test_report_equals_the_rules(spark, seed, policy):
+def test_report_equals_the_rules(spark, seed, sizes):
     data = awkward_tables(seed)
-    report = rc.root_cause_report(load(spark, data, POLICIES[policy]), CFG)
+    report = rc.root_cause_report(load(spark, data, sizes), CFG)
     expected = in_order(rules.report(as_dicts(data), CFG))
     assert rows(report, "asset_id", "contract_id", "root_cause", "original_asset_id") == expected
     assert report.columns == list(rc.REPORT_COLUMNS)
 
 
-@pytest.mark.parametrize("policy", list(POLICIES))
-def test_variants_equal_the_rules(spark, policy):
+@pytest.mark.parametrize("sizes", list(POLICIES), indirect=True)
+def test_variants_equal_the_rules(spark, sizes):
     data = awkward_tables(2)
-    tables, plain = load(spark, data, POLICIES[policy]), as_dicts(data)
+    tables, plain = load(spark, data, sizes), as_dicts(data)
     labelled = rules.report(plain, CFG)
     status = variants.status_coalesce(tables, CFG)
     assert rows(status, "asset_id", "contract_id", "root_cause") == in_order(
         rules.coalesced(plain, CFG, labelled)
     )
-    staged = variants.staged_agreement_flow(tables, CFG)
+    staged = variants.staged_agreement_summary(tables, CFG)
     assert rows(staged, "asset_id", "contract_id", "original_asset_id") == in_order(
         (a, n, o) for a, n, _, o in labelled
     )
@@ -145,10 +152,10 @@ def test_variants_equal_the_rules(spark, policy):
 
 
 @pytest.mark.parametrize("via", ["agreement", "value"])
-@pytest.mark.parametrize("policy", list(POLICIES))
-def test_bridge_is_every_combination(spark, via, policy):
+@pytest.mark.parametrize("sizes", list(POLICIES), indirect=True)
+def test_bridge_is_every_combination(spark, via, sizes):
     data = awkward_tables(3)
-    tables, t = load(spark, data, POLICIES[policy]), as_dicts(data)
+    tables, t = load(spark, data, sizes), as_dicts(data)
     expected = []
     for i in t["agreement_identifier"]:
         if i["identifier_type_id"] not in (111, 112):
@@ -167,24 +174,75 @@ def test_bridge_is_every_combination(spark, via, policy):
     assert got == in_order(expected)
 
 
-def test_label_counts_on_given_tables(spark):
-    labels = rc.root_cause_ladder(derive_tables(spark, SMALL), CFG)
-    assert dict(rows(labels.groupBy("root_cause").count())) == {
-        c.ORIGINAL_NOT_FOUND: 38,
-        c.ORIGINAL_WITHOUT_ENTITLEMENT: 4,
-        c.DUAL_SERIALIZED: 70,
-        c.NOT_ELIGIBLE: 95,
-        c.AGREEMENT_NOT_FOUND: 63,
-        c.AGREEMENT_WITHOUT_ASSET: 110,
-        c.AGREEMENT_OTHER_ASSET: 93,
-        c.LOCATION_NOT_FOUND: 218,
-        c.CUSTOMER_NOT_FOUND: 73,
-        c.MAPPING_MISSING: 104,
-        c.MAIN_ITEM_MISSING: 198,
-        c.INSTRUCTION_ERROR: 19,
-        c.AGREEMENT_OTHER: 17,
-        c.OTHER: 71,
+@pytest.mark.parametrize("sizes", list(POLICIES), indirect=True)
+def test_flow_has_every_record_of_every_stage(spark, sizes):
+    data = awkward_tables(5)
+    tables, t = load(spark, data, sizes), as_dicts(data)
+    report = rc.root_cause_report(tables, CFG).collect()
+    address = {a["party_address_id"]: (a["customer_num"], a["ucid"]) for a in t["party_address"]}
+
+    def linked(link, key, value):
+        return {
+            (r["party_address_id"], *address[r["party_address_id"]])
+            for r in t[link] if r[key] == value and r["party_address_id"] in address
+        }
+
+    def ids(table, key, value, column):
+        return {(r[column], None, None) for r in t[table] if r[key] == value}
+
+    expected = []
+    for r in report:
+        key, cp = (r["asset_id"], r["contract_id"]), r["cp_agreement_id"]
+        stages = {"customer": linked("party_address_asset", "asset_id", r["asset_id"])}
+        if r["contract_id"] is not None:
+            stages |= {"agreement": {(cp, None, None)} if cp is not None else set(), "mapping": set()}
+        if cp is not None:
+            stages |= {
+                "contract": ids("agreement_contract", "agreement_id", cp, "contract_id"),
+                "asset": ids("agreement_asset", "agreement_id", cp, "asset_id"),
+                "location": linked("party_address_agreement", "agreement_id", cp),
+            }
+        for stage, records in stages.items():
+            expected += [(*key, stage, *record) for record in records or {(None, None, None)}]
+    flow = variants.staged_agreement_flow(tables, CFG)
+    assert flow.columns == list(variants.FLOW_COLUMNS)
+    assert rows(flow, "asset_id", "contract_id", "stage", "record_id", "customer_num", "ucid") == in_order(expected)
+    labels = {(r["asset_id"], r["contract_id"], r["stage"]): r["label"] for r in flow.collect()}
+    fitting = {(r["asset_id"], r["contract_id"], r["stage"]) for r in flow.collect() if r["fits"]}
+    for r in report:
+        key = (r["asset_id"], r["contract_id"])
+        assert (labels[(*key, "customer")] is None) == r["customer_ok"]
+        if r["cp_agreement_id"] is not None:
+            assert (labels[(*key, "location")] is None) == r["location_ok"] == ((*key, "location") in fitting)
+            assert (labels[(*key, "asset")] is None) == r["has_this_asset"] == ((*key, "asset") in fitting)
+
+
+@pytest.mark.parametrize("table", ["asset", "contract", "agreement", "party_address"])
+def test_a_duplicate_id_is_an_error(spark, table):
+    data = awkward_tables(1)
+    used = {
+        "asset": lambda r: r["asset_id"],
+        "contract": lambda r: r["contract_id"],
+        "agreement": lambda r: r["cp_agreement_id"],
     }
+    report = rc.root_cause_report(load(spark, data, SkewPolicy()), CFG).collect()
+    known = {row[0] for row in data[table]}
+    wanted = {used[table](r) for r in report} & known if table in used else known
+    twin = [row for row in data[table] if row[0] in wanted and row[0] is not None]
+    data[table] = data[table] + (twin if table == "party_address" else twin[:1])
+    with pytest.raises(Exception, match="more than one row for"):
+        rc.root_cause_report(load(spark, data, SkewPolicy()), CFG).collect()
+
+
+def test_all_labels_occur_on_given_tables(spark):
+    """With several records per key, unknown sites and identifiers that are no numbers."""
+    labels = rc.root_cause_ladder(derive_tables(spark, SMALL), CFG)
+    found = dict(rows(labels.groupBy("root_cause").count()))
+    assert set(found) == {
+        c.ORIGINAL_NOT_FOUND, c.ORIGINAL_WITHOUT_ENTITLEMENT, c.DUAL_SERIALIZED, c.NOT_ELIGIBLE, c.AGREEMENT_NOT_FOUND,
+        c.AGREEMENT_WITHOUT_ASSET, c.AGREEMENT_OTHER_ASSET, c.LOCATION_NOT_FOUND, c.CUSTOMER_NOT_FOUND, c.MAPPING_MISSING,
+        c.MAIN_ITEM_MISSING, c.INSTRUCTION_ERROR, c.AGREEMENT_OTHER, c.OTHER,
+    }
 
 
 def test_order_of_input_and_unrelated_rows_do_not_matter(spark):
@@ -220,16 +278,6 @@ def test_stored_tables_with_other_names(spark, tmp_path):
     assert rows(rc.root_cause_ladder(stored, CFG)) == expected
 
 
-def test_lazy_without_a_checkpoint_folder(spark, monkeypatch):
-    """On a cluster that names no checkpoint folder nothing runs before the action."""
-    from gapwise.operators import staging
-
-    monkeypatch.setattr(staging, "checkpoint_ready", lambda session: False)
-    data = awkward_tables(1)
-    got = rows(rc.root_cause_ladder(load(spark, data, SkewPolicy()), CFG))
-    assert got == in_order(r[:3] for r in rules.report(as_dicts(data), CFG))
-
-
 def test_no_candidates_give_an_empty_report(spark):
     """The default rules look at another period than the derived tables have."""
     report = rc.root_cause_report(derive_tables(spark, SMALL), c.RuleConfig())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gapwise.operators import aggregates, joins
 from gapwise.operators.skew import SkewPolicy, hot_keys, lookup_join, parts_of, spread_join
 
-SHARP = SkewPolicy(hot_rows=20, max_hot=1000, profile_bytes=0, broadcast_rows=0)
+SHARP = SkewPolicy(hot_rows=20, max_hot=1000)
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +37,7 @@ def test_small_tables_are_not_profiled(left):
 def test_every_key_above_the_bound_is_hot(spark):
     """However many keys there are, none with more rows than a task takes is left whole."""
     df = spark.range(100_000).selectExpr("id % 5000 as k")
-    policy = SkewPolicy(hot_rows=10, max_hot=10, profile_bytes=10**15)
+    policy = SkewPolicy(hot_rows=10, max_hot=10)
     hot = hot_keys(df, ["k"], policy)["k"]
     assert len(hot) == 5000 and set(hot.values()) == {2}
 
@@ -156,7 +156,7 @@ def test_two_hop_absence_with_hot_links(spark):
     target = spark.range(60).where("id % 4 = 1").selectExpr("id as b")
     plain = joins.two_hop_absence(df, link, target, "a", "b")
     hot = joins.two_hop_absence(
-        df, link, target, "a", "b", hot_key={4: 8}, hot_target={5: 8, 9: 2}
+        df, link, target, "a", "b", hot_key=lambda: {4: 8}, hot_target=lambda: {5: 8, 9: 2}
     )
     assert rows(hot) == rows(plain)
 
