@@ -57,6 +57,7 @@ class Vocabulary:
             node[""] = (score, (i,))
         #: Pairs of characters within pieces; between others the lattice falls apart.
         self.pairs = {piece[i : i + 2] for piece in scores for i in range(len(piece) - 1)}
+        self.parts: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
         self.raw = [b""] * len(ids)
         for piece, (_, i) in scores.items():
             self.raw[i] = piece.replace(SPACE, " ").encode()
@@ -112,7 +113,7 @@ class Vocabulary:
             return self.n_best(text, n)
         total = [(0.0, ())]
         for start, end in zip([0, *cuts], [*cuts, len(text)]):
-            own = self.n_best(text[start:end], n)
+            own = self._part(text[start:end], n)
             if len(own) == 1:
                 total = [(s + own[0][0], a + own[0][1]) for s, a in total]
             else:
@@ -120,6 +121,18 @@ class Vocabulary:
         return total
 
 
+    def _part(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
+        """`n_best` of a part of a word, which many words may share; a bounded number is remembered."""
+        key = (text, n)
+        if key not in self.parts:
+            if len(self.parts) >= PARTS:
+                self.parts.clear()
+            self.parts[key] = self.n_best(text, n)
+        return self.parts[key]
+
+
+#: Parts of words whose segmentations a worker remembers, with texts of up to a word's length.
+PARTS = 50_000
 #: Stands for a literal SPACE in lattices; half a surrogate pair, which no text holds.
 LITERAL = "\ud800"
 
@@ -134,6 +147,7 @@ class PieceEncoder(ChunkEncoder):
     def __init__(self, path: str, n: int, remember: int = 600_000):
         self.vocabulary, self.n = Vocabulary(path), n
         self.byte, self.remember, self.clock = True, remember, 0
+        self.buffers: dict[str, np.ndarray] = {}
         self._hold(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int32))
         self.scores, self.gaps = np.zeros(0), np.zeros(0)
         self.n_others, self.lost = np.zeros(0, np.int8), np.zeros(0)  # of each entry; of all others, one entry after another
@@ -164,18 +178,23 @@ class PieceEncoder(ChunkEncoder):
     def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
         found = [self._solve(chunk) for chunk in chunks]
         start, ends = len(self.keys), self.first[-1] + np.cumsum([len(ids) for _, ids, _ in found])
-        self.keys = np.concatenate([self.keys, hashes])
-        self.first = np.concatenate([self.first, ends])
-        self.ids = np.concatenate([self.ids, np.array([i for _, ids, _ in found for i in ids], np.uint32)])
-        self.used = np.concatenate([self.used, np.full(len(hashes), self.clock, np.int32)])
-        self.scores = np.concatenate([self.scores, [s for s, _, _ in found]])
-        self.gaps = np.concatenate([self.gaps, [o[0][0] if o else np.inf for _, _, o in found]])
         others = [x for _, _, own in found for x in own]
-        self.n_others = np.concatenate([self.n_others, np.array([len(o) for _, _, o in found], np.int8)])
-        self.lost = np.concatenate([self.lost, [less for less, _ in others]])
-        self.other_sizes = np.concatenate([self.other_sizes, np.array([len(ids) for _, ids in others], np.int32)])
-        self.other_ids = np.concatenate([self.other_ids, np.array([i for _, ids in others for i in ids], np.uint32)])
-        self._index()
+        n_others, sizes = [len(own) for _, _, own in found], [len(ids) for _, ids in others]
+        for name, values in (
+            ("keys", hashes),
+            ("first", ends),
+            ("ids", np.array([i for _, ids, _ in found for i in ids], np.uint32)),
+            ("used", np.full(len(hashes), self.clock, np.int32)),
+            ("scores", np.array([s for s, _, _ in found])),
+            ("gaps", np.array([own[0][0] if own else np.inf for _, _, own in found])),
+            ("first_other", self.first_other[-1] + np.cumsum(n_others, dtype=np.int64)),
+            ("first_id", self.first_id[-1] + np.cumsum(sizes, dtype=np.int64)),
+            ("n_others", np.array(n_others, np.int8)),
+            ("lost", np.array([less for less, _ in others])),
+            ("other_sizes", np.array(sizes, np.int32)),
+            ("other_ids", np.array([i for _, ids in others for i in ids], np.uint32)),
+        ):
+            self._append(name, values)
         if 2 * len(self.keys) > len(self.slots):
             self._hold(self.keys, np.diff(self.first), self.ids, self.used)
         else:

@@ -62,6 +62,7 @@ class ChunkEncoder:
         (self.mark_id,) = self.tokenizer.encode(f"a{self.separator}a", add_special_tokens=False).ids[1:-1]
         self.remember = remember
         self.clock = 0
+        self.buffers: dict[str, np.ndarray] = {}
         self._hold(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(0, np.int32))
 
     # the memory: entry e has the ids ids[first[e]:first[e + 1]]
@@ -71,6 +72,17 @@ class ChunkEncoder:
         self.first = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
         self._place(0)
 
+    def _append(self, name: str, values: np.ndarray) -> None:
+        """Adds to the end of one of the arrays, in a buffer with a quarter to spare when it has to grow."""
+        old, buffer = getattr(self, name), self.buffers.get(name)
+        size = len(old) + len(values)
+        if buffer is None or old.base is not buffer or size > len(buffer):
+            buffer = np.empty(max(5 * size // 4, 1 << 12), old.dtype)
+            buffer[: len(old)] = old
+            self.buffers[name] = buffer
+        buffer[len(old) : size] = values
+        setattr(self, name, buffer[:size])
+
     def _place(self, start: int) -> None:
         """Puts the entries from `start` on into the table."""
         todo = np.arange(start, len(self.keys), dtype=np.int32)
@@ -128,10 +140,10 @@ class ChunkEncoder:
     def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
         found = [x for start in range(0, len(chunks), 200) for x in self._encoded(chunks[start : start + 200])]
         start, ends = len(self.keys), self.first[-1] + np.cumsum([len(x) for x in found])
-        self.keys = np.concatenate([self.keys, hashes])
-        self.first = np.concatenate([self.first, ends])
-        self.ids = np.concatenate([self.ids, *found])
-        self.used = np.concatenate([self.used, np.full(len(hashes), self.clock, np.int32)])
+        self._append("keys", hashes)
+        self._append("first", ends)
+        self._append("ids", np.concatenate(found))
+        self._append("used", np.full(len(hashes), self.clock, np.int32))
         if 2 * len(self.keys) > len(self.slots):
             self._hold(self.keys, np.diff(self.first), self.ids, self.used)
         else:
