@@ -77,7 +77,9 @@ def pack(pieces: DataFrame, capacity: int = 2048, small: float = 1 / 8, groups:
     """
     if {"_part", "_nth", "sequence_id", "offset"} & set(pieces.columns):
         raise ValueError("_part, _nth, sequence_id and offset are names of this operator")
-    rows = staged(numbered(pieces.withColumn("length", F.col("length").cast("long"))), "pieces")
+    # written before they are numbered, so that a task has one Python process at a time
+    written = staged(pieces.withColumn("length", F.col("length").cast("long")), "cut")
+    rows = staged(numbered(written), "pieces")
     met = staged(rows.groupBy("length", "_part").agg(F.count("*").alias("n")), "lengths")
     ends = met.agg(F.min("length"), F.max("length"), F.count(F.when(F.col("length").isNull(), 1))).first()
     if ends[2] or ends[0] is not None and (ends[0] < 1 or ends[1] > capacity):

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gapwise.operators.staging import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`; only where that is unset (tests) a new local one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="llm-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+#: Rows of one Arrow batch between the JVM and Python; whole texts make larger ones heavy on both sides.
+BATCH = 2_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -26,8 +22,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written once and read again: cuts the lineage, survives lost executors.
 
     The files stay until the owner of the shared folder removes them, since the
-    frames that read them are lazy.
+    frames that read them are lazy. While it is written, Arrow batches have at most
+    `BATCH` rows; the session's own setting holds again afterwards.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = new_folder(spark, name), spark.conf.get(_ROWS)
+    spark.conf.set(_ROWS, str(BATCH if int(before) <= 0 else min(BATCH, int(before))))
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_ROWS, before)
+    return spark.read.schema(df.schema).parquet(path)
