@@ -11,7 +11,7 @@ from gapwise.operators import aggregates, joins
 from gapwise.operators.skew import HotKeys, SkewPolicy, hot_keys
 from gapwise.sources.files import stale_files
 from gapwise.sources.records import PRESCRIBER, REJECT_CODE, flatten_record, struct_unpack
-from gapwise.sources.tables import scan
+from gapwise.sources.tables import scan, spread
 
 
 class Given:
@@ -408,18 +408,17 @@ def array_slot_placement(t: Given) -> DataFrame:
 
 def array_scan_words(t: Given) -> DataFrame:
     """A scan over the words of whole texts: arrays that need no grouping to exist."""
-    words = F.split("text", " ")
+    served = F.filter(F.split("text", " "), lambda w: F.length(w) % 2 == 0)
     element = lambda w: F.struct(
         F.length(w).alias("cntr"),
         F.substring(w, 1, 1).alias("resp"),
-        F.when(F.length(w) % 2 == 0, arrays.SERVICE_NAME).otherwise("OTHER").alias("service"),
         F.element_at(
             F.array(*[F.lit(r) for r in ("HD", "HC", "MX", "ZZ")]),
             (F.floor(F.length(w) / 2) % 4 + 1).cast("int"),
         ).alias("reason"),
     )
-    texts = t["documents"].select("doc_id", F.transform(words, element).alias("z"))
-    return struct_unpack(texts, "s", arrays.scan_summary(F.col("z"))).drop("z")
+    hits = spread(t["documents"].select("doc_id", "text")).select("doc_id", F.transform(served, element).alias("z"))
+    return struct_unpack(hits, "s", arrays.hit_summary(F.col("z"))).drop("z")
 
 
 def row_flags(t: Given) -> DataFrame:

@@ -49,10 +49,8 @@ def _hits(zipped: Column, match: str) -> Column:
 
 
 def _joined(hits: Column, field: str, sep: str) -> Column:
-    pieces = F.transform(
-        hits, lambda e: F.concat(F.coalesce(e[field].cast("string"), F.lit("")), F.lit(sep))
-    )
-    return F.array_join(pieces, "")
+    text = F.array_join(hits[field].cast("array<string>"), sep, "")
+    return F.when(F.size(hits) == 0, F.lit("")).otherwise(F.concat(text, F.lit(sep)))
 
 
 def _flag(hits: Column, response: str, reasons: tuple[str, ...]) -> Column:
@@ -70,7 +68,7 @@ def match_concat(zipped: Column, field: str, match: str = SERVICE_NAME, sep: str
 
     Empty text if nothing matches. A NULL value adds only its separator.
     """
-    return _joined(_hits(zipped, match), field, sep)
+    return _once(_hits(zipped, match), lambda hits: _joined(hits, field, sep))
 
 
 def match_flag(zipped: Column, response: str, reasons: tuple[str, ...], match: str = SERVICE_NAME) -> Column:
@@ -111,10 +109,15 @@ def row_flags(resp: Column, reason: Column) -> dict[str, Column]:
 
 
 def scan_summary(zipped: Column, match: str = SERVICE_NAME, sep: str = " ") -> Column:
-    """All results of a scan as one struct of six text fields.
+    """All results of a scan as one struct of six text fields."""
+    return hit_summary(_hits(zipped, match), sep)
+
+
+def hit_summary(hits: Column, sep: str = " ") -> Column:
+    """The same of the matching elements alone, for callers that know a match before they build its struct.
 
-    The matching elements are bound to a lambda variable, so that the array is
-    made and filtered once and not once per field.
+    The elements are bound to a lambda variable, so that they are made once and
+    not once per field.
     """
 
     def summary(hits: Column) -> Column:
@@ -129,4 +132,4 @@ def scan_summary(zipped: Column, match: str = SERVICE_NAME, sep: str = " ") -> C
         flags = [_flag(hits, response, reasons).alias(name) for name, response, reasons in FLAG_RULES]
         return F.struct(*texts, *flags)
 
-    return _once(_hits(zipped, match), summary)
+    return _once(hits, summary)

@@ -150,3 +150,13 @@ def _typed(column: str, kinds: Mapping[str, str], kind: str):
     if found == kind or (kind.startswith("timestamp") and str(found).startswith("timestamp")):
         return F.col(column)
     return F.col(column).cast(kind)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan over at least as many tasks as there are cores.
+
+    Few row groups give few tasks, however much work each row is. A scan that has
+    enough tasks stays as it is, so that nothing large is shuffled for this.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df

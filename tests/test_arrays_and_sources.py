@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gapwise.functions import arrays
 from gapwise.sources import records
 from gapwise.sources.files import stale_files
+from gapwise.sources.tables import spread
 
 DDL = "id int, cntr array<int>, resp array<string>, service array<string>, reason array<string>"
 
@@ -70,6 +71,28 @@ def test_scalar_service(spark):
     ]
 
 
+def test_scans_of_null_arrays_and_null_elements(spark):
+    df = scanned(spark, (1, None, None, None, None), (2, [None, 3, 3], ["s", None, "H"], ["MEDLIMIT"] * 3, [None, "HD", "MX"]))
+    got = {r["id"]: r for r in df.withColumn("slots", arrays.place_in_slots(F.col("z"))).collect()}
+    assert got[1]["slots"] is None or got[1]["slots"] == [None] * 10
+    assert (got[1]["s"]["service_seq"], got[1]["s"]["c_e_flag"]) == (None, "")
+    assert tuple(got[2]["s"]) == (" 3 3 ", "s  H ", " HD MX ", "", "", "Y")
+    assert [s and tuple(s) for s in got[2]["slots"]] == [None, None, ("H", "MEDLIMIT", "MX"), *[None] * 7]
+
+
+@pytest.mark.parametrize("files", [1, 20])
+def test_only_small_scans_are_spread(spark, tmp_path, files):
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        spark.range(2000).repartition(files).write.parquet(path)
+        got = spread(spark.read.parquet(path))
+        assert got.rdd.getNumPartitions() == (8 if files == 1 else 20)
+        assert got.selectExpr("sum(id)").first()[0] == 1999 * 1000
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_row_flags_have_no_gate(spark):
     df = spark.createDataFrame([("s", "HC"), ("H", "MX"), (None, "HD"), ("x", None)], "r string, c string")
     got = rows(df.select("r", *arrays.row_flags(F.col("r"), F.col("c")).values()))
