@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.llm.components import components
@@ -74,40 +74,50 @@ def _sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
 
 
 def sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_id and the band keys of each document; null and none without words."""
+    """doc_id, text_key, n_shingles, set_id and the band keys of each document; the last are null and none without words."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "set_id", "keys"]
+        names = ["doc_id", "text_key", "n_shingles", "set_id", "keys"]
         for got in batches:
-            ids, start, held, total = got.column(0), 0, [], 0
+            start, held, total = 0, [], 0
 
             def batch(stop: int) -> pa.RecordBatch:
                 full = [s for s in held if len(s)]
                 keys = band_keys(circulant_signatures(full, bands * rows), bands) if full else np.zeros((0, bands), np.int64)
                 ends = np.cumsum([0, *(bands * bool(len(s)) for s in held)]).astype(np.int32)
                 columns = [
-                    ids.slice(start, stop - start),
+                    *(got.column(c).slice(start, stop - start) for c in ("doc_id", "text_key")),
                     pa.array([len(s) for s in held], pa.int64()),
                     pa.array([set_id(s) if len(s) else None for s in held], pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel())),
                 ]
                 return pa.RecordBatch.from_arrays(columns, names=names)
 
-            for i, own in enumerate(_sets(got.column(1), width)):
+            for i, own in enumerate(_sets(got.column("text"), width)):
                 held.append(own)
                 total += len(own)
                 if total > 1 << 18:
                     yield batch(i + 1)
                     start, held, total = i + 1, [], 0
             if held:
-                yield batch(len(ids))
+                yield batch(got.num_rows)
 
-    rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows_.mapInArrow(sketch, "doc_id long, n_shingles long, set_id binary, keys array<long>")
+    text = F.col("text").cast("string")
+    rows_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), text_key(text).alias("text_key"))
+    return rows_.mapInArrow(sketch, "doc_id long, text_key binary, n_shingles long, set_id binary, keys array<long>")
+
+
+def text_key(text: Column) -> Column:
+    """128 bits that name a text; a null one has a name too."""
+    return F.unhex(F.md5(F.concat(F.when(text.isNull(), "-").otherwise("+"), F.coalesce(text, F.lit("")))))
 
 
 def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """set_id, odd sketch and shingles of each node (set_id, first_id), from the text of a document that has the set."""
+    """set_id, odd sketch and shingles of each node (set_id, first_id), from the text of a document that has the set.
+
+    The document is found by its id; for sets that only documents without one have,
+    the sets of all such documents are made again.
+    """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for got in batches:
@@ -120,8 +130,9 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 return pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), bits, shingles], names=["set_id", "odd", "shingles"])
 
             for wanted, own in zip(got.column(0).to_pylist(), _sets(got.column(1), width)):
-                if len(own) and set_id(own) == wanted:  # an id may stand for several texts
-                    ids.append(wanted)
+                name = set_id(own) if len(own) else None
+                if name and wanted in (None, name):  # an id may stand for several texts
+                    ids.append(name)
                     found.append(own)
                     total += len(own)
                     if total > 1 << 20:
@@ -131,14 +142,17 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                 yield batch()
 
     texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col("text").cast("string").alias("text"))
-    own = texts.join(nodes.select("set_id", "first_id"), "first_id").select("set_id", "text")
-    return own.mapInArrow(find, "set_id binary, odd array<long>, shingles array<long>").dropDuplicates(["set_id"])
+    named = texts.join(nodes.select("set_id", "first_id"), "first_id").select("set_id", "text")
+    unnamed = texts.where("first_id is null").select(F.lit(None).cast("binary").alias("set_id"), "text")
+    by_name, others = (t.mapInArrow(find, "set_id binary, odd array<long>, shingles array<long>") for t in (named, unnamed))
+    others = others.join(nodes.where("first_id is null").select("set_id"), "set_id", "left_semi")
+    return by_name.union(others).dropDuplicates(["set_id"])
 
 
 def near_duplicates(
     docs: DataFrame, width: int = 5, at_least: int = 80, of: int = 100, bands: int = 40, rows: int = 8
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of `docs`.
+    """doc_id, n_shingles, component_id, kept, group_id, text_key for each row of `docs`.
 
     Two documents are linked if `of` times their shared shingles are at least
     `at_least` times all their shingles. Components of linked documents have the
@@ -149,7 +163,9 @@ def near_duplicates(
     A null or blank text has no shingles and is linked with nothing. Rows that repeat
     a set of shingles are one node however many they are. Rows that share a doc_id but
     not a text stand where their texts stand. Other columns are not read. Null ids
-    are no component's smallest unless there is no other. No rows give no rows.
+    are no component's smallest unless there is no other; then component_id is null
+    and all its rows are `kept`. `group_id` (null without shingles) tells such
+    components apart, and `text_key` (see there) their texts. No rows give no rows.
 
     A bucket of candidates isn't expanded into pairs. Each node is compared with the
     most central node of its buckets, then, where that leaves a bucket with nodes of
@@ -219,13 +235,16 @@ def near_duplicates(
 
     linked = staged(classes.select("set_id", "first_id").join(labels.withColumnRenamed("node", "set_id"), "set_id"), "linked")
     least = staged(linked.groupBy("label").agg(F.min("first_id").alias("component_id")), "least")
-    found = linked.join(least, "label").select("set_id", "component_id")
-    alone = classes.join(found, "set_id", "left").select("set_id", F.coalesce("component_id", "first_id").alias("component_id"))
+    found = linked.join(least, "label").select("set_id", "component_id", "label")
+    alone = classes.join(found, "set_id", "left").select(
+        "set_id", F.coalesce("component_id", "first_id").alias("component_id"), F.coalesce("label", "set_id").alias("group_id")
+    )
+    component = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        sketch.select("doc_id", "n_shingles", "set_id")
+        sketch.select("doc_id", "text_key", "n_shingles", "set_id")
         .join(staged(alone, "components"), "set_id", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .select("doc_id", "n_shingles", component.alias("component_id"), "group_id", "text_key")
+        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "group_id", "text_key")
     )
 
 

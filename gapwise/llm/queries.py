@@ -118,7 +118,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), width=3, at_least=85)
+    found = near_duplicates(read(spark, sf_dir, "documents"), width=3, at_least=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op11_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,6 +65,21 @@ def test_repeated_rows_null_ids_and_empty_tables(spark):
     assert near_duplicates(spark.createDataFrame([], kind)).count() == 0
 
 
+def test_near_copies_without_an_id_are_one_group(spark):
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join([*words[:-1], "other"])
+    rows = [(None, " ".join(words)), (None, near), (None, "a b c d"), (5, "x " + near), (6, "p q r s t u"), (None, "p q r s t u"), (None, None), (None, " ")]
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width=3, at_least=85).collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.group_id, set()).add((r.doc_id, r.n_shingles, r.component_id, r.kept))
+    assert sorted(map(len, groups.values())) == [1, 1, 2, 2]
+    assert {(None, 198, 5, False), (5, 199, 5, True)} in groups.values()
+    assert {(6, 4, 6, True), (None, 4, 6, False)} in groups.values()
+    alone = near_duplicates(spark.createDataFrame(rows[:3], "doc_id long, text string"), width=3, at_least=85).collect()
+    assert sorted((len({r.text_key for r in alone if r.group_id == g}), g is None) for g in {r.group_id for r in alone}) == [(1, False), (2, False)]
+
+
 def test_a_centre_links_copies_that_are_not_linked_themselves(spark):
     words = [f"w{i}" for i in range(120)]
     rows = [(0, " ".join(words))]
