@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from gapwise.llm.shingles import words_of
 from gapwise.llm.spans import buffers
+from gapwise.llm.staging import spare
 
 #: Buckets for the values of the two names in the metadata.
 LANGS, SOURCES = 16, 64
@@ -139,14 +140,15 @@ class Model:
 
 
 def co_train(
-    content: np.ndarray, metadata: np.ndarray, labels: np.ndarray, rounds: int = 4, sure: float = 0.98, grow: float = 0.25, held_out: float = 0.25
+    content: np.ndarray, metadata: np.ndarray, labels: np.ndarray, rounds: int = 4, grow: float = 0.02, held_out: float = 0.25
 ) -> Model:
     """A model of labelled rows (1, 0) and others (NaN).
 
-    In each round either view labels the unlabelled rows it is surest of, at least
-    `sure` and at most `grow` of the labelled rows at a time, in the classes' own
-    proportion, for the other one to learn from. Every fourth labelled row is held
-    out for the calibration and the mixture of the views.
+    In each round either view labels the unlabelled rows it is surest of for the
+    other one to learn from: of each class as many as `grow` of the labelled rows in
+    it, and one at least, by rank, since a view that knows little is never sure in
+    absolute terms. Every fourth labelled row is held out for the calibration and
+    the mixture of the views.
     """
     known = np.flatnonzero(~np.isnan(labels))
     test = known[:: int(1 / held_out)]
@@ -163,14 +165,10 @@ def co_train(
             break
         given = []
         for i, model in enumerate(models):
-            p, other = _sigmoid(model.logit(views[i][free[i]])), 1 - i
-            picked, y = [], []
-            for value, surely, part in ((1, p, share), (0, 1 - p, 1 - share)):
-                best = np.argsort(-surely, kind="stable")[: int(grow * part * len(train))]
-                best = best[surely[best] >= sure]
-                picked.append(free[i][best])
-                y.append(np.full(len(best), float(value)))
-            rows, y = np.concatenate(picked), np.concatenate(y)
+            other, order = 1 - i, np.argsort(model.logit(views[i][free[i]]), kind="stable")
+            bad, good = (min(len(order) // 2, max(1, int(grow * part * len(train)))) for part in (1 - share, share))
+            rows = free[i][np.concatenate([order[:bad], order[len(order) - good :]])]
+            y = np.repeat([0.0, 1.0], [bad, good])
             own[other] = (np.concatenate([own[other][0], rows]), np.concatenate([own[other][1], y]))
             free[i] = np.setdiff1d(free[i], rows)
             given.append(len(rows))
@@ -196,47 +194,52 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 8_000, unlabelled: int =
     """Trains on at most `most` labelled rows and as many as `unlabelled` others, drawn by a hash of their ids.
 
     `labels` has doc_id and quality (1 or 0); other values and null don't count, and
-    of several labels of an id the lowest does. Only the features of the drawn rows,
-    whose number these two parameters bound, come to the driver. Labels without a
-    document and tables without rows or with one class only are fine: then the model
-    has nothing to go by and keeps everything.
+    of several labels of an id the lowest does. Of rows that share a labelled id the
+    text with the lowest hash counts, of other rows that repeat an id and a text one.
+    Only the features of the drawn rows, whose number these two parameters bound, come
+    to the driver. Labels without a document and tables without rows or with one class
+    only are fine: then the model has nothing to go by and keeps everything.
     """
     good = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     good = good.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.min("quality").alias("_quality"))
-    place = lambda c: F.pmod(F.xxhash64(c, F.lit("quality")), F.lit(1 << 40))
+    place = lambda *c: F.pmod(F.xxhash64(*c, F.lit("quality")), F.lit(1 << 40))
     below = lambda n, total: int((1 << 40) * min(1.0, 0.9 * n / max(1, total)))
     # about nine tenths of the bound, so that the limits, which are for safety, cut nothing
-    drawn = good.where(place("_id") < below(most, good.count())).limit(most)
-    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), *_columns(docs))
-    rest = place(F.concat_ws(":", "_id", F.lit("rest"))) < below(unlabelled, docs.count())
+    drawn = good.where(place("_id") < below(most, good.count())).orderBy(place("_id"), "_id").limit(most)
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), *_columns(docs)).withColumn("_place", place("_id", "text"))
+    rest = F.col("_place") < below(unlabelled, docs.count())
     used = rows.join(F.broadcast(drawn), "_id", "left").where(F.col("_quality").isNotNull() | rest)
 
     def features(batches):
         for got in batches:
             content, metadata = content_features(got.column("text")), metadata_features(*(got.column(c) for c in ("lang", "source", "n_chars")))
             as_lists = [pa.array(list(x.astype(np.float32)), pa.list_(pa.float32())) for x in (content, metadata)]
-            yield pa.RecordBatch.from_arrays([got.column("_id"), got.column("_quality").cast(pa.int32()), *as_lists], names=["id", "quality", "content", "metadata"])
-
-    found = used.mapInArrow(features, "id long, quality int, content array<float>, metadata array<float>")
-    table = found.limit(most + 2 * unlabelled).toArrow().sort_by([("id", "ascending"), ("quality", "ascending")])
+            known = [got.column("_id"), got.column("_place"), got.column("_quality").cast(pa.int32())]
+            yield pa.RecordBatch.from_arrays([*known, *as_lists], names=["id", "place", "quality", "content", "metadata"])
+
+    found = used.mapInArrow(features, "id long, place long, quality int, content array<float>, metadata array<float>")
+    own = F.when(F.col("quality").isNull(), F.col("place"))
+    one = found.groupBy("id", "quality", own.alias("own")).agg(F.min_by(F.struct("content", "metadata"), "place").alias("x"))
+    in_order = one.orderBy(F.col("quality").isNull(), "own", "id", "quality").limit(most + 2 * unlabelled)
+    table = in_order.select("id", "quality", "x.*").toArrow()
     if not len(table):
         return Model()
     stacked = [table.column(c).combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(table), -1) for c in ("content", "metadata")]
     return co_train(*stacked, table.column("quality").to_numpy().astype(np.float64))
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` with content_score, metadata_score and quality_score, each from 0 to 1.
+def score(docs: DataFrame, model: Model, into: tuple[str, str, str] = ("content_score", "metadata_score", "quality_score")) -> DataFrame:
+    """`docs` with the scores of the text, the metadata and both, each from 0 to 1, named by `into`.
 
     All rows and columns stay; columns of these three names are replaced. Null or
     missing columns count as empty or unknown.
     """
-    names = ("content_score", "metadata_score", "quality_score")
 
-    @F.arrow_udf("struct<content_score: double, metadata_score: double, quality_score: double>")
+    @F.arrow_udf("struct<content: double, metadata: double, both: double>")
     def scored(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
         found = model.scores(content_features(text), metadata_features(lang, source, n_chars))
-        return pa.StructArray.from_arrays([pa.array(x) for x in found], names=list(names))
+        return pa.StructArray.from_arrays([pa.array(x) for x in found], names=["content", "metadata", "both"])
 
-    rows = docs.withColumn("_scores", scored(*_columns(docs)))
-    return rows.withColumns({n: F.col("_scores")[n] for n in names}).drop("_scores")
+    held = spare("scores", docs.columns)
+    rows = docs.withColumn(held, scored(*_columns(docs)))
+    return rows.withColumns({n: F.col(held)[part] for n, part in zip(into, ("content", "metadata", "both"))}).drop(held)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +34,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.set(_ROWS, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spare(name: str, taken: Sequence[str]) -> str:
+    """`name` behind as many underscores as no column of `taken` has, whatever its case."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used or not name.startswith("_"):
+        name = "_" + name
+    return name

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gapwise.llm.nearest import Index, nearest, perturbations
-from gapwise.llm.quality import Model, fit, score
+from gapwise.llm.quality import Model, co_train, fit, score
 from gapwise.llm.top_k import exact_top_k
 
 
@@ -106,8 +106,10 @@ def test_classifier_separates_held_out_rows(spark):
     docs, labels = labelled(spark, 1500)
     labels = labels.union(spark.createDataFrame([(1, None), (2, 7), (None, 1), (99_999, 0)], "doc_id long, quality int"))
     model = fit(docs, labels)
-    assert len(model.rounds) == 4 and sum(map(sum, model.rounds)) > 0
-    found = score(docs.selectExpr("*", "'old' AS quality_score", "1 AS _x"), model).collect()
+    assert len(model.rounds) == 4 and all(a > 0 and b > 0 for a, b in model.rounds)
+    held = score(docs.selectExpr("*", "'old' AS quality_score", "1 AS _x", "2 AS _scores", "3 AS __SCORES"), model)
+    assert {"_x", "_scores", "__SCORES"} < set(held.columns) and held.where("_scores = 2 and __SCORES = 3").count() == 1502
+    found = held.collect()
     assert len(found) == 1502
     rest = [r for r in found if r.doc_id % 3 == 0 and r.doc_id < 1500]  # no label of theirs was seen
     assert np.mean([(r.quality_score >= 0.5) == (r.doc_id % 5 != 0) for r in rest]) > 0.99
@@ -123,6 +125,27 @@ def test_without_labels_everything_stays(spark):
     assert score(docs.select("doc_id"), Model()).count() == docs.count()
 
 
+def test_views_teach_each_other_and_together_know_more():
+    rng = np.random.default_rng(11)
+    y = rng.integers(0, 2, 3000).astype(float)
+    views = [rng.standard_normal((3000, 4)) + s * y[:, None] for s in (0.6, 0.9)]
+    known = np.where(np.arange(3000) < 120, y, np.nan)
+    right = lambda p: float(((p[120:] >= 0.5) == (y[120:] == 1)).mean())
+    alone, taught = (co_train(*views, known, rounds=r) for r in (0, 4))
+    assert taught.rounds == ((taught.rounds[0]),) * 4 and min(taught.rounds[0]) >= 2 and alone.rounds == ()
+    content, metadata, both = map(right, taught.scores(*views))
+    assert both > max(content, metadata) + 0.01 and both > 0.81  # 0.86 is the best that any rule can reach here
+    assert content > right(alone.scores(*views)[0]) - 0.01
+
+
+def test_repeated_and_null_ids_are_drawn_alike(spark):
+    docs, labels = labelled(spark, 300)
+    odd = spark.createDataFrame([(None, f"text {i}", "en", "src1", 6) for i in range(50)] + [(1, f"other {i}", "en", "src1", 7) for i in range(50)], docs.schema)
+    many = docs.union(odd).union(odd).repartition(5)
+    a, b = fit(many, labels, unlabelled=40), fit(many.repartition(3), labels.union(labels), unlabelled=40)
+    assert a.rounds == b.rounds and np.allclose(a.content.weights, b.content.weights)
+
+
 def test_pipeline_keeps_each_stage_s_promise(spark):
     pytest.importorskip("public_tokenizers")
     pipeline = importlib.import_module("corpus_pipeline")
