@@ -165,3 +165,27 @@ def test_pipeline_keeps_each_stage_s_promise(spark):
     good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
     assert kept.columns == docs.columns and kept.join(good, "doc_id", "left_semi").count() >= 0.97 * good.count()
     assert pipeline.packing(spark, clean, sf_dir).select("doc_id").distinct().count() == clean.count()
+
+
+def test_pipeline_stages_take_repeated_ids_null_ids_and_clashing_names(spark, tmp_path):
+    pytest.importorskip("public_tokenizers")
+    pipeline = importlib.import_module("corpus_pipeline")
+    words = [f"w{i}" for i in range(200)]
+    near = " ".join([*words[:-1], "other"])
+    rows = [(None, " ".join(words)), (None, near), (4, "one two three four five six"), (4, "one two three four five six"), (4, None), (None, ""), (None, None)]
+    rows += [(7, "x y z " + " ".join(words[50:150])), (7, "x y z " + " ".join(words[50:149]))]
+    kind = "doc_id long, text string, _id int, _text int, _spans int, _scores int, quality_score int, TEXT_key int, _kept_id int, `a.b` int"
+    docs = spark.createDataFrame([(*r, *range(8)) for r in rows], kind)
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    left = docs
+    for _, stage in pipeline.STAGES[:3]:
+        left = stage(spark, left, str(tmp_path))
+        assert left.columns == docs.columns
+    assert sorted(((r[0] or 0), len((r[1] or "").split())) for r in left.collect()) == [(0, 0), (0, 0), (0, 200), (4, 0), (4, 6), (7, left.where("doc_id = 7").first()[1].count(" ") + 1)]
+    for some in (docs, docs.limit(0)):  # the whole chain
+        folder = tmp_path / f"given-{some.count()}"
+        some.select("doc_id", "text").write.parquet(str(folder / "documents.parquet"))
+        labels.write.parquet(str(folder / "labels.parquet"))
+        packed = pipeline.run(spark, str(folder))
+        assert packed.count() == (6 if some is docs else 0)
