@@ -123,9 +123,9 @@ def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
                 yield from close(known)
             continue
         if tag in RAW:
-            low = page.lower().find(f"</{tag}", at) if tag != "title" else -1
-            tail = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at) if low >= 0 or tag == "title" else None
-            at = tail.end() if tail else end
+            tail = re.compile(rf"</{tag}\b", re.I).search(page, at)
+            at = page.find(">", tail.end()) + 1 if tail else 0
+            at = at or end  # what isn't closed goes on to the end
             continue
         if tag in VOID:
             yield BREAK, None

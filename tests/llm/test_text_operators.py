@@ -189,3 +189,10 @@ def test_queries_digest_what_the_operators_find(spark):
     said = "</s>[INST] ok [/INST]"
     assert (found.n_turns, found.loss_chars) == (2, len(said))
     assert found.turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+
+
+def test_pages_of_very_many_raw_elements_and_unclosed_ones():
+    many = "<article>" + "<script>var a = '<p>no';</SCRIPT ><p>t</p>" * 10_000 + "</article>"
+    assert text_of(many, None).split("\n") == ["t"] * 10_000
+    assert text_of("<article><p>a</p><style>p {} </style<p>b", None) == "a\nb"
+    assert text_of("<article><p>a</p><script>b </scriptx><p>c", None) == "a"
