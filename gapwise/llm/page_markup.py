@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import zlib
@@ -40,6 +41,8 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 OPEN, CLOSE, BREAK = 1, 2, 3
 #: Elements that hold the article or the whole page, whatever their class.
 HOLDERS = {"html", "body", "article", "main"}
+#: Characters of a path beyond which a hash stands for it in the paths below, so that deep nesting takes linear memory.
+FOLD = 200
 
 
 class Part:
@@ -47,22 +50,27 @@ class Part:
 
     `sure` tells noise by the tag or a whole class token. Outside an article any word
     of a class, id or role makes `noise` too; inside, anchors and sections are named
-    after what they are about.
+    after what they are about. Words of a class, id or role that aren't among `names`
+    (None: all) are one "*" in the path.
     """
 
-    __slots__ = ("tag", "path", "sure", "noise", "inside", "link", "above")
+    __slots__ = ("tag", "path", "key", "sure", "noise", "inside", "link", "above")
 
-    def __init__(self, tag: str, attributes: str, above: Part | None):
+    def __init__(self, tag: str, attributes: str, above: Part | None, names: frozenset[str] | None = None):
         label, sure, word = escaped(tag).replace(".", "%2e"), tag in NOISE_TAGS, False
         for m in _NAMES.finditer(attributes) if attributes else ():
             value = (m[2] or m[3] or m[4] or "").lower()
-            label += f".{escaped(' '.join(value.split()))}"
+            tokens = value.split()
+            if names is not None and not names.issuperset(tokens):
+                tokens = [token for token in tokens if token in names] + ["*"]
+            label += f".{escaped(' '.join(tokens))}"
             if tag not in HOLDERS and not NOISE_WORDS.isdisjoint(_WORDS.findall(value)):
                 name = m[1].lower()
                 sure = sure or any(_known(tag, name, token) for token in value.split())
                 word = word or tag not in HEADINGS or name != "id"
         self.tag, self.above = tag, above
-        self.path = f"{above.path}/{label}" if above else label
+        self.path = f"{above.key}/{label}" if above else label
+        self.key = folded(self.path)
         self.inside = tag in ("article", "main") or bool(above and above.inside)
         self.sure = sure or bool(above and above.sure)
         self.noise = self.sure or word and not self.inside or bool(above and above.noise)
@@ -92,7 +100,28 @@ def escaped(name: str) -> str:
     return name.replace("%", "%25").replace("/", "%2f")
 
 
-def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
+def folded(path: str) -> str:
+    """What stands for `path` before the labels of elements within: itself, or if it is long its number of labels and a hash."""
+    if len(path) <= FOLD:
+        return path
+    return f"~{labels(path)}~{hashlib.blake2b(path.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
+
+
+def labels(path: str) -> int:
+    """How many labels `path` has, those that a hash stands for too."""
+    return path.count("/") + (int(path[1 : path.index("~", 1)]) if path.startswith("~") else 1)
+
+
+def names_of(page: str) -> set[str]:
+    """The words of all classes, ids and roles of a page."""
+    found: set[str] = set()
+    for m in _TAG.finditer(page):
+        for name in _NAMES.finditer(m[3]) if m[3] else ():
+            found.update((name[2] or name[3] or name[4] or "").lower().split())
+    return found
+
+
+def walk(page: str, names: frozenset[str] | None = None) -> Iterator[tuple[str | int, Part | None]]:
     """(OPEN or CLOSE, part) for each structural element, (BREAK, _) at line breaks, and (text, innermost part).
 
     Only blocks have paths of their own; other elements count as part of their
@@ -100,12 +129,14 @@ def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
     and an end tag everything within. A text is raw: entities are not decoded.
     """
     stack: list[Part] = []
+    opened: dict[str, int] = {}  # of the stack, by tag
 
     def close(down_to: int) -> Iterator[tuple[int, Part]]:
         while len(stack) > down_to:
+            opened[stack[-1].tag] -= 1
             yield CLOSE, stack.pop()
 
-    at, end, links = 0, len(page), 0
+    at, end = 0, len(page)
     while at < end:
         m = _TAG.search(page, at)
         start = m.start() if m else end
@@ -118,9 +149,8 @@ def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
         if not tag:
             continue
         if m[1]:
-            known = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            if known is not None:
-                yield from close(known)
+            if opened.get(tag):
+                yield from close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         if tag in RAW:
             tail = re.compile(rf"</{tag}\b", re.I).search(page, at)
@@ -132,7 +162,7 @@ def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
             continue
         is_block = tag in BLOCKS or tag in NOISE_TAGS
         if not is_block:
-            noisy = Part(tag, m[3], stack[-1] if stack else None)
+            noisy = Part(tag, m[3], stack[-1] if stack else None, names)
             if not noisy.noise or stack and stack[-1].noise:
                 continue  # of its block
             is_block = True
@@ -140,41 +170,59 @@ def walk(page: str) -> Iterator[tuple[str | int, Part | None]]:
             yield from close(len(stack) - 1)
         if tag in ("li", "dt", "dd", "tr", "td", "th") and stack and stack[-1].tag == tag:
             yield from close(len(stack) - 1)
-        stack.append(Part(tag, m[3], stack[-1] if stack else None))
+        stack.append(Part(tag, m[3], stack[-1] if stack else None, names))
+        opened[tag] = opened.get(tag, 0) + 1
         yield OPEN, stack[-1]
     yield from close(0)
 
 
-def structure(page: str) -> dict[str, tuple[int, int, set[int]]]:
-    """For each path of a page: how often it opens, the characters of its texts outside noise, and hashes of its distinct texts outside sure noise.
+def structure(page: str, names: frozenset[str] | None = None) -> dict[str, tuple[int, int, int | None]]:
+    """For each path of a page: how often it opens, the characters of its texts outside noise, and the sum of hashes of its distinct texts outside sure noise (None: it has none).
 
     A path that ends in "/" stands for the texts that an element holds directly.
     """
     opened: dict[str, int] = {}
+    above: dict[str, str | None] = {}  # a path comes behind that of its parent
     chars: dict[str, int] = {}
     texts: dict[str, set[int]] = {}
-    for what, part in walk(page):
+    for what, part in walk(page, names):
         if part is None or what == CLOSE:
             continue
         if what == OPEN:
             opened[part.path] = opened.get(part.path, 0) + 1
+            above[part.path] = part.above.path if part.above else None
         elif not part.sure and (what := what.strip()):
-            name, size = zlib.crc32(what.encode("utf-8", "surrogatepass")), 0 if part.noise else len(what)
             direct = f"{part.path}/"
             opened[direct] = 1
-            chars[direct] = chars.get(direct, 0) + size
-            texts.setdefault(direct, set()).add(name)
-            while part:  # text counts for all that hold it
-                chars[part.path] = chars.get(part.path, 0) + size
-                texts.setdefault(part.path, set()).add(name)
-                part = part.above
-    return {path: (n, chars.get(path, 0), texts.get(path, set())) for path, n in opened.items()}
-
-
-def text_of(page: str, within: str | None, drop: frozenset[str] = frozenset()) -> str | None:
+            chars[direct] = chars.get(direct, 0) + (0 if part.noise else len(what))
+            texts.setdefault(direct, set()).add(zlib.crc32(what.encode("utf-8", "surrogatepass")))
+    sums = {path: sum(own) for path, own in texts.items()}
+    for path in reversed(above):  # text counts for all that hold it
+        _add(path, f"{path}/", chars, texts, sums)
+        if outer := above[path]:
+            _add(outer, path, chars, texts, sums)
+    return {path: (n, chars.get(path, 0), sums.get(path)) for path, n in opened.items()}
+
+
+def _add(to: str, path: str, chars: dict[str, int], texts: dict[str, set[int]], sums: dict[str, int]) -> None:
+    """Adds what `path` holds to `to`; its set is used up, and the smaller set goes into the larger one."""
+    if path not in texts:
+        return
+    chars[to] = chars.get(to, 0) + chars[path]
+    small, total = texts.pop(path), sums[path]
+    large = texts.get(to, set())
+    if len(large) < len(small):
+        small, large = large, small
+    else:
+        total = sums.get(to, 0)
+    texts[to], sums[to] = large, total + sum(small - large)
+    large |= small
+
+
+def text_of(page: str, within: str | None, drop: frozenset[str] = frozenset(), names: frozenset[str] | None = None) -> str | None:
     """The text outside noise of all elements with the path `within` (None: the page); None if there is no such element.
 
-    In a closer element than the body only sure noise counts. Elements with a path in
+    In a closer element than the body only sure noise counts. Elements in it with a path in
     `drop` are left out. Blocks are joined by a line feed; in a block, white space is one space.
     """
     blocks: list[str] = []
@@ -190,14 +238,15 @@ def text_of(page: str, within: str | None, drop: frozenset[str] = frozenset()) -
         if block:
             blocks.append(block)
 
-    for what, part in walk(page):
+    for what, part in walk(page, names):
         if what == OPEN or what == CLOSE:
             if part.sure or not close or part.tag in BLOCKS:
                 flush()
             step = 1 if what == OPEN else -1
-            dropped += step * (part.path in drop)
             if part.path == within:
                 depth, met = depth + step, True
+            elif depth:
+                dropped += step * (part.path in drop)
         elif depth and not dropped and not (part and (part.sure if close else part.noise)):
             held.append(" " if what == BREAK else what)
     flush()

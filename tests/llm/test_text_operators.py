@@ -1,12 +1,13 @@
 import hashlib
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from gapwise.llm.chat import Template, formatted, read_back, segments
-from gapwise.llm.page_markup import structure, text_of
+from gapwise.llm.page_markup import BREAK, CLOSE, OPEN, structure, text_of, walk
 from gapwise.llm.personal_data import masked, with_personal_data
 from gapwise.llm.templates import extract_main_text, templates
 
@@ -196,3 +197,70 @@ def test_pages_of_very_many_raw_elements_and_unclosed_ones():
     assert text_of(many, None).split("\n") == ["t"] * 10_000
     assert text_of("<article><p>a</p><style>p {} </style<p>b", None) == "a\nb"
     assert text_of("<article><p>a</p><script>b </scriptx><p>c", None) == "a"
+
+
+def test_pages_of_very_deep_elements_take_linear_time_and_memory():
+    import tracemalloc
+
+    def deep(n):
+        return "<body>" + "".join(f'<div class="level{i}">{i} ' for i in range(n)) + "</p></span>" * n + "</div>" * n + "</body>"
+
+    def peak(n):
+        tracemalloc.start()
+        found = structure(deep(n))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found["body"] == (1, sum(len(str(i)) for i in range(n)), found["body"][2])
+        return most
+
+    assert peak(16_000) < 10 * peak(2_000)
+    assert text_of(deep(100_000), None).split("\n") == [str(i) for i in range(100_000)]
+
+
+def test_structure_is_that_of_whole_paths(spark):
+    r = random.Random(5)
+    for _ in range(300):
+        tags = [r.choice(["div", "p", "section", "li", "nav", "td"]) for _ in range(6)]
+        parts = ["<{0}>", '<{0} class="a b{1}">', "</{0}>", "word{1}", "same", '<{0} id="long-{1}' + "x" * 60 + '">']
+        page = "<body>" + "".join(r.choice(parts).format(r.choice(tags), r.randint(0, 3)) for _ in range(r.randint(0, 60)))
+        wanted: dict = {}
+        for what, part in walk(page):
+            if what == OPEN:
+                wanted.setdefault(part.path, [0, 0, set()])[0] += 1
+            elif what not in (CLOSE, BREAK) and not part.sure and what.strip():
+                size, name = 0 if part.noise else len(what.strip()), zlib.crc32(what.strip().encode())
+                wanted.setdefault(f"{part.path}/", [1, 0, set()])
+                for path in [f"{part.path}/", *_ancestors(part)]:
+                    wanted[path][1] += size
+                    wanted[path][2].add(name)
+        assert structure(page) == {path: (n, size, sum(names) if names else None) for path, (n, size, names) in wanted.items()}
+
+
+def _ancestors(part):
+    while part:
+        yield part.path
+        part = part.above
+
+
+def test_ids_of_single_pages_make_no_paths(spark):
+    page = (
+        '<html><body class="single postid-{0}"><div class="tagline">Best shop</div><div class="page page-{0}"><div id="post-{0}" class="entry tag-{0}">'
+        '<h1>Story {0}</h1><p>Text {0}</p><div class="rating">Rate it</div></div></div><div class="imprint">Shop Ltd</div></body></html>'
+    )
+    rows = [(i, "http://a.example/", page.format(i), i, "x") for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, _host int, _template string")
+    found = extract_main_text(pages)
+    assert found.columns == ["page_id", "url", "html", "_host", "_template", "text", "n_chars"]
+    assert {r.page_id: (r.text, r._host, r._template) for r in found.collect()} == {i: (f"Story {i}\nText {i}", i, "x") for i in range(12)}
+    classes = templates(pages).first().classes
+    assert {"html/body.single *", "html/body.single */div.page */div.*.entry *"} <= {t.token for c in classes for t in c.tokens}
+
+
+def test_without_a_template_the_whole_body_counts(spark):
+    page = '<body><div class="x{0}">Every page {0}</div><div class="site">Site</div></body>'
+    few = [(i, "http://a.example/", page.format(i)) for i in range(3)]
+    many = [(100 + i, "http://b.example/", page.format(i)) for i in range(4)]
+    pages = spark.createDataFrame(few + many, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in extract_main_text(pages).collect()}
+    assert found == {i: f"Every page {i}\nSite" for i in range(3)} | {100 + i: f"Every page {i}" for i in range(4)}
+    assert extract_main_text(pages, repeats=3).where("page_id = 1").first().text == "Every page 1"
