@@ -10,6 +10,7 @@ process while they are remembered.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import os
 import re
@@ -31,6 +32,15 @@ SPACE = "▁"
 Other = tuple[float, tuple[int, ...]]
 
 
+class Node(dict):
+    """What follows a beginning of pieces, by character; `known` has score and ids if it is a piece itself."""
+
+    __slots__ = ("known",)
+
+    def __init__(self):
+        self.known: tuple[float, tuple[int, ...]] | None = None
+
+
 class Vocabulary:
     """Pieces, their scores and bytes. `SPACE` stands for a space; where a text has that character itself, its bytes do."""
 
@@ -48,13 +58,16 @@ class Vocabulary:
             raise ValueError("a piece goes on over a place where chunks are cut")
         # as for a character unknown to a unigram model: worse than any ordinary piece
         self.unknown = min((s for s, _ in scores.values() if s > -1e8), default=0.0) - 10
-        #: One character after another; at "" what the piece so far is worth, and its id.
-        self.trie: dict = {}
+        #: One character after another.
+        self.trie = Node()
         for piece, (score, i) in scores.items():
             node = self.trie
             for char in piece:
-                node = node.setdefault(char, {})
-            node[""] = (score, (i,))
+                following = node.get(char)
+                if following is None:
+                    following = node[char] = Node()
+                node = following
+            node.known = (score, (i,))
         #: Pairs of characters within pieces; between others the lattice falls apart.
         self.pairs = {piece[i : i + 2] for piece in scores for i in range(len(piece) - 1)}
         self.parts: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
@@ -74,36 +87,40 @@ class Vocabulary:
         size, trie = len(text), self.trie
         best = [0.0, *[-1e300] * size]
         into: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
-        for i in range(size):
-            base, node = best[i], trie
-            for j in range(i, size):
-                node = node.get(text[j])
-                if node is None:
+        for i, char in enumerate(text):
+            base, node, end = best[i], trie.get(char), i + 1
+            if node is None or node.known is None:
+                ids = tuple(self.byte_ids[b] for b in (SPACE if char == LITERAL else char).encode())
+                into[end].append((i, self.unknown, ids))
+                if base + self.unknown > best[end]:
+                    best[end] = base + self.unknown
+            while node is not None:
+                if node.known is not None:
+                    score, ids = node.known
+                    into[end].append((i, score, ids))
+                    if base + score > best[end]:
+                        best[end] = base + score
+                if end == size:
                     break
-                known = node.get("")
-                if known is not None:
-                    score, ids = known
-                    into[j + 1].append((i, score, ids))
-                    if base + score > best[j + 1]:
-                        best[j + 1] = base + score
-            if trie.get(text[i], trie).get("") is None:
-                char = SPACE if text[i] == LITERAL else text[i]
-                into[i + 1].append((i, self.unknown, tuple(self.byte_ids[b] for b in char.encode())))
-                best[i + 1] = max(best[i + 1], base + self.unknown)
+                node = node.get(text[end])
+                end += 1
         # each open one stands for at least one segmentation of exactly its score, so more than are wanted never count
-        open_, found, count = [(-best[size], 0, size, 0.0, ())], [], 0
-        while open_ and len(found) < n:
+        open_, found, count, wanted = [(-best[size], 0, size, 0.0, ())], [], 0, n
+        while open_ and wanted:
             total, _, at, behind, ids = open_.pop(0)
             if not at:
                 found.append((-total, ids))
+                wanted -= 1
                 continue
             for start, score, own in into[at]:
                 total = -(best[start] + score + behind)
-                if len(open_) + len(found) < n or total < open_[-1][0]:
+                if len(open_) < wanted:
+                    count += 1
+                    insort(open_, (total, count, start, score + behind, own + ids))
+                elif total < open_[-1][0]:
                     count += 1
+                    open_.pop()
                     insort(open_, (total, count, start, score + behind, own + ids))
-                    if len(open_) + len(found) > n:
-                        open_.pop()
         return found
 
     def solved(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
@@ -176,7 +193,13 @@ class PieceEncoder(ChunkEncoder):
         self._index()
 
     def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
-        found = [self._solve(chunk) for chunk in chunks]
+        collecting = gc.isenabled()
+        gc.disable()  # the search makes many tuples and no cycles
+        try:
+            found = [self._solve(chunk) for chunk in chunks]
+        finally:
+            if collecting:
+                gc.enable()
         start, ends = len(self.keys), self.first[-1] + np.cumsum([len(ids) for _, ids, _ in found])
         others = [x for _, _, own in found for x in own]
         n_others, sizes = [len(own) for _, _, own in found], [len(ids) for _, ids in others]

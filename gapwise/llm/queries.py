@@ -58,7 +58,8 @@ def op4_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_n_best_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
-    found = encode_n_best(read(spark, sf_dir, "documents"), model, n=3)
+    # written, so that no task has a worker that encodes beside one that decodes
+    found = staged(encode_n_best(read(spark, sf_dir, "documents"), model, n=3), "pieces")
     return found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
