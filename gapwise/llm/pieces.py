@@ -343,7 +343,7 @@ def encode_n_best(docs: DataFrame, model: str, n: int = 3) -> DataFrame:
             for i, row in enumerate(piece_encoder(model, n).segment(got.column(1))):
                 rows.append(row)
                 size += len(row[1])
-                if size > 500_000:
+                if size > 200_000:
                     yield batch(i + 1)
                     start, rows, size = i + 1, [], 0
             if rows:
@@ -358,6 +358,7 @@ def decoded(ids: str | Column, model: str) -> Column:
 
     @F.arrow_udf("string")
     def texts(found: pa.Array) -> pa.Array:
+        piece_encoder.cache_clear()  # a worker that has encoded before decodes now
         raw, first = _raw_pieces(model)
         sizes = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False)
         bounds = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])

@@ -60,7 +60,7 @@ def op5_n_best_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_file("piece_bpe_32k.model")
     # written, so that no task has a worker that encodes beside one that decodes
     found = staged(encode_n_best(read(spark, sf_dir, "documents"), model, n=3), "pieces")
-    return found.select(
+    digests = found.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_pieces"),
         "score",
@@ -69,6 +69,7 @@ def op5_n_best_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.to_json("others"), 256).alias("others_sha256"),
         F.sha2(decoded("ids", model), 256).alias("decoded_sha256"),
     )
+    return staged(digests, "piece-digests")  # decodes in batches of fewer rows
 
 
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
