@@ -33,7 +33,7 @@ Other = tuple[float, tuple[int, ...]]
 
 
 class Node(dict):
-    """What follows a beginning of pieces, by character; `known` has score and ids if it is a piece itself."""
+    """What follows a beginning of pieces, by character; `known`, and what stands at "", has score and ids if it is a piece itself."""
 
     __slots__ = ("known",)
 
@@ -67,7 +67,7 @@ class Vocabulary:
                 if following is None:
                     following = node[char] = Node()
                 node = following
-            node.known = (score, (i,))
+            node[""] = node.known = (score, (i,))
         #: Pairs of characters within pieces; between others the lattice falls apart.
         self.pairs = {piece[i : i + 2] for piece in scores for i in range(len(piece) - 1)}
         self.parts: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
