@@ -53,17 +53,22 @@ def two_hop_absence(
     return without_partner(df, reached, [key])
 
 
-def unique_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unique_rows(df: DataFrame, keys: Sequence[str], named: bool = False) -> DataFrame:
     """``df``, of which no two rows may have the same keys: a second one is an error that names them.
 
     Counted by an aggregate with a map side, whose rows are the result. Keys with a NULL
-    name nothing and may repeat.
+    name nothing and may repeat; with ``named`` such rows are left out, and the keys
+    alone are grouped by, so that a join by them needs no further shuffle or sort.
     """
     rest = [c for c in df.columns if c not in keys]
+    message = F.concat(F.lit("more than one row for key "), F.to_json(F.struct(*keys)))
+    if named:
+        found = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in rest])
+        once = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+        return found.where(once).select(*df.columns)
     unnamed = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     apart = F.when(unnamed, F.xxhash64(*df.columns)).alias("_apart")
     found = df.groupBy(*keys, apart).agg(F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(c) for c in rest])
-    message = F.concat(F.lit("more than one row for key "), F.to_json(F.struct(*keys)))
     once = F.when((F.col("_n") > 1) & F.col("_apart").isNull(), F.raise_error(message).cast("boolean")).otherwise(True)
     copies = F.explode(F.sequence(F.lit(1), F.col("_n")))  # of rows that name nothing
     return found.where(once).withColumn("_copy", copies).select(*df.columns)

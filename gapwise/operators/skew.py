@@ -54,28 +54,34 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-#: What a frequent-items sketch may hold, and the types it takes.
+#: What a frequent-items sketch may hold, the hot keys the first one is made for, and the types it takes.
 TRACKED = 1_000_000
+MOST = 64
 SKETCHED = ("bigint", "int", "smallint", "tinyint", "string", "date", "boolean")
 
 
 def hot_keys(df: DataFrame, columns: Sequence[str], policy: SkewPolicy) -> dict[str, HotKeys]:
     """Hot values of each column, with the number of parts to split them into.
 
-    One pass counts the rows, from the files' footers where that is enough. A table
-    without more rows than ``hot_rows`` has no hot key, whatever its size in bytes.
-    Else one more pass makes a frequent-items sketch of every column at once, whose
-    size follows from how many keys can be hot, and a last one counts the keys that it
-    names, all columns together. No other key is shuffled. Only if more keys could be
-    hot than a sketch holds is a column counted by all of its keys.
+    One pass counts the rows and makes a frequent-items sketch of every column at once.
+    A table without more rows than ``hot_rows`` has no hot key, whatever its size in
+    bytes. The sketch never estimates a count too low, so that a table none of whose
+    estimates is above ``hot_rows`` has none either. Only else one more pass counts the
+    keys that have such an estimate, all columns together. No other key is shuffled. If
+    more keys could be hot than a sketch was made for it is made again, and if more than
+    one can hold a column is counted by all of its keys.
     """
-    rows = df.count()
+    kinds = dict(df.dtypes)
+    sketched = [c for c in columns if kinds[c] in SKETCHED]
+    rows, named = _sketch(df, sketched, MOST)
     if rows <= policy.hot_rows:
         return {column: Profile({}, policy.max_hot) for column in columns}
     most = rows // policy.hot_rows  # no more keys can be hot
-    kinds = dict(df.dtypes)
-    sketched = [c for c in columns if kinds[c] in SKETCHED and 16 * most <= TRACKED]
-    found = _sketched(df, sketched, most, policy.hot_rows) if sketched else {}
+    if 16 * most > TRACKED:
+        sketched = []
+    elif most > MOST:
+        named = _sketch(df, sketched, most)[1]
+    found = _counted(df, {c: named[c] for c in sketched}, policy.hot_rows)
     for column in columns:
         if column not in found:
             counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("key")).agg(F.count(F.lit(1)).alias("n"))
@@ -84,16 +90,27 @@ def hot_keys(df: DataFrame, columns: Sequence[str], policy: SkewPolicy) -> dict[
     return {column: Profile(parts[column], policy.max_hot) for column in columns}
 
 
-def _sketched(df: DataFrame, columns: Sequence[str], most: int, hot_rows: int) -> dict[str, dict[object, int]]:
-    """Rows of each key with more than ``hot_rows``.
+def _sketch(df: DataFrame, columns: Sequence[str], most: int) -> tuple[int, dict[str, dict[object, int]]]:
+    """Number of rows, and for each column the keys that may be hot with estimates of their rows.
 
-    A sketch of m items misjudges a count by 3.5 / m of all rows at most. With 16 items
-    for each key that can be hot that is less than a quarter of ``hot_rows``, so that
-    every hot key is named, and fewer than twice as many keys as can be hot.
+    A sketch of m items misjudges a count by 3.5 / m of all rows at most, and never
+    below it. With 16 items for each key that can be hot that is less than a quarter of
+    ``hot_rows``, so that every hot key is named, and fewer than twice as many keys as
+    can be hot.
     """
     tracked = max(1024, 16 * most)
-    named = df.agg(*[F.expr(f"approx_top_k(`{c}`, {2 * most + 1}, {tracked})").alias(c) for c in columns]).first()
-    values = {c: {str(item["item"]): item["item"] for item in named[c] or [] if item["item"] is not None} for c in columns}
+    sketches = [F.expr(f"approx_top_k(`{c}`, {2 * most + 1}, {tracked})").alias(c) for c in columns]
+    found = df.agg(F.count(F.lit(1)), *sketches).first()
+    return found[0], {c: {x["item"]: x["count"] for x in own or [] if x["item"] is not None} for c, own in zip(columns, found[1:])}
+
+
+def _counted(df: DataFrame, named: Mapping[str, Mapping[object, int]], hot_rows: int) -> dict[str, dict[object, int]]:
+    """Rows of each named key with more than ``hot_rows``; those with lower estimates are not counted."""
+    found: dict[str, dict[object, int]] = {c: {} for c in named}
+    values = {c: {str(key): key for key, n in keys.items() if n > hot_rows} for c, keys in named.items()}
+    columns = [c for c in named if values[c]]
+    if not columns:
+        return found
     entries = F.array(
         *[
             F.when(F.col(c).isin(list(values[c].values())), F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("key")))
@@ -102,7 +119,6 @@ def _sketched(df: DataFrame, columns: Sequence[str], most: int, hot_rows: int) -
     )
     met = df.select(F.inline(F.filter(entries, lambda e: e.isNotNull())))
     counts = met.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
-    found: dict[str, dict[object, int]] = {c: {} for c in columns}
     for row in counts.collect():
         column = columns[row["column"]]
         by_text = {str(v).lower() if isinstance(v, bool) else k: v for k, v in values[column].items()}

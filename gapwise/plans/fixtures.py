@@ -30,14 +30,17 @@ def _int(value: str) -> str:
 
 
 def _rows(df: DataFrame, *structs: Column) -> DataFrame:
-    """One output row per struct that is not NULL, in a single pass over ``df``."""
-    made = F.filter(F.array(*structs), lambda s: s.isNotNull())
-    return df.select(F.inline(made))
+    """One output row per struct that is not NULL, in a single pass over ``df``.
+
+    All of it stays inside code generation: NULL structs are dropped after ``inline``,
+    by a column that only the others have.
+    """
+    return df.select(F.inline(F.array(*structs))).where("_made").drop("_made")
 
 
 def _row(condition: str, **columns: str) -> Column:
     fields = ", ".join(f"{expr} as {name}" for name, expr in columns.items())
-    return F.expr(f"case when {condition} then struct({fields}) end")
+    return F.expr(f"case when {condition} then struct({fields}, true as _made) end")
 
 
 def derive_tables(

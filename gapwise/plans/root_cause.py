@@ -151,7 +151,7 @@ def contract_rows(covered: DataFrame, tables: TableSet) -> DataFrame:
         "contract",
         {"contract_id": "contract_id", "item_num": "item_num", "source_site_id": "contract_site"},
     )
-    return unique_rows(cut_to_keys(contract, covered, "contract_id"), ["contract_id"])
+    return unique_rows(cut_to_keys(contract, covered, "contract_id"), ["contract_id"], named=True)
 
 
 def contract_pairs(links: Staged, covered: Staged, existing: DataFrame, tables: TableSet) -> Staged:
@@ -372,7 +372,7 @@ def address_rows(
     )
     return spread_join(
         link,
-        unique_rows(address, ["party_address_id"]),
+        unique_rows(address, ["party_address_id"], named=True),
         ["party_address_id"],
         hot_left=hot,
         spread_left=[spread],

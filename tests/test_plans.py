@@ -145,3 +145,18 @@ def test_every_table_has_a_schema_with_an_entry(spark):
     assert set(derive_tables(spark, SMALL)) == set(SCHEMAS)
     own = set(basics.QUERIES) | set(analysis.QUERIES)  # beside what the corpus operators add
     assert set(oracle.SQL) == own - {"stale_files"} and own <= set(entry.queries())
+
+
+def test_derived_rows_stay_inside_code_generation(spark):
+    """A table that makes several rows of one evaluates no lambda for each of them."""
+    tables = derive_tables(spark, SMALL)
+    for name in ("asset_relationship", "agreement_identifier", "agreement_asset", "party_address_agreement", "contract_coverage"):
+        assert "lambda" not in tables[name]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_unique_lookups_are_shuffled_once(spark, stored, shuffled):
+    """Rows made unique by their key need no other shuffle for the join by it."""
+    tables = TableSet.from_parquet(spark, stored)
+    link = tables["party_address_asset"]
+    assert physical(rc.address_rows(link, tables)).count("Exchange hashpartitioning") == 2
+    assert "_apart" not in physical(rc.contract_rows(tables["contract_coverage"], tables))

@@ -314,3 +314,24 @@ def test_hot_values_belong_to_a_key(left, right):
         spread_join(left, right, ["k"], hot_on="w", hot_left={1: 2})
     with pytest.raises(ValueError):
         lookup_join(left, right, ["k"], hot_on="v", hot={1: 2})
+
+
+def test_a_table_without_hot_keys_is_read_once(spark, tmp_path):
+    """The sketch that comes with the count rules all keys out."""
+    spark.range(50_000).selectExpr("id as a", "id % 700 as b").write.parquet(f"{tmp_path}/even")
+    df, context = spark.read.parquet(f"{tmp_path}/even"), spark.sparkContext
+    tracker = context.statusTracker()
+    context.setJobGroup("even", "even")
+    assert hot_keys(df, ["a", "b"], SkewPolicy(hot_rows=20_000)) == {"a": {}, "b": {}}
+    jobs = tracker.getJobIdsForGroup("even")
+    context.setJobGroup("other", "other")
+    infos = [tracker.getStageInfo(s) for s in {s for job in jobs for s in tracker.getJobInfo(job).stageIds}]
+    reading = [i for i in infos if i and i.numTasks == i.numCompletedTasks > 1]
+    assert len(reading) == 1
+
+
+def test_a_longer_sketch_is_made_for_more_hot_keys(spark):
+    df = spark.range(120_000).selectExpr("if(id % 2 = 0, id % 200, id) as k")
+    found = hot_keys(df, ["k"], SkewPolicy(hot_rows=250))["k"]
+    exact = df.groupBy("k").count().where("count > 250").collect()
+    assert found == {r["k"]: -(-r["count"] // 250) for r in exact} and len(found) > 64
