@@ -15,8 +15,9 @@ import heapq
 import os
 import re
 from bisect import insort
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import cached_property, lru_cache
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ Other = tuple[float, tuple[int, ...]]
 
 
 class Node(dict):
-    """What follows a beginning of pieces, by character; `known`, and what stands at "", has score and ids if it is a piece itself."""
+    """What stands before an end of pieces, by character; `known` has score and ids if it is a piece itself."""
 
     __slots__ = ("known",)
 
@@ -41,6 +42,20 @@ class Node(dict):
         self.known: tuple[float, tuple[int, ...]] | None = None
 
 
+def _trie(pieces: Iterable[str], kind: type[dict]) -> Iterator[tuple[str, dict]]:
+    """Each piece and its node in a new trie, whose root comes first, with an empty piece."""
+    root = kind()
+    yield "", root
+    for piece in pieces:
+        node = root
+        for char in piece:
+            following = node.get(char)
+            if following is None:
+                following = node[char] = kind()
+            node = following
+        yield piece, node
+
+
 class Vocabulary:
     """Pieces, their scores and bytes. `SPACE` stands for a space; where a text has that character itself, its bytes do."""
 
@@ -58,16 +73,14 @@ class Vocabulary:
             raise ValueError("a piece goes on over a place where chunks are cut")
         # as for a character unknown to a unigram model: worse than any ordinary piece
         self.unknown = min((s for s, _ in scores.values() if s > -1e8), default=0.0) - 10
-        #: One character after another.
-        self.trie = Node()
-        for piece, (score, i) in scores.items():
-            node = self.trie
-            for char in piece:
-                following = node.get(char)
-                if following is None:
-                    following = node[char] = Node()
-                node = following
-            node[""] = node.known = (score, (i,))
+        self.scores = {piece: (score, (i,)) for piece, (score, i) in scores.items()}
+        #: Pieces from their ends, one character before another.
+        nodes = _trie((piece[::-1] for piece in scores), Node)
+        self.ends = next(nodes)[1]
+        for piece, node in nodes:
+            node.known = self.scores[piece[::-1]]
+        #: The lattice of the text solved last, of which a text with the same beginning keeps that part.
+        self.padded, self.best, self.into = END, [0.0], [[]]
         #: Pairs of characters within pieces; between others the lattice falls apart.
         self.pairs = {piece[i : i + 2] for piece in scores for i in range(len(piece) - 1)}
         self.parts: dict[tuple[str, int], list[tuple[float, tuple[int, ...]]]] = {}
@@ -77,6 +90,52 @@ class Vocabulary:
         for byte, i in self.byte_ids.items():
             self.raw[i] = bytes([byte])
 
+    @cached_property
+    def trie(self) -> dict:
+        """Pieces, one character after another; what stands at "" has score and ids of one that ends there."""
+        nodes = _trie(self.scores, dict)
+        root = next(nodes)[1]
+        for piece, node in nodes:
+            node[""] = self.scores[piece]
+        return root
+
+    def _lattice(self, text: str) -> tuple[list[float], list[list[tuple[float, int, float, tuple[int, ...]]]]]:
+        """Best score of each beginning of a text, and the edges into its end, by ascending start.
+
+        An edge is the best score with it, its start, its own score and its ids. Both
+        depend on that beginning alone, so what the text solved before has in common is
+        taken over: texts in order share most of it.
+        """
+        best, into, padded, ends, unknown = self.best, self.into, END + text, self.ends, self.unknown
+        same, most = 1, min(len(padded), len(self.padded))
+        while same < most and padded[same] == self.padded[same]:
+            same += 1
+        del best[same:], into[same:]
+        self.padded = padded[:same]
+        for end in range(same, len(padded)):
+            start, edges, top = end - 1, [], -1e300
+            node = ends.get(padded[end])
+            if node is None or node.known is None:
+                char = padded[end]
+                ids = tuple(self.byte_ids[b] for b in (SPACE if char == LITERAL else char).encode())
+                top = best[start] + unknown
+                edges.append((top, start, unknown, ids))
+            while node is not None:
+                known = node.known
+                if known is not None:
+                    score, ids = known
+                    total = best[start] + score
+                    edges.append((total, start, score, ids))
+                    if total > top:
+                        top = total
+                node = node.get(padded[start])
+                start -= 1
+            edges.reverse()
+            best.append(top)
+            into.append(edges)
+        self.padded = padded
+        return best, into
+
     def n_best(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """The `n` segmentations of highest score, best first; equal ones in the order the search meets them.
 
@@ -84,26 +143,7 @@ class Vocabulary:
         text. Backward, A* extends partial segmentations from the end; what is left
         to the beginning is known exactly, so complete ones come out in order.
         """
-        size, trie = len(text), self.trie
-        best = [0.0, *[-1e300] * size]
-        into: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(size + 1)]
-        for i, char in enumerate(text):
-            base, node, end = best[i], trie.get(char), i + 1
-            if node is None or node.known is None:
-                ids = tuple(self.byte_ids[b] for b in (SPACE if char == LITERAL else char).encode())
-                into[end].append((i, self.unknown, ids))
-                if base + self.unknown > best[end]:
-                    best[end] = base + self.unknown
-            while node is not None:
-                if node.known is not None:
-                    score, ids = node.known
-                    into[end].append((i, score, ids))
-                    if base + score > best[end]:
-                        best[end] = base + score
-                if end == size:
-                    break
-                node = node.get(text[end])
-                end += 1
+        size, (best, into) = len(text), self._lattice(text)
         # each open one stands for at least one segmentation of exactly its score, so more than are wanted never count
         open_, found, count, wanted = [(-best[size], 0, size, 0.0, ())], [], 0, n
         while open_ and wanted:
@@ -112,22 +152,24 @@ class Vocabulary:
                 found.append((-total, ids))
                 wanted -= 1
                 continue
-            for start, score, own in into[at]:
-                total = -(best[start] + score + behind)
-                if len(open_) < wanted:
-                    count += 1
-                    insort(open_, (total, count, start, score + behind, own + ids))
+            held = len(open_)
+            for whole, start, score, own in into[at]:
+                total = -(whole + behind)
+                if held < wanted:
+                    held += 1
                 elif total < open_[-1][0]:
-                    count += 1
                     open_.pop()
-                    insort(open_, (total, count, start, score + behind, own + ids))
+                else:
+                    continue
+                count += 1
+                insort(open_, (total, count, start, score + behind, own + ids))
         return found
 
     def solved(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """`n_best`, put together from parts between which no piece reaches."""
-        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in self.pairs]
-        if not cuts:
+        if self.pairs.issuperset(map(add, text, text[1:])):
             return self.n_best(text, n)
+        cuts = [i for i in range(1, len(text)) if text[i - 1 : i + 1] not in self.pairs]
         total = [(0.0, ())]
         for start, end in zip([0, *cuts], [*cuts, len(text)]):
             own = self._part(text[start:end], n)
@@ -137,7 +179,6 @@ class Vocabulary:
                 total = sorted(((s + t, a + b) for s, a in total for t, b in own), key=lambda x: -x[0])[:n]
         return total
 
-
     def _part(self, text: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """`n_best` of a part of a word, which many words may share; a bounded number is remembered."""
         key = (text, n)
@@ -152,6 +193,8 @@ class Vocabulary:
 PARTS = 50_000
 #: Stands for a literal SPACE in lattices; half a surrogate pair, which no text holds.
 LITERAL = "\ud800"
+#: Stands before a text in its lattice, and goes on no piece; half a surrogate pair too.
+END = "\ud801"
 
 
 def lattice_text(text: str) -> str:
@@ -196,7 +239,8 @@ class PieceEncoder(ChunkEncoder):
         collecting = gc.isenabled()
         gc.disable()  # the search makes many tuples and no cycles
         try:
-            found = [self._solve(chunk) for chunk in chunks]
+            solved = {chunk: self._solve(chunk) for chunk in sorted(chunks)}  # in order, as beginnings are shared
+            found = [solved[chunk] for chunk in chunks]
         finally:
             if collecting:
                 gc.enable()

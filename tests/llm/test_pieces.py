@@ -57,3 +57,19 @@ def test_all_segmentations_decode_to_the_text(spark):
     checked = found.select("doc_id", best.alias("a"), other(0).alias("b"), other(1).alias("c")).collect()
     assert len(checked) == len(rows) and all(x.a and x.b and x.c for x in checked)
     assert encode_n_best(docs.limit(0), MODEL).count() == 0
+
+
+def test_texts_share_the_lattice_of_a_common_beginning(vocabulary):
+    """Beginnings are not solved again, and what came before changes no segmentation."""
+    _, edges = vocabulary._lattice(lattice_text(" wintering"))
+    kept = list(edges)
+    assert vocabulary._lattice(lattice_text(" winterly"))[1][:8] == kept[:8]
+    assert all(a is b for a, b in zip(vocabulary.into[:8], kept))
+    r = random.Random(7)
+    words = [lattice_text(" " + "".join(r.choice("abeinrst▁é") for _ in range(r.randint(1, 9)))) for _ in range(300)]
+    alone = {}
+    for word in words:
+        vocabulary._lattice("")
+        alone[word] = vocabulary.n_best(word, 3)
+    for order in (words, sorted(words), sorted(words, reverse=True)):
+        assert all(vocabulary.n_best(word, 3) == alone[word] for word in order)
