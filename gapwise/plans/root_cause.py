@@ -687,16 +687,36 @@ def walk(
     return Walk(assets, links, contracts, contract_pairs(links, covered, contracts.df, tables))
 
 
-def checked_pairs(tables: TableSet, cfg: RuleConfig) -> DataFrame:
-    """Rows per asset and contract with the results of all checks, before the label."""
+def with_lowest_address(df: DataFrame, addresses: DataFrame, key: str, side: str) -> DataFrame:
+    """Add the address with the lowest id to rows per key: its id, its customer number, its ucid."""
+    lowest = addresses.groupBy(key).agg(F.min(F.struct("party_address_id", "address_customer_num", "ucid")).alias("_a"))
+    shown = lowest.select(
+        key,
+        F.col("_a.party_address_id").alias(f"{side}_address_id"),
+        F.col("_a.address_customer_num").alias(f"{side}_address_customer_num"),
+        F.col("_a.ucid").alias(f"{side}_address_ucid"),
+    )
+    return lookup_join(df, shown, [key])
+
+
+def checked_pairs(tables: TableSet, cfg: RuleConfig, addresses: bool = False) -> DataFrame:
+    """Rows per asset and contract with the results of all checks, before the label.
+
+    With ``addresses`` they also have the lowest address of the counterpart agreement
+    (``cp_address_*``) and of the asset (``asset_address_*``). Each is found once per
+    agreement or asset, before the pairs get it with the other facts.
+    """
     found = walk(tables, cfg, lambda rows, used: contract_facts(rows, tables, cfg, used))
     contracts = found.contracts
     named = named_agreements(contracts.df, tables, cfg)
-    facts = with_counterparts(
-        contracts.df, named, counterpart_facts(named.df, tables, cfg), contracts.hot("agreement_id")
-    )
+    counterparts = counterpart_facts(named.df, tables, cfg)
+    assets = customer_check(found.assets.df, tables, cfg)
+    if addresses:
+        counterparts = with_lowest_address(counterparts, location_addresses(named.df, tables), "cp_agreement_id", "cp")
+        assets = with_lowest_address(assets, customer_addresses(found.assets.df, tables), "asset_id", "asset")
+    facts = with_counterparts(contracts.df, named, counterparts, contracts.hot("agreement_id"))
     facts = attach_item_facts(facts, contracts.df, tables, cfg, contracts.hot("item_num"))
-    rows = attach(customer_check(found.assets.df, tables, cfg), found.links.df, found.pairs, facts)
+    rows = attach(assets, found.links.df, found.pairs, facts)
     return agreement_has_this_asset(rows, assets_in_use(named.df, tables))
 
 

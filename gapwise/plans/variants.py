@@ -303,22 +303,7 @@ def staged_agreement_summary(tables: TableSet, cfg: RuleConfig) -> DataFrame:
     itself has each of them. Stages after the counterpart agreement have no label
     without such an agreement.
     """
-    pairs = stage(checked_pairs(tables, cfg), tables.skew)
-    counterparts = stage(distinct_counterparts(pairs.df), tables.skew).df
-    assets = stage(pairs.df.select("asset_id").distinct(), tables.skew).df
-    rows = pairs.df
-    for key, side, addresses in (
-        ("cp_agreement_id", "cp", location_addresses(counterparts, tables)),
-        ("asset_id", "asset", customer_addresses(assets, tables)),
-    ):
-        lowest = addresses.groupBy(key).agg(F.min(F.struct("party_address_id", "address_customer_num", "ucid")).alias("_a"))
-        shown = lowest.select(
-            key,
-            F.col("_a.party_address_id").alias(f"{side}_address_id"),
-            F.col("_a.address_customer_num").alias(f"{side}_address_customer_num"),
-            F.col("_a.ucid").alias(f"{side}_address_ucid"),
-        )
-        rows = lookup_join(rows, shown, [key], hot=pairs.hot(key), spread=["contract_id", "asset_id"])
+    rows = checked_pairs(tables, cfg, addresses=True)
     has_contract = F.col("contract_id").isNotNull()
     has_counterpart = F.col("cp_agreement_id").isNotNull()
     labels = {

@@ -283,3 +283,16 @@ def test_no_candidates_give_an_empty_report(spark):
     report = rc.root_cause_report(derive_tables(spark, SMALL), c.RuleConfig())
     assert report.columns == list(rc.REPORT_COLUMNS)
     assert report.count() == 0
+
+
+def test_summary_gets_addresses_before_the_pairs(spark, monkeypatch):
+    """They are looked up once per agreement and asset; wide pairs are not written for it."""
+
+    def refused(*_):
+        raise AssertionError("the summary writes pairs")
+
+    monkeypatch.setattr(variants, "stage", refused)
+    summary = variants.staged_agreement_summary(derive_tables(spark, SMALL), FIXTURE_RULES)
+    assert summary.columns == list(variants.SUMMARY_COLUMNS)
+    shown = summary.where("cp_address_id is not null and asset_address_id is not null")
+    assert shown.count() > 0
